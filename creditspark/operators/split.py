@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from creditspark import schema as S
 
 HASH_BITS = 32
-BLOCK_BITS = 14
+BLOCK_BITS = 16
 
 
 def hash_position(id_col: Column, seed: int) -> Column:
@@ -67,14 +67,14 @@ def split_quotas(
     everyone = Window.partitionBy()
     total = F.sum("n").over(everyone)
     with_test = _quota(
-        counts.withColumn("_test", F.ceil(F.round(total * F.lit(test_size), 9))),
+        counts.withColumn("_test", F.ceil(total * F.lit(test_size))),
         target, F.col("_test"), "n", "n_test",
     )
     rest = with_test.withColumn("_rest_n", F.col("n") - F.col("n_test"))
     rest_total = F.sum("_rest_n").over(everyone)
     share = val_size / (1.0 - test_size)
     return _quota(
-        rest.withColumn("_val", F.ceil(F.round(rest_total * F.lit(share), 9))),
+        rest.withColumn("_val", F.ceil(rest_total * F.lit(share))),
         target, F.col("_val"), "_rest_n", "n_val",
     ).select(target, "n", "n_test", "n_val")
 
@@ -84,7 +84,7 @@ def _cutoffs(hashed: DataFrame, quotas: DataFrame, target: str) -> DataFrame:
 
     Counting by the top bits of the hash narrows each cut-off to one block; only the
     rows of those few blocks are then ordered. A class of any size is handled without
-    sorting it.
+    sorting it, and copies of one id are counted together first.
     """
     shift = HASH_BITS - BLOCK_BITS
     blocks = (
@@ -107,14 +107,19 @@ def _cutoffs(hashed: DataFrame, quotas: DataFrame, target: str) -> DataFrame:
         .filter((F.col("rank") > F.col("_end") - F.col("_n")) & (F.col("rank") <= F.col("_end")))
         .select(target, "part", "_block", (F.col("rank") - F.col("_end") + F.col("_n")).alias("_need"))
     )
-    inside = hashed.withColumn("_block", F.shiftright("_h", shift)).join(edge_blocks, [target, "_block"])
-    order = Window.partitionBy(target, "part").orderBy("_h")
+    inside = (
+        hashed.withColumn("_block", F.shiftright("_h", shift))
+        .join(edge_blocks, [target, "_block"])
+        .groupBy(target, "part", "_need", "_h")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    order = Window.partitionBy(target, "part").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        inside.withColumn("_rn", F.row_number().over(order))
-        .filter(F.col("_rn") == F.col("_need"))
+        inside.withColumn("_reached", F.sum("_n").over(order))
+        .filter(F.col("_reached") >= F.col("_need"))
         .groupBy(target)
         .pivot("part", ["test", "val"])
-        .agg(F.max("_h"))
+        .agg(F.min("_h"))
     )
 
 

@@ -109,11 +109,11 @@ def _(spark, sf):
 EXACT = """
 hashed AS (SELECT *, ('0x' || substr(md5('42:' || loan_id), 1, 8))::BIGINT AS h FROM loans),
 sizes AS (SELECT loan_default, count(*) AS n, sum(count(*)) OVER () AS total FROM hashed GROUP BY 1),
-t1 AS (SELECT *, ceil(round(total * 2e-1, 9)) * n / total AS share, ceil(round(total * 2e-1, 9)) AS draws FROM sizes),
+t1 AS (SELECT *, ceil(total * 2e-1) * n / total AS share, ceil(total * 2e-1) AS draws FROM sizes),
 t2 AS (SELECT *, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, loan_default)
     <= draws - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS n_test FROM t1),
 v1 AS (SELECT *, sum(n - n_test) OVER () AS rest FROM t2),
-v2 AS (SELECT *, ceil(round(rest * 125e-3, 9)) AS vdraws, ceil(round(rest * 125e-3, 9)) * (n - n_test) / rest AS vshare FROM v1),
+v2 AS (SELECT *, ceil(rest * 125e-3) AS vdraws, ceil(rest * 125e-3) * (n - n_test) / rest AS vshare FROM v1),
 quotas AS (SELECT loan_default, n, n_test, floor(vshare) + CASE WHEN row_number() OVER (ORDER BY vshare - floor(vshare) DESC, loan_default)
     <= vdraws - sum(floor(vshare)) OVER () THEN 1 ELSE 0 END AS n_val FROM v2),
 ranked AS (SELECT loan_id, loan_default, row_number() OVER (PARTITION BY loan_default ORDER BY h, loan_id) AS rn FROM hashed)"""
