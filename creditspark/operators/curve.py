@@ -21,9 +21,12 @@ from creditspark.functions.numeric import count_reached, null_if_nan
 LARGE_GROUP = 200_000
 
 
+MAX_RANGES = 2_000
+
+
 def _n_ranges(df: DataFrame) -> int:
-    """As many ranges as the session has shuffle partitions."""
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    """A few ranges per shuffle partition; bounded, since the cut points travel as one array."""
+    return min(4 * max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MAX_RANGES)
 
 
 def value_counts(df: DataFrame, value: str, measures: dict[str, Column], by: list[str]) -> DataFrame:
