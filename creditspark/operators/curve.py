@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditspark.functions.numeric import count_reached, null_if_nan
+from creditspark.operators.skew import salted_join
 
 LARGE_GROUP = 200_000
 
@@ -152,19 +153,21 @@ def rank_metrics(
 
 
 def score_ranks(
-    df: DataFrame, score: str, by: list[str] | None = None, large_group: int | None = None
+    df: DataFrame,
+    score: str,
+    by: list[str] | None = None,
+    large_group: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Every row with the mid-rank of its score within its group."""
+    """Every row with the mid-rank of its score within its group (null without score)."""
     by = list(by or [])
     curve = running_totals(df, score, {"n": F.lit(1).cast("long")}, by, large_group)
+    key = df.withColumn("value", null_if_nan(F.col(score).cast("double")))
     ranks = curve.select(
-        *[F.col(b).alias(f"_by_{b}") for b in by],
-        F.col("value").alias("_value"),
-        (F.col("cum_n") - (F.col("n") - 1).cast("double") / 2).alias("mid_rank"),
+        *by, "value", (F.col("cum_n") - (F.col("n") - 1).cast("double") / 2).alias("mid_rank")
     )
-    match = [F.col(score).cast("double") == F.col("_value")]
-    match += [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]
-    return df.join(ranks, match, "left").drop("_value", *[f"_by_{b}" for b in by])
+    counts = value_counts(df, score, {"n": F.lit(1).cast("long")}, by)
+    return salted_join(key, ranks, [*by, "value"], "left", hot_rows, counts).drop("value")
 
 
 def quantiles(
