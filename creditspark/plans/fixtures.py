@@ -22,8 +22,12 @@ def _per_index(values: list[str], index) -> F.Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One loan per order, with default flag, predicted probability and date."""
+def loans(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """One loan per order, with default flag, predicted probability and date.
+
+    ``orders`` may be a stream of the orders table; the other tables are read as they are.
+    """
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
@@ -33,8 +37,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     joined = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
     k, cust = F.col("o_orderkey"), F.col("o_custkey")

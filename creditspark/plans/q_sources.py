@@ -89,25 +89,25 @@ def _(spark, sf):
     return TB.scan_csv(spark, path, S.LOAN_SCHEMA).select("loan_id", "loan_amount", "loan_default")
 
 
-@query("sink_log_append", ctes("prediction_log") + "SELECT *, CAST(ts AS DATE) AS dt FROM prediction_log")
+@query("sink_log_append", ctes("prediction_log") + "SELECT *, CAST(date_trunc('month', ts) AS DATE) AS dt FROM prediction_log")
 def _(spark, sf):
     path = fresh_dir(spark, "log")
     log = prediction_log(spark, sf)
     first = F.col("model_version") == "v1"
     for part in (log.filter(first), log.filter(~first)):
-        TB.append_predictions(part, path)
+        TB.append_predictions(part, path, period="month")
     return TB.read_predictions(spark, path)
 
 
 @query(
-    "prediction_log_day",
+    "prediction_log_month",
     ctes("prediction_log") + "SELECT loan_id, model_version FROM prediction_log WHERE CAST(ts AS DATE) BETWEEN DATE '1999-03-01' AND DATE '1999-03-31'",
 )
 def _(spark, sf):
     path = fresh_dir(spark, "log")
-    TB.append_predictions(prediction_log(spark, sf), path)
-    month = F.col("dt").between(F.lit("1999-03-01").cast("date"), F.lit("1999-03-31").cast("date"))
-    return TB.read_predictions(spark, path).filter(month).select("loan_id", "model_version")
+    TB.append_predictions(prediction_log(spark, sf), path, period="month")
+    month = F.lit("1999-03-01").cast("date")
+    return TB.read_predictions(spark, path).filter(F.col("dt") == month).select("loan_id", "model_version")
 
 
 @query("sink_json_report")

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from creditspark import schema as S
 from creditspark.errors import IngestionError
 from creditspark.functions.loan import date_path
-from creditspark.operators.columns import union_by_name
 
 
 def scan_csv(
@@ -81,12 +80,17 @@ def read_splits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_predictions(df: DataFrame, path: str) -> None:
-    """Append to the prediction log, one folder per UTC day; existing files are not read."""
-    empty = df.sparkSession.createDataFrame([], S.PREDICTION_LOG_SCHEMA)
-    rows = union_by_name(empty, df.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
-    rows = rows.select(*S.PREDICTION_LOG_SCHEMA.fieldNames()).withColumn("dt", F.to_date("ts"))
-    rows.write.mode("append").partitionBy("dt").parquet(path)
+def append_predictions(df: DataFrame, path: str, period: str = "day") -> None:
+    """Append to the prediction log, one folder per UTC day or month.
+
+    Existing files are not read. Rows are gathered by folder before writing, so that a
+    folder gets few files; Spark splits a folder that is much larger than the others.
+    """
+    fields = S.PREDICTION_LOG_SCHEMA.fieldNames()
+    present = {f: F.col(f) if f in df.columns else F.lit(None) for f in fields}
+    rows = df.select(*[present[f.name].cast(f.dataType).alias(f.name) for f in S.PREDICTION_LOG_SCHEMA.fields])
+    dated = rows.withColumn("dt", F.trunc(F.to_date("ts"), "month") if period == "month" else F.to_date("ts"))
+    dated.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
