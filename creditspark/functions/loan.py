@@ -39,7 +39,9 @@ def delinquency_flag(c: Column, threshold: int = 2) -> Column:
 
 
 def format_loan_id(number: Column) -> Column:
-    return F.format_string("LOAN_%07d", number.cast("long"))
+    """``LOAN_`` and the number padded with zeros to at least seven digits."""
+    digits = number.cast("long").cast("string")
+    return F.concat(F.lit("LOAN_"), F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), F.lit("0")))
 
 
 def decision(probability: Column, threshold: float = 0.5) -> Column:

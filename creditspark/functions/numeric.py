@@ -47,6 +47,11 @@ def count_where(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, hits, F.lit(0))
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once, for costly expressions used repeatedly."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
@@ -54,19 +59,24 @@ def sigmoid(z: Column) -> Column:
 def count_reached(edges: Column, n_edges: int, value: Column) -> Column:
     """Number of entries of an ascending array that are <= value.
 
-    Binary search as one expression: about log2(n) steps per row.
+    Binary search as one expression: about log2(n) steps per row. The value travels in
+    the accumulator, so it is evaluated once however it was computed.
     """
     steps, top = [], 1
     while top <= n_edges:
         steps.append(top)
         top *= 2
+
+    def advance(acc: Column, step: Column) -> Column:
+        at = acc["found"] + step
+        reached = (at <= F.size(edges)) & (F.get(edges, at - 1) <= acc["value"])
+        return F.struct(acc["value"].alias("value"), F.when(reached, at).otherwise(acc["found"]).alias("found"))
+
     return F.aggregate(
         F.array(*[F.lit(s) for s in reversed(steps)]),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= F.size(edges)) & (F.get(edges, found + step - 1) <= value),
-            found + step,
-        ).otherwise(found),
+        F.struct(value.cast("double").alias("value"), F.lit(0).alias("found")),
+        advance,
+        lambda acc: acc["found"],
     )
 
 

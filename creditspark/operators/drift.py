@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from creditspark import schema as S
-from creditspark.functions.numeric import bin_index, null_if_nan, round_report
+from creditspark.functions.numeric import null_if_nan, round_report
 from creditspark.operators.columns import shared_columns
 from creditspark.operators.curve import quantiles, running_totals
-from creditspark.operators.profile import stack_rows, value_ranges
+from creditspark.operators.profile import binned, long_values, named_position, stack_rows, value_ranges
 
 # --- fixed values -------------------------------------------------------------
 PSI_BINS = 10
@@ -35,16 +35,12 @@ def binned_counts(reference: DataFrame, current: DataFrame, features: list[str],
     features x bins rows are exchanged. Missing values fall into the null bin.
     """
     rows = tagged(reference, current, features)
-    ranged = rows.withColumn("_r", value_ranges(rows, features))
-    bins = {}
-    for c in features:
-        low, high = F.col("_r")[f"{c}_min"], F.col("_r")[f"{c}_max"]
-        bins[c] = bin_index(null_if_nan(F.col(c).cast("double")), low, (high - low) / n_bins, n_bins)
+    long = binned(long_values(rows, features, ("is_ref",)), value_ranges(rows, features), n_bins)
     return (
-        ranged.select("is_ref", stack_rows(bins, "feature", "bin").alias("s"))
-        .select("is_ref", F.col("s.feature").alias("feature"), F.when(F.col("s.bin").isNotNull(), F.col("s.bin")).alias("bin"))
-        .groupBy("feature", "bin")
+        long.select("is_ref", "position", F.when(F.col("value").isNotNull(), F.col("bin")).alias("bin"))
+        .groupBy("position", "bin")
         .agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
+        .select(named_position(features), "bin", "n_ref", "n_cur")
     )
 
 
@@ -93,10 +89,7 @@ def psi(
 
 def _value_curve(reference: DataFrame, current: DataFrame, features: list[str], large_group: int | None) -> DataFrame:
     rows = tagged(reference, current, features)
-    long = rows.select(
-        "is_ref",
-        stack_rows({c: F.col(c).cast("double") for c in features}, "feature", "value").alias("s"),
-    ).select("is_ref", "s.feature", "s.value")
+    long = long_values(rows, features, ("is_ref",)).select("is_ref", named_position(features), "value")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     return running_totals(
         long,
@@ -283,9 +276,7 @@ def quality_rates(
     Outliers lie more than 1.5 interquartile ranges outside the quartiles. The quartiles
     are exact; their table has one row per column.
     """
-    long = df.select(
-        stack_rows({c: F.col(c).cast("double") for c in features}, "feature", "value").alias("s")
-    ).select("s.feature", "s.value")
+    long = long_values(df, features).select(named_position(features), "value")
     quartiles = quantiles(long, "value", {"q1": 0.25, "q3": 0.75}, ["feature"], large_group)
     bounds = quartiles.agg(
         F.map_from_entries(F.collect_list(F.struct("feature", F.struct("q1", "q3")))).alias("b")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditspark import schema as S
@@ -42,13 +40,31 @@ def stack_rows(columns: dict[str, Column], name: str, value: str) -> Column:
     )
 
 
-def value_ranges(df: DataFrame, columns: list[str]) -> Column:
-    """Min and max of every column as one struct, read by the main query as a subquery."""
-    bounds = []
-    for c in columns:
-        v = null_if_nan(F.col(c).cast("double"))
-        bounds += [F.min(v).alias(f"{c}_min"), F.max(v).alias(f"{c}_max")]
-    return df.agg(F.struct(*bounds).alias("r")).scalar()
+def long_values(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep, position, value): one row per column, NaN as null."""
+    values = F.array(*[null_if_nan(F.col(c).cast("double")) for c in columns])
+    return df.select(*keep, F.posexplode(values).alias("position", "value"))
+
+
+def value_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with ``lows`` and ``highs``: min and max of every column as arrays."""
+    v = [null_if_nan(F.col(c).cast("double")) for c in columns]
+    return df.agg(F.array(*[F.min(c) for c in v]).alias("lows"), F.array(*[F.max(c) for c in v]).alias("highs"))
+
+
+def binned(long: DataFrame, ranges: DataFrame, n_bins: int) -> DataFrame:
+    """Long values with their equal-width ``bin``; ``ranges`` is one row, read as a subquery."""
+    r = ranges.select(F.struct("lows", "highs").alias("r")).scalar()
+    i = F.col("position")
+    placed = long.withColumn("_r", r).select(
+        *long.columns, F.get(F.col("_r.lows"), i).alias("_low"), F.get(F.col("_r.highs"), i).alias("_high")
+    )
+    step = (F.col("_high") - F.col("_low")) / n_bins
+    return placed.withColumn("bin", bin_index(F.col("value"), F.col("_low"), step, n_bins)).drop("_low", "_high")
+
+
+def named_position(columns: list[str]) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("position")).alias("feature")
 
 
 def histogram(df: DataFrame, columns: list[str], n_bins: int = 40) -> DataFrame:
@@ -57,41 +73,28 @@ def histogram(df: DataFrame, columns: list[str], n_bins: int = 40) -> DataFrame:
     Two passes, the second with one small shuffle of at most bins x columns rows. A
     constant column gets a range of one around its value.
     """
-    ranged = df.select(*columns).withColumn("_r", value_ranges(df, columns))
-    bins = {}
-    for c in columns:
-        low, high = _bounds(c)
-        bins[c] = bin_index(null_if_nan(F.col(c).cast("double")), low, (high - low) / n_bins, n_bins)
+    low, high = F.get("lows", F.col("position")), F.get("highs", F.col("position"))
+    pad = F.when(low == high, 0.5).otherwise(0.0)
+    per_column = value_ranges(df, columns).select("lows", "highs", F.posexplode("lows").alias("position", "_"))
+    padded = per_column.select("position", (low - pad).alias("low"), (high + pad).alias("high"))
+    ranges = padded.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "low"))), lambda s: s["low"]).alias("lows"),
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "high"))), lambda s: s["high"]).alias("highs"),
+    )
     counts = (
-        ranged.select(stack_rows(bins, "feature", "bin").alias("s"))
-        .select("s.*")
-        .filter(F.col("bin").isNotNull())
-        .groupBy("feature", "bin")
+        binned(long_values(df, columns), ranges, n_bins)
+        .filter(F.col("value").isNotNull())
+        .groupBy("position", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = df.agg(F.count(F.lit(1))).select(value_ranges(df, columns).alias("_r"))
-    grid = edges.select(
-        stack_rows({c: F.struct(_bounds(c)[0].alias("low"), _bounds(c)[1].alias("high")) for c in columns}, "feature", "b").alias("s")
-    ).select("s.feature", "s.b.low", "s.b.high", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
     step = (F.col("high") - F.col("low")) / n_bins
-    return (
-        grid.filter(F.col("low").isNotNull())
-        .join(counts, ["feature", "bin"], "left")
-        .select(
-            "feature",
-            "bin",
-            (F.col("low") + F.col("bin") * step).alias("bin_low"),
-            F.when(F.col("bin") == n_bins - 1, F.col("high")).otherwise(F.col("low") + (F.col("bin") + 1) * step).alias("bin_high"),
-            F.coalesce("n", F.lit(0).cast("long")).alias("n"),
-        )
+    grid = padded.filter(F.col("low").isNotNull()).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin")
+    )
+    return grid.join(counts, ["position", "bin"], "left").select(
+        named_position(columns),
+        "bin",
+        (F.col("low") + F.col("bin") * step).alias("bin_low"),
+        F.when(F.col("bin") == n_bins - 1, F.col("high")).otherwise(F.col("low") + (F.col("bin") + 1) * step).alias("bin_high"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
     )
-
-
-def _bounds(c: str) -> tuple[Column, Column]:
-    low, high = F.col("_r")[f"{c}_min"], F.col("_r")[f"{c}_max"]
-    pad = F.when(low == high, 0.5).otherwise(0.0)
-    return low - pad, high + pad
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

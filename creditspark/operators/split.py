@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditspark import schema as S
+from creditspark.functions.numeric import bind
 
 HASH_BITS = 32
 BLOCK_BITS = 16
@@ -32,9 +33,8 @@ def hash_split(
     span = 2**HASH_BITS
     test_end = int(test_size * span)
     val_end = int((test_size + val_size) * span)
-    return df.withColumn(
-        "split", F.when(h < test_end, "test").when(h < val_end, "val").otherwise("train")
-    )
+    label = bind(h, lambda x: F.when(x < test_end, "test").when(x < val_end, "val").otherwise("train"))
+    return df.withColumn("split", label)
 
 
 def _quota(counts: DataFrame, target: str, draws: Column, size: str, out: str) -> DataFrame:

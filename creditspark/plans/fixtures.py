@@ -10,69 +10,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditspark import schema as S
-from creditspark.functions.loan import format_loan_id
-from creditspark.functions.numeric import clip, round_half_even
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+TABLE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
-def _per_index(values: list[str], index) -> F.Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A star-schema table; the declared schema saves the footer scan of inference."""
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def loans(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """One loan per order, with default flag, predicted probability and date.
 
-    ``orders`` may be a stream of the orders table; the other tables are read as they are.
+    ``orders`` may be a stream of the orders table; the other tables are read as they
+    are. The line counts are partitioned by order already, so the merge join only moves
+    the orders, and everything after it runs on all partitions.
     """
     orders = table(spark, sf_dir, "orders") if orders is None else orders
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
-        .agg(
-            F.count(F.lit(1)).alias("n_lines"),
-            F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
-        )
-    )
-    joined = (
-        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .agg(F.expr("count(1) AS n_lines"), F.expr("count_if(l_returnflag = 'R') AS n_returned"))
     )
-    k, cust = F.col("o_orderkey"), F.col("o_custkey")
-    base = joined.select(
-        k.alias("k"),
-        format_loan_id(k).alias("loan_id"),
-        clip(round_half_even(F.col("o_totalprice") / 5, 2), 100.0, 100_000.0).alias("loan_amount"),
-        clip(round_half_even((F.col("c_acctbal") + 1000) * 15, 2), 1_000.0, 10_000_000.0).alias(
-            "annual_income"
-        ),
-        (cust % 41).alias("employment_years"),
-        (300 + (k * 7919 + cust * 104729) % 551).alias("credit_score"),
-        (((k * 31) % 200).cast("double") / 100).alias("debt_to_income_ratio"),
-        F.coalesce("n_lines", F.lit(0).cast("long")).alias("num_open_accounts"),
-        F.coalesce("n_returned", F.lit(0).cast("long")).alias("num_delinquencies"),
-        _per_index(S.LOAN_PURPOSES, k % 6).alias("loan_purpose"),
-        F.when(F.col("o_orderstatus") == "F", "RENT")
-        .when(F.col("o_orderstatus") == "O", "MORTGAGE")
-        .otherwise("OWN")
-        .alias("home_ownership"),
-        F.when(F.col("o_totalprice") > 300_000, 60).otherwise(36).cast("long").alias("loan_term_months"),
-        F.col("o_orderdate").alias("as_of"),
+    joined = orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")).join(
+        lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left"
     )
-    risk = (
-        (680 - F.col("credit_score")).cast("double") / 1000
-        + F.col("num_delinquencies") * 0.08
-        + (F.col("debt_to_income_ratio") - 1) * 0.1
-        + 0.05
+    # The id names both sides of the join, so that hashing it is not repeated per line.
+    number = "coalesce(o_orderkey, l_orderkey)"
+    base = joined.selectExpr(
+        "o_orderkey AS k",
+        f"concat('LOAN_', lpad(string({number}), greatest(7, length(string({number}))), '0')) AS loan_id",
+        "least(greatest(rint(o_totalprice / 5 * 100d) / 100d, 100d), 100000d) AS loan_amount",
+        "least(greatest(rint((c_acctbal + 1000) * 15 * 100d) / 100d, 1000d), 10000000d) AS annual_income",
+        "o_custkey % 41 AS employment_years",
+        "300 + (o_orderkey * 7919 + o_custkey * 104729) % 551 AS credit_score",
+        "double((o_orderkey * 31) % 200) / 100 AS debt_to_income_ratio",
+        "coalesce(n_lines, 0L) AS num_open_accounts",
+        "coalesce(n_returned, 0L) AS num_delinquencies",
+        f"elt(int(o_orderkey % 6) + 1, {', '.join(repr(p) for p in S.LOAN_PURPOSES)}) AS loan_purpose",
+        "CASE o_orderstatus WHEN 'F' THEN 'RENT' WHEN 'O' THEN 'MORTGAGE' ELSE 'OWN' END AS home_ownership",
+        "CASE WHEN o_totalprice > 300000 THEN 60L ELSE 36L END AS loan_term_months",
+        "o_orderdate AS as_of",
     )
-    draw = ((F.col("k") * 48271) % 2147483647 % 10000).cast("double") / 10000
-    noise = (((F.col("k") * 69621) % 1000).cast("double") / 1000 - 0.5) * 0.3
-    return (
-        base.withColumn("pd", clip(risk, 0.02, 0.95))
-        .withColumn("loan_default", F.when(draw < F.col("pd"), 1).otherwise(0).cast("long"))
-        .withColumn("default_probability", round_half_even(clip(F.col("pd") + noise, 0.0, 1.0), 4))
+    return base.selectExpr(
+        "*",
+        "least(greatest(double(680 - credit_score) / 1000 + num_delinquencies * 0.08d"
+        " + (debt_to_income_ratio - 1) * 0.1d + 0.05d, 0.02d), 0.95d) AS pd",
+    ).selectExpr(
+        "*",
+        "CASE WHEN double((k * 48271) % 2147483647 % 10000) / 10000 < pd THEN 1L ELSE 0L END AS loan_default",
+        "rint(least(greatest(pd + (double((k * 69621) % 1000) / 1000 - 0.5d) * 0.3d, 0d), 1d) * 10000d) / 10000d"
+        " AS default_probability",
     )
 
 
@@ -112,30 +111,28 @@ loans AS (
 
 def raw_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card-account table: limit, person columns, six months of status, bills, payments."""
-    line = F.col("l_linenumber")
-    aggs = []
+    cells = []
     for i in range(1, 7):
-        aggs.append(F.max(F.when(line == i, F.col("l_quantity").cast("long"))).alias(f"q{i}"))
-        aggs.append(F.max(F.when(line == i, F.col("l_extendedprice"))).alias(f"x{i}"))
-    months = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*aggs)
+        cells.append(F.expr(f"max(CASE WHEN l_linenumber = {i} THEN bigint(l_quantity) END) AS q{i}"))
+        cells.append(F.expr(f"max(CASE WHEN l_linenumber = {i} THEN l_extendedprice END) AS x{i}"))
+    months = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*cells)
     base = loans(spark, sf_dir).select("k", "loan_default")
-    k, cust = F.col("o_orderkey"), F.col("o_custkey")
     status = ["pay_0", "pay_2", "pay_3", "pay_4", "pay_5", "pay_6"]
     return (
         table(spark, sf_dir, "orders")
-        .join(months, k == F.col("l_orderkey"), "left")
-        .join(base, k == F.col("k"))
-        .select(
-            k.alias("id"),
-            F.col("o_totalprice").alias("limit_bal"),
-            (cust % 2 + 1).alias("sex"),
-            (k % 8).alias("education"),
-            (cust % 5).alias("marriage"),
-            (20 + cust % 55).alias("age"),
-            *[F.coalesce(F.col(f"q{i}") % 12 - 2, F.lit(-2).cast("long")).alias(status[i - 1]) for i in range(1, 7)],
-            *[F.coalesce(f"x{i}", F.lit(0.0)).alias(f"bill_amt{i}") for i in range(1, 7)],
-            *[F.coalesce(f"x{i}", F.lit(0.0)).alias(f"pay_amt{i}") for i in range(1, 7)],
-            F.col("loan_default").alias("default_payment_next_month"),
+        .join(months.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
+        .join(base, F.expr("o_orderkey = k"))
+        .selectExpr(
+            "o_orderkey AS id",
+            "o_totalprice AS limit_bal",
+            "o_custkey % 2 + 1 AS sex",
+            "o_orderkey % 8 AS education",
+            "o_custkey % 5 AS marriage",
+            "20 + o_custkey % 55 AS age",
+            *[f"coalesce(q{i} % 12 - 2, -2L) AS {status[i - 1]}" for i in range(1, 7)],
+            *[f"coalesce(x{i}, 0d) AS bill_amt{i}" for i in range(1, 7)],
+            *[f"coalesce(x{i}, 0d) AS pay_amt{i}" for i in range(1, 7)],
+            "loan_default AS default_payment_next_month",
         )
     )
 

@@ -41,8 +41,9 @@ MATRIX_SQL = ctes("loans", extra=ENG) + (
     + ", ".join(f"{r6(_scaled_sql(c))} + 0 AS {c}" for c in FE.SCALED_NUMERIC)
     + ", "
     + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS {c}_{v}" for c, vs in CATEGORIES.items() for v in vs)
-    + " FROM eng, fit WHERE split <> 'train'"
+    + " FROM eng, fit WHERE split "
 )
+APPLIED, FITTED = MATRIX_SQL + "<> 'train'", MATRIX_SQL + "= 'train'"
 
 
 @query(
@@ -91,10 +92,17 @@ def matrix(spark, sf):
     return _matrix(df.filter(F.col("split") != "train"), FE.fit_features(df.filter(F.col("split") == "train")))
 
 
-query("feature_matrix", MATRIX_SQL)(matrix)
+query("feature_matrix", APPLIED)(matrix)
+query("transform", APPLIED)(matrix)
 
 
-@query("feature_matrix_reloaded", MATRIX_SQL)
+@query("fit_transform", FITTED)
+def _(spark, sf):
+    train = split_loans(spark, sf).filter(F.col("split") == "train")
+    return _matrix(train, FE.fit_features(train))
+
+
+@query("feature_matrix_reloaded", APPLIED)
 def _(spark, sf):
     df = split_loans(spark, sf)
     path = fresh_dir(spark, "features")

@@ -70,17 +70,17 @@ def _(spark, sf):
     return PR.delayed_label_join(prediction_log(spark, sf), labels_feed(spark, sf))
 
 
-def _auc_sql(by: str = "") -> str:
+def _auc_sql(by: str = "", frm: str = "prediction_log") -> str:
     part = f"PARTITION BY {by}" if by else ""
     also = f"PARTITION BY {by}, default_probability" if by else "PARTITION BY default_probability"
     sel = f"{by}, " if by else ""
     grp = f" GROUP BY {by}" if by else ""
     return f"""
 lr AS (SELECT {sel}actual_default AS y, model_version AS mv, rank() OVER ({part} ORDER BY default_probability)
-  + (count(*) OVER ({also}) - 1) / 2 AS mr FROM backfilled WHERE actual_default IS NOT NULL),
+  + (count(*) OVER ({also}) - 1) / 2 AS mr FROM {frm} WHERE actual_default IS NOT NULL),
 la AS (SELECT {sel}count(*) AS n, count(*) FILTER (WHERE y = 1) AS p, sum(mr) FILTER (WHERE y = 1) AS s,
   string_agg(DISTINCT mv, ',' ORDER BY mv) AS model_versions FROM lr{grp}),
-tot AS (SELECT {sel}count(*) AS n_total FROM backfilled{grp}),
+tot AS (SELECT {sel}count(*) AS n_total FROM {frm}{grp}),
 live AS (SELECT {"tot." + by + "," if by else ""} CASE WHEN n >= 100 AND p > 0 AND p < n THEN CAST(printf('%.4f', (s - CAST(p AS DOUBLE) * (p + 1) / 2) / (CAST(p AS DOUBLE) * (n - p))) AS DOUBLE) END AS live_auc,
   coalesce(n, 0) AS n_labeled, n_total, coalesce(model_versions, '') AS model_versions,
   CASE WHEN coalesce(n, 0) < 100 THEN 'Insufficient labeled samples: ' || coalesce(n, 0) || ' < 100'
@@ -89,35 +89,35 @@ live AS (SELECT {"tot." + by + "," if by else ""} CASE WHEN n >= 100 AND p > 0 A
 
 
 def live(spark, sf, by=None):
-    out = PR.live_auc(backfilled(spark, sf), by=by)
+    out = PR.live_auc(prediction_log(spark, sf), by=by)
     return out.withColumn("model_versions", F.array_join("model_versions", ","))
 
 
-@query("live_auc", ctes("prediction_log", "labels_feed", extra=LATEST.strip() + "," + BACKFILL + "," + _auc_sql()) + "SELECT * FROM live")
+@query("live_auc", ctes("prediction_log", extra=_auc_sql()) + "SELECT * FROM live")
 def _(spark, sf):
     return live(spark, sf)
 
 
+@query("live_auc_by_version", ctes("prediction_log", extra=_auc_sql("model_version")) + "SELECT * FROM live")
+def _(spark, sf):
+    return live(spark, sf, ["model_version"])
+
+
 @query(
-    "live_auc_by_version",
-    ctes("prediction_log", "labels_feed", extra=LATEST.strip() + "," + BACKFILL + "," + _auc_sql("model_version")) + "SELECT * FROM live",
+    "live_auc_after_backfill",
+    ctes("prediction_log", "labels_feed", extra=LATEST.strip() + "," + BACKFILL + "," + _auc_sql(frm="backfilled")) + "SELECT * FROM live",
 )
 def _(spark, sf):
-    return live(spark, sf, ["model_version"])
+    out = PR.live_auc(backfilled(spark, sf))
+    return out.withColumn("model_versions", F.array_join("model_versions", ","))
 
 
-_BY_MONTH = _auc_sql("month").replace("FROM backfilled", "FROM monthly")
+_MONTHLY = "monthly AS (SELECT *, strftime(ts, '%Y-%m') AS month FROM prediction_log),"
 
 
-@query(
-    "live_auc_over_time",
-    ctes(
-        "prediction_log", "labels_feed",
-        extra=LATEST.strip() + "," + BACKFILL + ",\nmonthly AS (SELECT *, strftime(ts, '%Y-%m') AS month FROM backfilled)," + _BY_MONTH,
-    ) + "SELECT * FROM live",
-)
+@query("live_auc_over_time", ctes("prediction_log", extra=_MONTHLY + _auc_sql("month", "monthly")) + "SELECT * FROM live")
 def _(spark, sf):
-    log = backfilled(spark, sf).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    log = prediction_log(spark, sf).withColumn("month", F.date_format("ts", "yyyy-MM"))
     out = PR.live_auc(log, by=["month"])
     return out.withColumn("model_versions", F.array_join("model_versions", ","))
 
@@ -161,8 +161,8 @@ PERF = """
 perf_alerts AS (SELECT 'performance_degradation' AS alert_type, 'critical' AS severity, CAST(NULL AS VARCHAR) AS feature, live_auc AS value,
   75e-2 AS threshold, 'Live AUC ' || printf('%.4f', live_auc) || ' < threshold 0.7500' AS message FROM live WHERE live_auc < 75e-2)"""
 ALL_ALERTS = ctes(
-    "ref_cur", "prediction_log", "labels_feed",
-    extra=BINS + "," + DRIFT_ALERTS + "," + LATEST + "," + BACKFILL + "," + _auc_sql() + "," + PERF
+    "ref_cur", "prediction_log",
+    extra=BINS + "," + DRIFT_ALERTS + "," + _auc_sql() + "," + PERF
     + ",\nall_alerts AS (SELECT * FROM drift_alerts UNION ALL SELECT * FROM perf_alerts)",
 )
 

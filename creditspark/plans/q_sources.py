@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from creditspark import schema as S
-from creditspark.operators import split as SP
-from creditspark.plans.fixtures import ctes, loans, prediction_log, table
+from creditspark.functions.loan import iso_timestamp
+from creditspark.operators import runs as RU, split as SP
+from creditspark.plans.fixtures import ctes, loans, prediction_log, runs, table
 from creditspark.plans.q_metrics import r6
 from creditspark.plans.q_monitor import report
 from creditspark.plans.q_quality import SPLITS
@@ -118,6 +119,31 @@ def _(spark, sf):
     return RP.load_reports(spark, path, rows.schema)
 
 
+@query(
+    "scan_json_report",
+    ctes("runs") + """SELECT run_id, 'report_' || substr(run_id, 1, 8) || '_' || strftime(created, '%Y-%m-%d') AS report,
+    test_auc_roc AS test_auc, val_auc_roc AS val_auc, test_auc_roc >= 8e-1 AS promoted FROM runs""",
+)
+def _(spark, sf):
+    path = fresh_dir(spark, "run-reports")
+    nested = RU.promotion_gate(runs(spark, sf)).select(
+        "run_id",
+        "model_name",
+        iso_timestamp(F.col("created")).alias("timestamp"),
+        F.create_map(F.lit("auc_roc"), "val_auc_roc").alias("val_metrics"),
+        F.create_map(F.lit("auc_roc"), "test_auc_roc").alias("test_metrics"),
+        "promoted",
+    )
+    RP.save_reports(nested, path)
+    return RP.load_reports(spark, path, nested.schema).select(
+        "run_id",
+        "report",
+        F.col("test_metrics")["auc_roc"].alias("test_auc"),
+        F.col("val_metrics")["auc_roc"].alias("val_auc"),
+        "promoted",
+    )
+
+
 @query(
     "sink_metrics_json",
     LOANS + f"SELECT count(*) AS n_rows, {r6('avg(loan_default)')} AS default_rate FROM loans",
