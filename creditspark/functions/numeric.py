@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -13,14 +14,27 @@ def round_half_even(c: Column, dp: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
+def _formatted(c: Column, dp: int) -> Column:
+    return F.call_function("format_number", c, F.lit("0." + "0" * dp))
+
+
 def round_report(c: Column, dp: int) -> Column:
-    """Correctly rounded to ``dp`` decimals; for small report tables, not hot rows."""
-    return F.call_function("format_number", c, F.lit("0." + "0" * dp)).cast("double") + F.lit(0.0)
+    """Correctly rounded to ``dp`` decimals; for small report tables, not hot rows.
+
+    Values below one unit of the last decimal are decided by comparison, since the
+    formatter drops a lone digit 5 there.
+    """
+    unit, half = float(f"1e-{dp}"), float(f"5e-{dp + 1}")
+    half_goes_up = Decimal(half) > Decimal(5).scaleb(-(dp + 1))
+    size = F.abs(c)
+    up = size >= half if half_goes_up else size > half
+    small = F.when(up, F.signum(c) * unit).otherwise(0.0)
+    return F.when(size < unit, small).otherwise(_formatted(c, dp).cast("double")) + F.lit(0.0)
 
 
 def fixed(c: Column, dp: int) -> Column:
-    """Text with exactly ``dp`` decimals."""
-    return F.call_function("format_number", c, F.lit("0." + "0" * dp))
+    """Text with exactly ``dp`` decimals, correctly rounded."""
+    return _formatted(round_report(c, dp), dp)
 
 
 def clip(c: Column, low: float, high: float) -> Column:

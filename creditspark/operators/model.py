@@ -24,7 +24,7 @@ MODEL_DEFAULTS = {
     "subsample": 0.8,
     "colsample": 0.8,
 }
-EARLY_STOP_TOLERANCE = 0.01
+EARLY_STOP_ROUNDS = 50
 SEARCH_SPACE = {
     "n_estimators": ("int", 100, 1000, 50),
     "learning_rate": ("log", 1e-3, 0.3),
@@ -37,14 +37,12 @@ SEARCH_SPACE = {
 
 
 def classifier(params: dict | None = None, seed: int = 42) -> GBTClassifier:
-    """Boosted trees with class weights and early stopping on the validation rows."""
+    """Boosted trees with class weights."""
     p = {**MODEL_DEFAULTS, **(params or {})}
     return GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="is_val",
-        validationTol=EARLY_STOP_TOLERANCE,
         maxIter=int(p["n_estimators"]),
         stepSize=float(p["learning_rate"]),
         maxDepth=int(p["max_depth"]),
@@ -55,6 +53,40 @@ def classifier(params: dict | None = None, seed: int = 42) -> GBTClassifier:
     )
 
 
+def best_round(losses: list[float], patience: int = EARLY_STOP_ROUNDS) -> int:
+    """Rounds to keep: the best before ``patience`` rounds pass without improvement."""
+    best, at = float("inf"), 0
+    for i, loss in enumerate(losses, 1):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            break
+    return at
+
+
+def validation_rows(rows: DataFrame) -> DataFrame:
+    """The validation rows, each counting once: class weights are for fitting only."""
+    return rows.filter("is_val").withColumn("weight", F.lit(1.0))
+
+
+def fit_boosted(
+    rows: DataFrame, params: dict | None = None, seed: int = 42, patience: int = EARLY_STOP_ROUNDS
+) -> GBTClassificationModel:
+    """Model of the train rows, cut at the round with the lowest validation loss.
+
+    Spark's own validation stops at the first round without improvement. Here every
+    round is judged in one pass over the validation rows; a shorter ensemble is fitted
+    again with that many rounds, whose trees are the same for the same seed.
+    """
+    fit_rows = rows.filter(~F.col("is_val"))
+    estimator = classifier(params, seed)
+    model = estimator.fit(fit_rows)
+    rounds = best_round(model.evaluateEachIteration(validation_rows(rows)), patience)
+    if rounds in (0, model.getNumTrees):
+        return model
+    return estimator.copy({estimator.maxIter: rounds}).fit(fit_rows)
+
+
 def training_rows(split_loans: DataFrame, features: PipelineModel, target: str = S.TARGET_COLUMN) -> DataFrame:
     """Feature vectors of the train and validation rows, positives weighted up."""
     fit_rows = split_loans.filter(F.col("split").isin("train", "val"))
@@ -75,8 +107,11 @@ def train(
 ) -> tuple[PipelineModel, GBTClassificationModel]:
     """Feature stages fitted on train, and the model fitted on train with early stopping."""
     features = fit_features(split_loans.filter(F.col("split") == "train"))
-    model = classifier(params, seed).fit(training_rows(split_loans, features))
-    return features, model
+    rows = training_rows(split_loans, features).persist()
+    try:
+        return features, fit_boosted(rows, params, seed)
+    finally:
+        rows.unpersist()
 
 
 def predict(rows: DataFrame, features: PipelineModel, model: GBTClassificationModel) -> DataFrame:
@@ -145,7 +180,7 @@ def random_search(
 
     def fit_and_score(item: tuple[int, dict]) -> tuple[int, dict, float]:
         i, params = item
-        model = classifier(params, seed).fit(rows)
+        model = fit_boosted(rows, params, seed)
         val = model.transform(rows.filter("is_val")).withColumn("p", vector_to_array("probability")[1])
         return i, {k: str(v) for k, v in params.items()}, rank_metrics(val, "p", "label").first()["auc_roc"]
 

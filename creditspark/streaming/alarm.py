@@ -3,6 +3,8 @@
 Two streams in a row: the first aggregates raw rows per metric and bucket and appends
 completed buckets to a table, the second folds that table, in bucket order, into keyed
 state. So the state function sees one row per bucket, whatever the volume of a metric.
+The buckets a micro-batch completes are gathered by metric, so that a metric's buckets
+arrive in one file per micro-batch and the second stream reads them in time order.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ def bucket_values(rows: DataFrame, rule: AlarmRule, watermark: str = WATERMARK)
         .groupBy("metric", F.window("ts", f"{rule.period_seconds} seconds").alias("w"))
         .agg(stat("value").alias("value"))
         .select("metric", F.col("w.start").alias("period"), "value")
+        .repartition("metric")
     )
 
 
@@ -36,6 +39,7 @@ def hourly_activity(rows: DataFrame, critical_above: float, watermark: str = WAT
         .groupBy("model", F.window("ts", "1 hour").alias("w"))
         .agg(F.count(F.lit(1)).alias("n_rows"), (F.max("value") > critical_above).alias("critical"))
         .select("model", F.col("w.start").alias("hour"), "n_rows", "critical")
+        .repartition("model")
     )
 
 
