@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from creditspark import schema as S
 from creditspark.errors import PromotionError
 from creditspark.functions.loan import iso_timestamp, promotion_reason
+from creditspark.operators.skew import salted_join
 
 
 def leaderboard(runs: DataFrame, metric: str = "test_auc_roc", n: int = 10) -> DataFrame:
@@ -48,7 +49,7 @@ def champions(versions: DataFrame) -> DataFrame:
     approved = versions.filter(F.col("approval") == "Approved")
     newest = approved.groupBy("model_name").agg(F.max(F.struct("created", "version")).alias("_top"))
     return (
-        approved.join(newest, "model_name")
+        salted_join(approved, newest, ["model_name"], "inner")
         .withColumn(
             "status",
             F.when(F.struct("created", "version") == F.col("_top"), "champion").otherwise("archived"),

@@ -9,6 +9,7 @@ from creditspark.functions.numeric import bind
 
 HASH_BITS = 32
 BLOCK_BITS = 16
+MAX_CLASSES = 10_000
 
 
 def hash_position(id_col: Column, seed: int) -> Column:
@@ -63,8 +64,11 @@ def split_quotas(
     Totals round up, as the usual two-step stratified split does. The table has one
     row per class, so its windows stay small whatever the size of ``df``.
     """
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     everyone = Window.partitionBy()
+    checked = F.when(F.count(F.lit(1)).over(everyone) <= MAX_CLASSES, F.col("n")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes: not a column to stratify by")).cast("long")
+    )
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).withColumn("n", checked)
     total = F.sum("n").over(everyone)
     with_test = _quota(
         counts.withColumn("_test", F.ceil(total * F.lit(test_size))),
@@ -134,13 +138,14 @@ def exact_stratified_split(
     """Adds ``split`` with the exact per-class sizes of ``split_quotas``.
 
     Within a class the rows go to test, then val, then train in hash order. Rows with
-    the same id share a position and are never separated.
+    the same id share a position and are never separated. The cut-offs have one row per
+    class, at most ``MAX_CLASSES``, and are broadcast, so the table itself is not moved.
     """
     hashed = df.withColumn("_h", hash_position(F.col(id_col), seed))
     quotas = split_quotas(df, test_size, val_size, target)
     cut = _cutoffs(hashed.select(target, "_h"), quotas, target)
     return (
-        hashed.join(cut, target, "left")
+        hashed.join(F.broadcast(cut), target, "left")
         .withColumn(
             "split",
             F.when(F.col("_h") <= F.col("test"), "test").when(F.col("_h") <= F.col("val"), "val").otherwise("train"),

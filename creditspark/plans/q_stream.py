@@ -12,9 +12,9 @@ from creditspark.plans.q_model import INTERCEPT, LIN, LINEAR, _MARGIN
 from creditspark.plans.q_monitor import ALARM, alarm_rows
 from creditspark.plans.registry import query
 from creditspark.session import fresh_dir
-from creditspark.sources.tables import append_predictions, read_predictions
+from creditspark.sources.tables import dated_log, read_predictions
 from creditspark.streaming import alarm as SA, labels as SL, monitor as SM
-from creditspark.streaming.run import follow, run_available, run_batches, stream_table
+from creditspark.streaming.run import append_available, follow, run_available, stream_table
 
 CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 
@@ -161,17 +161,12 @@ scored AS (SELECT loan_id, 1 / (1 + exp(-({_MARGIN}))) AS p FROM lin)""")
     FROM scored s JOIN loans l ON l.loan_id = s.loan_id""",
 )
 def _(spark, sf):
-    path = fresh_dir(spark, "scored-log")
     train = SP.hash_split(loans(spark, sf)).filter(F.col("split") == "train")
     means = E.baseline_means(train, list(LINEAR))
     arriving = loans(spark, sf, orders=stream_table(spark, f"{sf}/orders.parquet"))
-
-    def step(batch, batch_id):
-        scored = SC.score_linear(batch, means, LINEAR, INTERCEPT, carry=("as_of",))
-        log = SC.as_log_rows(scored, F.col("as_of"))
-        append_predictions(log, path, period="month")
-
-    run_batches(arriving, step, "score")
+    scored = SC.score_linear(arriving, means, LINEAR, INTERCEPT, carry=("as_of",))
+    log = dated_log(SC.as_log_rows(scored, F.col("as_of")), period="month")
+    path = append_available(log, "scored-log", ["dt"])
     return read_predictions(spark, path).drop("actual_default")
 
 

@@ -80,17 +80,20 @@ def read_splits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def dated_log(df: DataFrame, period: str = "day") -> DataFrame:
+    """Rows in the log's columns and types, with the folder date ``dt``."""
+    present = {f: F.col(f) if f in df.columns else F.lit(None) for f in S.PREDICTION_LOG_SCHEMA.fieldNames()}
+    rows = df.select(*[present[f.name].cast(f.dataType).alias(f.name) for f in S.PREDICTION_LOG_SCHEMA.fields])
+    return rows.withColumn("dt", F.trunc(F.to_date("ts"), "month") if period == "month" else F.to_date("ts"))
+
+
 def append_predictions(df: DataFrame, path: str, period: str = "day") -> None:
     """Append to the prediction log, one folder per UTC day or month.
 
     Existing files are not read. Rows are gathered by folder before writing, so that a
     folder gets few files; Spark splits a folder that is much larger than the others.
     """
-    fields = S.PREDICTION_LOG_SCHEMA.fieldNames()
-    present = {f: F.col(f) if f in df.columns else F.lit(None) for f in fields}
-    rows = df.select(*[present[f.name].cast(f.dataType).alias(f.name) for f in S.PREDICTION_LOG_SCHEMA.fields])
-    dated = rows.withColumn("dt", F.trunc(F.to_date("ts"), "month") if period == "month" else F.to_date("ts"))
-    dated.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
+    dated_log(df, period).hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from creditspark.operators.curve import auc_columns, running_totals, value_counts
 from creditspark.streaming.run import run_batches
@@ -52,12 +52,14 @@ def live_auc_stream(labeled: DataFrame, by: list[str], score: str, label: str, s
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.filter(F.col(label).isNotNull())
-        value_counts(rows, score, measures, by).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-        touched = spark.read.parquet(f"{store}/batch={batch_id}").select(*by).distinct()
-        stored = spark.read.parquet(store).filter(F.col("batch") <= batch_id).drop("batch")
+        counts = value_counts(batch.filter(F.col(label).isNotNull()), score, measures, by)
+        counts.write.mode("overwrite").partitionBy(*by).parquet(f"{store}/batch={batch_id}")
+        schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
+        stored = spark.read.schema(schema).parquet(store).filter(F.col("batch") <= batch_id)
+        # Counts are stored by group, so reading the touched groups prunes the others.
+        touched = stored.filter(F.col("batch") == batch_id).select(*by).distinct()
         curve = running_totals(
-            stored.join(touched, by, "left_semi"), "value", {"pos": F.col("pos"), "neg": F.col("neg")}, by
+            stored.drop("batch").join(touched, by, "left_semi"), "value", {"pos": F.col("pos"), "neg": F.col("neg")}, by
         )
         agg = auc_columns()
         curve.groupBy(*by).agg(

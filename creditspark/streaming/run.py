@@ -21,11 +21,11 @@ def stream_table(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def append_available(stream: DataFrame, name: str) -> str:
+def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Run the stream over the data at hand; the folder it appended to."""
     path = fresh_dir(stream.sparkSession, name)
     checkpoint = fresh_dir(stream.sparkSession, f"{name}-state")
-    file_sink(stream, path, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    file_sink(stream, path, checkpoint, partition_by).trigger(availableNow=True).start().awaitTermination()
     return path
 
 
