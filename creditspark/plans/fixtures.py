@@ -96,7 +96,7 @@ loan_base AS (
     o_orderdate AS as_of
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN lines ON o_orderkey = l_orderkey
 ),
-loan_risk AS (
+risk_rows AS (
   SELECT *, least(greatest(CAST(680 - credit_score AS DOUBLE) / 1000 + num_delinquencies * 8e-2
     + (debt_to_income_ratio - 1) * 1e-1 + 5e-2, 2e-2), 95e-2) AS pd
   FROM loan_base
@@ -105,7 +105,7 @@ loans AS (
   SELECT *,
     CAST(CASE WHEN CAST((k * 48271) % 2147483647 % 10000 AS DOUBLE) / 10000 < pd THEN 1 ELSE 0 END AS BIGINT) AS loan_default,
     round_even(least(greatest(pd + (CAST((k * 69621) % 1000 AS DOUBLE) / 1000 - 5e-1) * 3e-1, 0e0), 1e0) * 10000, 0) / 10000 AS default_probability
-  FROM loan_risk
+  FROM risk_rows
 )"""
 
 

@@ -44,10 +44,7 @@ def _rows(cols, rows):
 def compare(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
     got = df.toArrow()
-    cur = con.execute(sql)
-    want = cur.to_arrow_table() if hasattr(cur, "to_arrow_table") else cur.arrow()
-    if not hasattr(want, "to_pylist"):
-        want = want.read_all()
+    want = con.sql(sql).to_arrow_table()
     a = {f.name: str(f.type).replace("large_", "") for f in got.schema}
     b = {f.name: str(f.type).replace("large_", "") for f in want.schema}
     if a != b:

@@ -3,7 +3,7 @@
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from creditspark.operators import alerts as AL
 from creditspark.plans.fixtures import metric_events, table
@@ -18,7 +18,7 @@ def pieces(spark, sf):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/events"
     events = table(spark, sf, "events").orderBy("ts")
     bounds = [0, 0.3, 0.6, 1.01]
-    ranked = events.withColumn("r", F.percent_rank().over(__import__("pyspark").sql.Window.orderBy("ts")))
+    ranked = events.withColumn("r", F.percent_rank().over(Window.orderBy("ts")))
     for lo, hi in zip(bounds, bounds[1:]):
         ranked.filter((F.col("r") >= lo) & (F.col("r") < hi)).drop("r").coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
