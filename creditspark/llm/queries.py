@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creditspark.llm import simhash
+from creditspark.llm import packing, simhash, token_counts
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,14 @@ def _query(name: str, sql: str | None = None):
 @_query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), limits=(1024,))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fit_1024")
+
+
+@_query("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
