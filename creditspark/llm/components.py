@@ -27,28 +27,26 @@ def stars(edges: DataFrame) -> DataFrame:
     and joins hot nodes as ordinary equi-joins, which adaptive execution can split. Each
     round is checkpointed; nothing but a changed flag reaches the driver. No edges: no rows.
     """
-    now = cut(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m"))
-        .distinct()
+    now, seen = _settled(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct()
     )
-    while True:
+    while seen[0]:
         both = now.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             now.select(F.col("m").alias("u"), F.col("v").alias("v"))
         )
         large = _hang(both, F.col("e.v") > F.col("e.u")).where("v <> m").distinct()
         down = large.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = (
-            _hang(down, F.lit(True))
-            .unionByName(_least(down).select(F.col("u").alias("v"), "m"))
-            .where("v <> m")
-            .distinct()
-        )
-        new = cut(small)
-        differs = new.exceptAll(now).limit(1).count() + now.exceptAll(new).limit(1).count()
-        now = new
-        if not differs:
+        small = _hang(down, F.lit(True)).unionByName(_least(down).select(F.col("u").alias("v"), "m"))
+        before, (now, seen) = seen, _settled(small.where("v <> m").distinct())
+        if before == seen:
             break
     return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(
         now.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct()
     )
+
+
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, computed, and their number and hashes, by which two rounds are compared."""
+    kept = cut(edges)
+    marks = kept.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "m")), F.bit_xor(F.xxhash64("m", "v")))
+    return kept, tuple(marks.first())

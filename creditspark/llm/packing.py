@@ -13,9 +13,8 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut, rows_of
-from creditspark.llm.token_counts import BLANKS, _Memo, tokenizer_path
+from creditspark.llm.token_counts import BLANKS, Memo, byte_alphabet, plain_letters, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -46,17 +45,25 @@ class WordIds:
         self.lib = Tokenizer.from_file(path)
         added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.specials = re.compile("|".join(map(re.escape, added))) if added else None
-        self.word = _Memo(self._encode)
-        self.chunk = _Memo(self._chunk)
+        self.letter = {b: c for c, b in byte_alphabet().items()}
+        self.model = self.lib.model
+        self.word = Memo(self._word)
+        self.chunk = Memo(self._chunk)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one piece in lower case, past the pattern and the normaliser."""
+        written = word if word.isascii() else "".join(map(self.letter.__getitem__, word.encode()))
+        return np.array([t.id for t in self.model.tokenize(written)], dtype="<u4").tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
         """A stretch without blanks. Letters and the marks behind them never share a token."""
         core = chunk.rstrip(_ENDS)
-        if core.isalpha() and "Σ" not in core and unicodedata.is_normalized("NFC", core):
-            return self.word[core.lower()] + (self.word[chunk[len(core) :]] if len(core) < len(chunk) else b"")
+        low = core.lower()
+        if plain_letters(core) and plain_letters(low):
+            return self.word[low] + (self.word[chunk[len(core) :]] if len(core) < len(chunk) else b"")
         return self._encode(chunk)
 
     def ids(self, text: str) -> bytes:
@@ -159,6 +166,26 @@ class _Layout:
             insort(self.open, (room, base, sequences))
 
 
+def _exact(left: dict[int, int], there: list[int], bins: dict[int, list[int]], shape: tuple[int, ...], room: int, width: int):
+    """Lengths still there for a pattern: the longest of each bin, and last the longest that the room takes.
+
+    ``there``: the lengths in ascending order. Empty if a bin is used up, or the last would leave two bins' width.
+    """
+    chosen: list[int] = []
+    for u in shape[:-1]:
+        n = next((n for n in bins.get(u, ()) if left[n] > chosen.count(n)), None)
+        if n is None:
+            return []
+        chosen.append(n)
+        room -= n
+    for at in range(bisect_right(there, room) - 1, -1, -1):
+        if there[at] <= room - 2 * width:
+            break
+        if left[there[at]] > chosen.count(there[at]):
+            return [*chosen, there[at]]
+    return []
+
+
 def lay_out(counts: dict[int, int], capacity: int = CAPACITY, width: int = BIN) -> _Layout:
     """The packing of a histogram of piece lengths (all at most ``capacity``)."""
     layout = _Layout(counts)
@@ -167,7 +194,7 @@ def lay_out(counts: dict[int, int], capacity: int = CAPACITY, width: int = BIN)
         bins: dict[int, list[int]] = {}
         for length in sorted(counts, reverse=True):
             bins.setdefault(-(-length // width), []).append(length)
-        shapes = patterns(units)
+        there, shapes = sorted(counts), patterns(units)
         fill = np.zeros((units, len(shapes)))
         for j, shape in enumerate(shapes):
             for u in shape:
@@ -176,20 +203,11 @@ def lay_out(counts: dict[int, int], capacity: int = CAPACITY, width: int = BIN)
         repeats = nnls(fill, want)
         for j in np.argsort(-repeats, kind="stable")[: int((repeats >= 1).sum())]:
             times = int(repeats[j] + 1e-6)
-            for u in set(shapes[j]):  # rounding may want more than there is
-                times = min(times, sum(layout.left[n] for n in bins.get(u, [])) // shapes[j].count(u))
             while times:
-                # the longest left of each bin, as often as all of them last
-                chosen = [next(n for n in bins[u] if layout.left[n]) for u in shapes[j]]
+                chosen = _exact(layout.left, there, bins, shapes[j], capacity, width)
+                if not chosen:
+                    break
                 run = min([times, *(layout.left[n] // chosen.count(n) for n in set(chosen))])
-                if not run:  # a length's last piece is wanted twice: take the next length too
-                    seen: dict[int, int] = {}
-                    chosen = []
-                    for u in shapes[j]:
-                        n = next(n for n in bins[u] if layout.left[n] > seen.get(n, 0))
-                        seen[n] = seen.get(n, 0) + 1
-                        chosen.append(n)
-                    run = 1
                 offset = 0
                 for n in chosen:
                     layout.place(n, run, 1, layout.sequences, offset)

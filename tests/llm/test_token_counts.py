@@ -26,8 +26,8 @@ PARTS = [" ", "  ", "\n", "\n\n", "\t ", "　", "\x1c", "'ll", "'re", "'s", "'",
 def test_every_prefix_of_odd_texts(text):
     assert OWN.prefixes(text) == [lib(text[:i]) for i in range(len(text) + 1)]
     assert OWN.count(text) == lib(text)
-    for limit in (0, 1, 3, 6):
-        assert OWN.fit(text, limit) == max(i for i in range(len(text) + 1) if lib(text[:i]) <= limit)
+    best = [max(i for i in range(len(text) + 1) if lib(text[:i]) <= n) for n in (0, 1, 3, 6)]
+    assert OWN.measure(text, (0, 1, 3, 6)) == (lib(text), *best)
 
 
 def test_whole_table_against_the_library(spark, sf):
