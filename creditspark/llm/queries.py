@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspark.llm import packing, simhash, token_counts
+from creditspark.llm import html_text, mixing, packing, quality, simhash, token_counts
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_source_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), repeat_limit=2.0)
+
+
+@_query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@_query("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
