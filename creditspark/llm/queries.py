@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspark.llm import html_text, mixing, packing, quality, simhash, token_counts
+from creditspark.llm import html_text, line_dedup, mixing, packing, quality, simhash, token_counts
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_html_extraction")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@_query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeats(table(spark, sf_dir, "documents"), report=True)

@@ -18,7 +18,7 @@ from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut, rows_of
@@ -177,6 +177,13 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, parts: int = 6, bucket_
     return edges.unionByName(more)
 
 
+def _components(marked: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """(fp, root): every fingerprint and the least one (as a signed long) of its component."""
+    nodes = marked.select("fp").distinct()
+    roots = stars(links(nodes, max_bits, bucket_rows=bucket_rows))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(nodes["fp"], F.coalesce("root", nodes["fp"]).alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -192,13 +199,49 @@ def near_duplicates(
     component has no other. Other columns of ``docs`` play no part. No rows give no rows.
     """
     marked = cut(fingerprints(docs, id_col, text_col))
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = stars(links(nodes.select("fp"), max_bits, bucket_rows=bucket_rows))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        nodes["fp"], "first_id", F.coalesce("root", nodes["fp"]).alias("root")
-    )
+    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    rooted = _components(marked, max_bits, bucket_rows).join(firsts, "fp")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return marked.join(named, marked["fp"] == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_bits: int = MAX_BITS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """One row of ``docs`` for each component of ``near_duplicates``: the least id, nulls last.
+
+    Of rows that share it, the one whose text hashes least; of rows equal in both, any one.
+    """
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(F.col(text_col)).alias("m")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(F.col(text_col).alias("text"), *key, row)
+    # the fingerprint travels with the hash of its text
+    marked = cut(whole.select("d", "text", "m").mapInArrow(_with_marks, "d long, m long, fp long"))
+    least = marked.groupBy("fp").agg(F.min(F.struct("d", "m")).alias("first"))
+    chosen = (
+        _components(marked, max_bits, bucket_rows)
+        .join(least, "fp")
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.d").alias("cd"), F.col("first.m").alias("cm"))
+    )
+    one = Window.partitionBy("d", "m").orderBy("d")
+    return (
+        whole.join(chosen, (F.col("d") == F.col("cd")) & (F.col("m") == F.col("cm")))
+        .withColumn("n", F.row_number().over(one))
+        .where("n = 1")
+        .select("row.*")
+    )
+
+
+def _with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, texts, marks in rows_of(batches):
+        values = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(values)], ["d", "m", "fp"])
