@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspark.llm import html_text, line_dedup, mixing, packing, quality, simhash, token_counts
+from creditspark.llm import html_text, language, line_dedup, mixing, packing, quality, simhash, token_counts, top_k
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,32 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeats(table(spark, sf_dir, "documents"), report=True)
+
+
+@_query(
+    "op3_exact_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+      WHERE q.vec_id % 100 = 0
+    ), r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@_query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
