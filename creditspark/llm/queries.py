@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspark.llm import html_text, language, line_dedup, mixing, packing, quality, simhash, token_counts, top_k
+from creditspark.llm import html_text, language, line_dedup, lm_score, mixing, packing, quality, simhash, token_counts, top_k
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what the labels call good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
