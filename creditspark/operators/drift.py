@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -118,27 +120,43 @@ def kolmogorov_tail(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def chi_square_tail(statistic: Column, df: Column) -> Column:
-    """Upper tail of the chi-square distribution, from the incomplete-gamma series."""
-    a, x = df.cast("double") / 2, statistic.cast("double") / 2
-    log_gamma = F.aggregate(
-        F.sequence(F.lit(0), F.ceil(a).cast("int") - 1),
-        F.when(df % 2 == 1, F.log(F.lit(3.141592653589793)) / 2).otherwise(F.lit(0.0)),
-        lambda acc, j: acc + F.log(a - j),
-    )
-    start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.lit(1000)),
-        start,
-        lambda acc, n: F.struct((acc["t"] * x / (a + n)).alias("t"), (acc["s"] + acc["t"] * x / (a + n)).alias("s")),
+def erfc(z: Column) -> Column:
+    """Complementary error function of z >= 0: a power series below 1, a continued fraction from there."""
+    root_pi = F.lit(math.sqrt(math.pi))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(40)),
+        F.struct(z.alias("t"), z.alias("s")),
+        lambda acc, n: F.struct(
+            (-acc["t"] * z * z / n).alias("t"), (acc["s"] - acc["t"] * z * z / n / (2 * n + 1)).alias("s")
+        ),
     )["s"]
-    lower = F.exp(a * F.log(x) - x - log_gamma) * total
-    far = x > a + F.lit(40) * F.sqrt(a) + 60
+    fraction = F.aggregate(F.sequence(F.lit(400), F.lit(1), F.lit(-1)), z, lambda acc, k: z + k / (2 * acc))
+    return F.when(z < 1, 1 - 2 * series / root_pi).otherwise(F.exp(-z * z) / (root_pi * fraction))
+
+
+def chi_square_tail(statistic: Column, df: Column) -> Column:
+    """Upper tail of the chi-square distribution: its closed sum of about df / 2 positive terms, kept as logarithms.
+
+    Nothing is subtracted and no term is left out, so small tails keep their digits at any
+    number of degrees. An infinite statistic has tail 0.
+    """
+    odd = (df % 2).cast("double")
+    x = F.least(F.greatest(statistic.cast("double"), F.lit(1e-300)), F.lit(1e300)) / 2
+    steps = F.floor(df / 2).cast("int")  # terms x^(j + odd / 2) / gamma(j + 1 + odd / 2), j from 0
+    first = F.when(odd == 1, F.log(x) / 2 - F.log(F.lit(math.sqrt(math.pi) / 2))).otherwise(F.lit(0.0)) - x
+    none = F.struct(first.alias("t"), F.lit(float("-inf")).alias("s"))
+
+    def add(acc: Column, j: Column) -> Column:
+        term = F.when(j == 0, acc["t"]).otherwise(acc["t"] + F.log(x) - F.log(j + odd / 2))
+        top = F.greatest(acc["s"], term)
+        return F.struct(term.alias("t"), (top + F.log(F.exp(acc["s"] - top) + F.exp(term - top))).alias("s"))
+
+    terms = F.when(steps > 0, F.sequence(F.lit(0), F.greatest(steps, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    total = F.exp(F.aggregate(terms, none, add)["s"]) + F.when(odd == 1, erfc(F.sqrt(x))).otherwise(F.lit(0.0))
     return (
-        F.when(df <= 0, F.lit(1.0))
-        .when(x <= 0, F.lit(1.0))
-        .when(far, F.lit(0.0))
-        .otherwise(F.least(F.greatest(F.lit(1.0) - lower, F.lit(0.0)), F.lit(1.0)))
+        F.when((df <= 0) | (statistic <= 0), F.lit(1.0))
+        .when(statistic == float("inf"), F.lit(0.0))
+        .otherwise(F.least(total, F.lit(1.0)))
     )
 
 

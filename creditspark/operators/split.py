@@ -7,14 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from creditspark import schema as S
 from creditspark.functions.numeric import bind
 
-HASH_BITS = 32
+HASH_BITS = 60
 BLOCK_BITS = 16
-MAX_CLASSES = 10_000
 
 
 def hash_position(id_col: Column, seed: int) -> Column:
-    """Seeded 32-bit position of an id, uniform in [0, 2^32)."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), id_col.cast("string")))
+    """Seeded 60-bit position of an id, uniform in [0, 2^60); a null id counts as an empty one."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -65,10 +64,7 @@ def split_quotas(
     row per class, so its windows stay small whatever the size of ``df``.
     """
     everyone = Window.partitionBy()
-    checked = F.when(F.count(F.lit(1)).over(everyone) <= MAX_CLASSES, F.col("n")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes: not a column to stratify by")).cast("long")
-    )
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).withColumn("n", checked)
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(everyone)
     with_test = _quota(
         counts.withColumn("_test", F.ceil(total * F.lit(test_size))),
@@ -97,33 +93,35 @@ def _cutoffs(hashed: DataFrame, quotas: DataFrame, target: str) -> DataFrame:
     )
     run = Window.partitionBy(target).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
     wanted = quotas.select(
-        target,
+        F.col(target).alias("_class"),
         F.explode(
             F.array(
                 F.struct(F.lit("test").alias("part"), F.col("n_test").alias("rank")),
                 F.struct(F.lit("val").alias("part"), (F.col("n_test") + F.col("n_val")).alias("rank")),
             )
         ).alias("_w"),
-    ).select(target, "_w.part", "_w.rank")
+    ).select("_class", "_w.part", "_w.rank")
     edge_blocks = (
         blocks.withColumn("_end", F.sum("_n").over(run))
-        .join(wanted, target)
+        .join(wanted, F.col(target).eqNullSafe(F.col("_class")))
         .filter((F.col("rank") > F.col("_end") - F.col("_n")) & (F.col("rank") <= F.col("_end")))
-        .select(target, "part", "_block", (F.col("rank") - F.col("_end") + F.col("_n")).alias("_need"))
+        .select("_class", "part", F.col("_block").alias("_edge"), (F.col("rank") - F.col("_end") + F.col("_n")).alias("_need"))
     )
     inside = (
-        hashed.withColumn("_block", F.shiftright("_h", shift))
-        .join(edge_blocks, [target, "_block"])
-        .groupBy(target, "part", "_need", "_h")
+        hashed.join(
+            edge_blocks, F.col(target).eqNullSafe(F.col("_class")) & (F.shiftright("_h", shift) == F.col("_edge"))
+        )
+        .groupBy("_class", "part", "_need", "_h", "_id")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    order = Window.partitionBy(target, "part").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_class", "part").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, 0)
     return (
         inside.withColumn("_reached", F.sum("_n").over(order))
         .filter(F.col("_reached") >= F.col("_need"))
-        .groupBy(target)
+        .groupBy("_class")
         .pivot("part", ["test", "val"])
-        .agg(F.min("_h"))
+        .agg(F.min(F.struct("_h", "_id")))
+        .select("_class", F.col("test").alias("_test"), F.col("val").alias("_val"))
     )
 
 
@@ -137,20 +135,19 @@ def exact_stratified_split(
 ) -> DataFrame:
     """Adds ``split`` with the exact per-class sizes of ``split_quotas``.
 
-    Within a class the rows go to test, then val, then train in hash order. Rows with
-    the same id share a position and are never separated. The cut-offs have one row per
-    class, at most ``MAX_CLASSES``, and are broadcast, so the table itself is not moved.
+    Within a class (a null target is a class too) the rows go to test, then val, then train in
+    the order of their hash and, where hashes meet, of their id. Rows with the same id are
+    never separated. The cut-offs have one row per class.
     """
-    hashed = df.withColumn("_h", hash_position(F.col(id_col), seed))
+    text_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    hashed = df.withColumns({"_h": hash_position(F.col(id_col), seed), "_id": text_id})
     quotas = split_quotas(df, test_size, val_size, target)
-    cut = _cutoffs(hashed.select(target, "_h"), quotas, target)
+    cut = _cutoffs(hashed.select(target, "_h", "_id"), quotas, target)
+    place = F.struct("_h", "_id")
     return (
-        hashed.join(F.broadcast(cut), target, "left")
-        .withColumn(
-            "split",
-            F.when(F.col("_h") <= F.col("test"), "test").when(F.col("_h") <= F.col("val"), "val").otherwise("train"),
-        )
-        .drop("_h", "test", "val")
+        hashed.join(cut, F.col(target).eqNullSafe(F.col("_class")), "left")
+        .withColumn("split", F.when(place <= F.col("_test"), "test").when(place <= F.col("_val"), "val").otherwise("train"))
+        .drop("_h", "_id", "_class", "_test", "_val")
     )
 
 

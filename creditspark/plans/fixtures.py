@@ -110,11 +110,14 @@ loans AS (
 
 
 def raw_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card-account table: limit, person columns, six months of status, bills, payments."""
+    """Card-account table: limit, person columns, six months of status, bills, payments.
+
+    Lines beyond the sixth count in the month of their number modulo six, by the larger value.
+    """
     cells = []
     for i in range(1, 7):
-        cells.append(F.expr(f"max(CASE WHEN l_linenumber = {i} THEN bigint(l_quantity) END) AS q{i}"))
-        cells.append(F.expr(f"max(CASE WHEN l_linenumber = {i} THEN l_extendedprice END) AS x{i}"))
+        cells.append(F.expr(f"max(CASE WHEN l_linenumber % 6 = {i % 6} THEN bigint(l_quantity) END) AS q{i}"))
+        cells.append(F.expr(f"max(CASE WHEN l_linenumber % 6 = {i % 6} THEN l_extendedprice END) AS x{i}"))
     months = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*cells)
     base = loans(spark, sf_dir).select("k", "loan_default")
     status = ["pay_0", "pay_2", "pay_3", "pay_4", "pay_5", "pay_6"]
@@ -140,8 +143,8 @@ def raw_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RAW_CARD = (
     "months AS (SELECT l_orderkey, "
     + ", ".join(
-        f"max(CASE WHEN l_linenumber = {i} THEN CAST(l_quantity AS BIGINT) END) AS q{i}, "
-        f"max(CASE WHEN l_linenumber = {i} THEN l_extendedprice END) AS x{i}"
+        f"max(CASE WHEN l_linenumber % 6 = {i % 6} THEN CAST(l_quantity AS BIGINT) END) AS q{i}, "
+        f"max(CASE WHEN l_linenumber % 6 = {i % 6} THEN l_extendedprice END) AS x{i}"
         for i in range(1, 7)
     )
     + " FROM lineitem GROUP BY l_orderkey),\n"
@@ -240,9 +243,7 @@ def reference_current(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Baseline loans and a later window with shifted scores."""
     base = loans(spark, sf_dir)
     ref = base.filter(F.col("as_of") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    cur = base.filter(
-        (F.col("as_of") >= F.lit("2000-01-01").cast("timestamp_ntz")) & (F.col("k") % 3 != 0)
-    ).withColumn("credit_score", F.greatest(F.col("credit_score") - 60, F.lit(300).cast("long")))
+    cur = base.filter(F.col("as_of") >= F.lit("2000-01-01").cast("timestamp_ntz")).withColumn("credit_score", F.greatest(F.col("credit_score") - 60, F.lit(300).cast("long")))
     return ref, cur
 
 
@@ -250,7 +251,7 @@ _REF_CUR = """
 reference_loans AS (SELECT * FROM loans WHERE as_of < TIMESTAMP '2000-01-01'),
 current_loans AS (
   SELECT * REPLACE (greatest(credit_score - 60, 300) AS credit_score) FROM loans
-  WHERE as_of >= TIMESTAMP '2000-01-01' AND k % 3 <> 0
+  WHERE as_of >= TIMESTAMP '2000-01-01'
 )"""
 
 

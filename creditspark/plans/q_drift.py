@@ -92,24 +92,72 @@ def _(spark, sf):
     return _r(_r(D.wasserstein_drift(*reference_current(spark, sf), NUM), "statistic"), "distance", dp=4)
 
 
-CATS = (
-    f"clong AS ({_long(CAT, 'VARCHAR')}),\n"
+# The chi-square tail as a continued fraction (Lentz, from the far end) for x > a + 1, else a series.
+_A, _X = "(degrees / 2e0)", "(chi_square / 2e0)"
+_GAMMA_LOG = f"lgamma({_A})"
+_TAIL_FRACTION = (
+    f"exp({_A} * ln({_X}) - {_X} - {_GAMMA_LOG}) / list_reduce(list_reverse(range(1, 2001)), "
+    f"lambda acc, i: {_X} + 2 * i - 1 - {_A} - i * (i - {_A}) / acc, {_X} + 4001 - {_A})"
+)
+_TAIL_SERIES = (
+    f"1 - exp({_A} * ln({_X}) - {_X} - {_GAMMA_LOG}) * list_sum(list_transform(range(0, 400), "
+    f"lambda n: exp(n * ln({_X}) - lgamma({_A} + n + 1) + {_GAMMA_LOG})))"
+)
+_CHI_P = f"CASE WHEN {_X} > {_A} + 1 THEN {_TAIL_FRACTION} ELSE {_TAIL_SERIES} END"
+
+
+def _cats(cols):
+    return (
+    f"clong AS ({_long(cols, 'VARCHAR')}),\n"
     """ccount AS (SELECT feature, x, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c FROM clong GROUP BY 1, 2),
 cshare AS (SELECT *, r / sum(r) OVER (PARTITION BY feature) AS p, c / sum(c) OVER (PARTITION BY feature) AS q,
   sum(c) OVER (PARTITION BY feature) AS t_cur FROM ccount),
 cstat AS (SELECT feature, sum((c - p * t_cur) * (c - p * t_cur) / (p * t_cur)) AS chi_square, count(*) - 1 AS degrees,
   sqrt(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2) AS js_distance
   FROM cshare GROUP BY 1)"""
-)
+    )
+
+
+CATS = _cats(CAT)
 
 
 @query(
     "drift_categorical_test",
-    ctes("ref_cur", extra=CATS) + f"SELECT feature, {r6('chi_square')} AS chi_square, degrees, {r6('js_distance')} AS js_distance FROM cstat",
+    ctes("ref_cur", extra=CATS)
+    + f"SELECT feature, {r6('chi_square')} AS chi_square, degrees, {r6('js_distance')} AS js_distance, {r6(_CHI_P)} AS p_value FROM cstat",
+)
+def _(spark, sf):
+    return _r(D.categorical_drift(*reference_current(spark, sf), CAT), "chi_square", "js_distance", "p_value")
+
+
+MANY = ["loan_purpose", "annual_income"]
+_SHARED = "(SELECT annual_income FROM reference_loans INTERSECT SELECT annual_income FROM current_loans)"
+
+
+@query(
+    "drift_columns_chi_square",
+    ctes(
+        "ref_cur",
+        extra="seen AS " + _SHARED + ",\n" + _cats(MANY).replace(
+            "CAST(annual_income AS VARCHAR) AS x, TRUE AS is_ref FROM reference_loans",
+            "CAST(annual_income AS VARCHAR) AS x, TRUE AS is_ref FROM reference_loans WHERE annual_income IN (FROM seen)",
+        ).replace(
+            "CAST(annual_income AS VARCHAR) AS x, FALSE AS is_ref FROM current_loans",
+            "CAST(annual_income AS VARCHAR) AS x, FALSE AS is_ref FROM current_loans WHERE annual_income IN (FROM seen)",
+        ),
+    )
+    + f"""SELECT feature AS column_name, 'cat' AS kind, 'chi_square' AS test, {r6(_CHI_P)} AS score, {_CHI_P} < 5e-2 AS drifted FROM cstat""",
 )
 def _(spark, sf):
-    out = D.categorical_drift(*reference_current(spark, sf), CAT)
-    return _r(out.drop("p_value"), "chi_square", "js_distance")
+    """Incomes both windows hold, as text: hundreds to thousands of categories beside the six purposes."""
+    ref, cur = (d.select("loan_purpose", "annual_income") for d in reference_current(spark, sf))
+    seen = ref.select("annual_income").intersect(cur.select("annual_income"))
+
+    def as_text(df):
+        held = df.join(seen.withColumnRenamed("annual_income", "_seen"), F.col("annual_income") == F.col("_seen"), "left")
+        return held.select("loan_purpose", F.col("_seen").cast("string").alias("annual_income"))
+
+    return _r(D.drift_columns(as_text(ref), as_text(cur), categorical_test="chi_square"), "score")
 
 
 REPORT = EDF + ",\n" + CATS + """,

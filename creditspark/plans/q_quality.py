@@ -37,6 +37,19 @@ def _counts_sql(rules, table="dirty_loans"):
     )
 
 
+def _verdict(before: str, after: str) -> str:
+    """CTE ``verdict``: the rules' outcome on a table and, where it fails, on its repaired form."""
+    failed = lambda t: "concat_ws(',', " + ", ".join(
+        f"CASE WHEN (SELECT count(*) FROM {t} WHERE {bad}) > 0 THEN '{c}' END" for c, bad in _BAD.items()
+    ) + ")"
+    return f"""found AS (SELECT {failed(before)} AS e, {failed(after)} AS f),
+verdict AS (SELECT CASE WHEN e = '' THEN 'PASSED' WHEN f = '' THEN 'PASSED_AFTER_FIX' ELSE 'FAILED' END AS status,
+  (SELECT count(*) FROM {before}) AS n_rows, {len(_BAD)}::BIGINT AS n_columns,
+  (SELECT round_even(avg(loan_default) * 1e9, 0) / 1e9 FROM {before}) AS default_rate,
+  e AS validation_errors, CASE WHEN e = '' THEN '' ELSE f END AS errors_after_fix FROM found)
+"""
+
+
 @query("validate_raw", DIRTY + _counts_sql(S.RAW_RULES))
 def _(spark, sf):
     return Q.rule_counts(dirty_loans(spark, sf))
@@ -74,8 +87,10 @@ def _(spark, sf):
 
 @query(
     "autofix_revalidate",
-    LOANS + """SELECT 'PASSED_AFTER_FIX' AS status, count(*) AS n_rows, 12::BIGINT AS n_columns, CAST(NULL AS DOUBLE) AS default_rate,
-    'credit_score' AS validation_errors, '' AS errors_after_fix FROM loans""",
+    ctes("loans", extra="shifted AS (SELECT * REPLACE (CASE WHEN k % 50 = 0 THEN 200 ELSE credit_score END AS credit_score) FROM loans), "
+    "repaired AS (SELECT * REPLACE (least(greatest(credit_score, 300), 850) AS credit_score) FROM shifted), "
+    + _verdict("shifted", "repaired"))
+    + "SELECT status, n_rows, n_columns, CASE WHEN status = 'PASSED' THEN default_rate END AS default_rate, validation_errors, errors_after_fix FROM verdict",
 )
 def _(spark, sf):
     df = loans(spark, sf).select("k", *S.CANONICAL_COLUMNS)
@@ -85,29 +100,30 @@ def _(spark, sf):
 
 @query(
     "validation_report",
-    CANON + """SELECT 'PASSED' AS status, count(*) AS n_rows, 12::BIGINT AS n_columns,
-    round_even(avg(loan_default) * 1e9, 0) / 1e9 AS default_rate, '' AS validation_errors, '' AS errors_after_fix FROM canonical""",
+    CANON.rstrip() + ",\n" + _verdict("canonical", "canonical")
+    + "SELECT status, n_rows, n_columns, default_rate, validation_errors, errors_after_fix FROM verdict",
 )
 def _(spark, sf):
     report = Q.validation_report(canonicalize(raw_card(spark, sf)))
     return report.withColumn("default_rate", F.rint(F.col("default_rate") * 1e9) / 1e9)
 
 
-SPLIT = """
-hashed AS (SELECT *, ('0x' || substr(md5('42:' || loan_id), 1, 8))::BIGINT AS h FROM loans),
+SPLIT = f"""
+hashed AS (SELECT *, ('0x' || substr(md5('42:' || loan_id), 1, 15))::BIGINT AS h FROM loans),
 split_loans AS (
-  SELECT * EXCLUDE (h), CASE WHEN h < 858993459 THEN 'test' WHEN h < 1288490188 THEN 'val' ELSE 'train' END AS split FROM hashed
+  SELECT * EXCLUDE (h), CASE WHEN h < {int(0.2 * 2**60)} THEN 'test' WHEN h < {int((0.2 + 0.1) * 2**60)} THEN 'val' ELSE 'train' END AS split
+  FROM hashed
 )"""
 SPLITS = ctes("loans", extra=SPLIT)
 
 
-@query("stratified_split", SPLITS + "SELECT loan_id, loan_default, split FROM split_loans")
+@query("hash_split", SPLITS + "SELECT loan_id, loan_default, split FROM split_loans")
 def _(spark, sf):
     return SP.hash_split(loans(spark, sf)).select("loan_id", "loan_default", "split")
 
 
 EXACT = """
-hashed AS (SELECT *, ('0x' || substr(md5('42:' || loan_id), 1, 8))::BIGINT AS h FROM loans),
+hashed AS (SELECT *, ('0x' || substr(md5('42:' || loan_id), 1, 15))::BIGINT AS h FROM loans),
 sizes AS (SELECT loan_default, count(*) AS n, sum(count(*)) OVER () AS total FROM hashed GROUP BY 1),
 t1 AS (SELECT *, ceil(total * 2e-1) * n / total AS share, ceil(total * 2e-1) AS draws FROM sizes),
 t2 AS (SELECT *, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, loan_default)
@@ -119,14 +135,23 @@ quotas AS (SELECT loan_default, n, n_test, floor(vshare) + CASE WHEN row_number(
 ranked AS (SELECT loan_id, loan_default, row_number() OVER (PARTITION BY loan_default ORDER BY h, loan_id) AS rn FROM hashed)"""
 
 
+_EXACT_ROWS = """SELECT loan_id, loan_default,
+    CASE WHEN rn <= n_test THEN 'test' WHEN rn <= n_test + n_val THEN 'val' ELSE 'train' END AS split
+    FROM ranked JOIN quotas USING (loan_default)"""
+
+
+@query("stratified_split", ctes("loans", extra=EXACT) + _EXACT_ROWS)
+def _(spark, sf):
+    return SP.exact_stratified_split(loans(spark, sf)).select("loan_id", "loan_default", "split")
+
+
 @query(
     "stratified_split_exact",
-    ctes("loans", extra=EXACT) + """SELECT loan_id, loan_default,
-    CASE WHEN rn <= n_test THEN 'test' WHEN rn <= n_test + n_val THEN 'val' ELSE 'train' END AS split
-    FROM ranked JOIN quotas USING (loan_default)""",
+    (ctes("loans", extra="§") + _EXACT_ROWS).replace("§", EXACT.strip().replace("loan_default", "loan_purpose")).replace(_EXACT_ROWS, _EXACT_ROWS.replace("loan_default", "loan_purpose")),
 )
 def _(spark, sf):
-    return SP.exact_stratified_split(loans(spark, sf)).select("loan_id", "loan_default", "split")
+    """By purpose: six classes in place of two."""
+    return SP.exact_stratified_split(loans(spark, sf), target="loan_purpose").select("loan_id", "loan_purpose", "split")
 
 
 @query(
@@ -139,21 +164,33 @@ def _(spark, sf):
     return out.withColumn("default_rate", F.rint(F.col("default_rate") * 1e9) / 1e9)
 
 
+# Two splits of the same loans by different seeds, stacked: ids the seeds place differently overlap.
+SEEDS = SPLIT + f""",
+hashed7 AS (SELECT *, ('0x' || substr(md5('7:' || loan_id), 1, 15))::BIGINT AS h FROM loans),
+stacked AS (SELECT loan_id, split FROM split_loans UNION ALL
+  SELECT loan_id, CASE WHEN h < {int(0.2 * 2**60)} THEN 'test' WHEN h < {int((0.2 + 0.1) * 2**60)} THEN 'val' ELSE 'train' END FROM hashed7)"""
+
+
+def stacked_splits(spark, sf):
+    base = loans(spark, sf)
+    return SP.hash_split(base).unionByName(SP.hash_split(base, seed=7))
+
+
 @query(
     "split_overlap",
-    SPLITS + """SELECT loan_id, min(split) AS first_split, max(split) AS last_split FROM split_loans
+    ctes("loans", extra=SEEDS) + """SELECT loan_id, min(split) AS first_split, max(split) AS last_split FROM stacked
     GROUP BY loan_id HAVING min(split) <> max(split)""",
 )
 def _(spark, sf):
-    return SP.split_overlap(SP.hash_split(loans(spark, sf)))
+    return SP.split_overlap(stacked_splits(spark, sf))
 
 
 @query(
     "split_intersection",
-    SPLITS + """SELECT loan_id FROM split_loans WHERE split = 'train' INTERSECT SELECT loan_id FROM split_loans WHERE split = 'test'""",
+    ctes("loans", extra=SEEDS) + "SELECT loan_id FROM stacked WHERE split = 'train' INTERSECT SELECT loan_id FROM stacked WHERE split = 'test'",
 )
 def _(spark, sf):
-    return SP.split_intersection(SP.hash_split(loans(spark, sf)), "train", "test")
+    return SP.split_intersection(stacked_splits(spark, sf), "train", "test")
 
 
 @query(

@@ -30,6 +30,15 @@ def _(spark, sf):
     return TB.scan_csv(spark, path, S.LOAN_SCHEMA)
 
 
+@query("scan_csv_reordered", LOANS + f"SELECT {CANON_COLS} FROM loans")
+def _(spark, sf):
+    """The file has the columns backwards and two more; they are found by name."""
+    path = fresh_dir(spark, "loans") + ".csv"
+    backwards = [F.lit("x").alias("note"), *reversed(S.CANONICAL_COLUMNS), F.col("loan_default").alias("seen")]
+    TB.write_csv(canonical(spark, sf).select(*backwards), path)
+    return TB.scan_csv(spark, path, S.LOAN_SCHEMA)
+
+
 @query("scan_csv_inferred", LOANS + "SELECT loan_id, loan_amount, CAST(credit_score AS INTEGER) AS credit_score, loan_purpose FROM loans")
 def _(spark, sf):
     path = fresh_dir(spark, "loans") + ".csv"

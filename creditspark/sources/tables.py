@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +13,30 @@ from creditspark.functions.loan import date_path
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, sampling: float = 0.1
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    sampling: float = 0.1,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """CSV with header. A schema makes this one pass; without it types are inferred."""
+    """CSV with header. A schema makes this one pass; without it types are inferred.
+
+    Columns of the schema are found by header name, in whatever order the file has them; others
+    are left out, and a missing one is an IngestionError. Files of one input must share one
+    header. A value that does not parse fails the read, or is null with ``mode`` PERMISSIVE.
+    """
     reader = spark.read.option("header", True)
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = reader.csv(path).columns
+    missing = [f for f in wanted.fieldNames() if f not in header]
+    if missing:
+        raise IngestionError(f"no column {', '.join(missing)} in {path}")
+    declared = {f.name: f.dataType for f in wanted.fields}
+    there = T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in header])
+    rows = reader.option("enforceSchema", False).option("mode", mode).schema(there).csv(path)
+    return rows.select(*wanted.fieldNames())
 
 
 def scan_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -36,7 +54,7 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     except AnalysisException as exc:
         missing = "PATH_NOT_FOUND" in str(exc)
         raise IngestionError(f"{'no such input' if missing else 'cannot read'}: {path}") from exc
-    except Exception as exc:
+    except (Py4JJavaError, PySparkException) as exc:
         raise IngestionError(f"cannot read {path}: {exc}") from exc
     if empty:
         raise IngestionError(f"input has no rows: {path}")

@@ -94,3 +94,27 @@ def test_quality_rates(spark):
     got = D.quality_rates(one(spark, [*range(1, 20), 1000, None]), ["x"]).first()
     assert got.null_rate == pytest.approx(1 / 21) and got.null_rate_ok
     assert got.outlier_rate == pytest.approx(1 / 20) and got.outlier_rate_ok
+
+
+@pytest.mark.parametrize("df", [1, 2, 3, 6, 19, 20, 151, 1200, 2000, 5001, 10_000, 20_000])
+def test_chi_square_tail_at_any_number_of_degrees(spark, df):
+    def exact(x):
+        half = x / 2
+        if x <= 0:
+            return 1.0
+        logs = [(j + df % 2 / 2) * math.log(half) - half - math.lgamma(j + 1 + df % 2 / 2) for j in range(df // 2)]
+        return min(1.0, sum(map(math.exp, logs)) + (math.erfc(math.sqrt(half)) if df % 2 else 0.0))
+
+    points = [df * f for f in (0.05, 0.5, 0.9, 1.0, 1.1, 1.5, 2.1)] + [0.3, 30.0]
+    rows = spark.createDataFrame([(float(x), df) for x in points], "x double, df long")
+    got = rows.select("x", D.chi_square_tail(F.col("x"), F.col("df")).alias("p")).collect()
+    for r in got:
+        assert r.p == pytest.approx(exact(r.x), rel=1e-8, abs=1e-300)
+    if df == 2000:
+        assert rows.limit(1).select(D.chi_square_tail(F.lit(4200.0), F.lit(2000))).first()[0] < 1e-100
+
+
+def test_erfc(spark):
+    zs = [0.0, 1e-9, 0.3, 0.999, 1.0, 1.7, 4.0, 12.0, 26.0]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(D.erfc(F.col("z"))).collect()]
+    assert got == pytest.approx([math.erfc(z) for z in zs], rel=1e-10)

@@ -86,6 +86,31 @@ def test_exact_split_keeps_copies_together(spark):
     assert out.count() == 900 and SP.split_overlap(out).isEmpty()
 
 
+def test_exact_split_breaks_hash_ties_by_id(spark, monkeypatch):
+    rows = spark.range(997).selectExpr("concat('L', id) AS loan_id", "CASE WHEN id % 50 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE 0 END AS loan_default")
+    same = lambda col, seed: F.length(col.cast("string")).cast("long") * (1 << 50)
+    monkeypatch.setattr(SP, "hash_position", same)
+    quotas = {r.loan_default: (r.n_test, r.n_val) for r in SP.split_quotas(rows).collect()}
+    got = {}
+    for r in SP.exact_stratified_split(rows).groupBy("loan_default", "split").count().collect():
+        got[r.loan_default, r.split] = r["count"]
+    assert set(quotas) == {0, 1, None}
+    assert {k: (got[k, "test"], got[k, "val"]) for k in quotas} == quotas
+
+
+def test_csv_columns_are_found_by_name(spark, folder):
+    wide = spark.createDataFrame([("1.5", "L1", "x")], "loan_amount string, loan_id string, note string")
+    TB.write_csv(wide, f"{folder}/w.csv")
+    assert TB.scan_csv(spark, f"{folder}/w.csv", "loan_id string, loan_amount double").collect() == [("L1", 1.5)]
+    with pytest.raises(IngestionError, match="no column credit_score"):
+        TB.scan_csv(spark, f"{folder}/w.csv", "loan_id string, credit_score long")
+    TB.write_csv(spark.createDataFrame([("L1", "many")], "loan_id string, loan_amount string"), f"{folder}/b.csv")
+    with pytest.raises(Exception, match="many|MALFORMED"):
+        TB.scan_csv(spark, f"{folder}/b.csv", "loan_id string, loan_amount double").collect()
+    lenient = TB.scan_csv(spark, f"{folder}/b.csv", "loan_id string, loan_amount double", mode="PERMISSIVE")
+    assert lenient.collect() == [("L1", None)]
+
+
 def test_scan_errors(spark, folder):
     with pytest.raises(IngestionError, match="no such input"):
         TB.scan(spark, f"{folder}/none.parquet")
