@@ -124,10 +124,12 @@ def alarm_intervals(stats: DataFrame, rule: AlarmRule) -> DataFrame:
     """(metric, alarm_at, ok_at, n_periods): each alarm and when it is over.
 
     Only breaching periods matter; a missing period counts as not breaching, so a gap
-    ends a run. One row per metric and period enters the window, however many raw rows
-    a metric has.
+    ends a run. An alarm is over once the period after its last breach is: as long as no
+    metric has a later period, ``ok_at`` is null. One row per metric and period enters the
+    window, however many raw rows a metric has.
     """
     step = rule.period_seconds
+    newest = stats.agg(F.max("period")).scalar()
     index = (F.unix_seconds(F.col("period").cast("timestamp")) / step).cast("long")
     order = Window.partitionBy("metric").orderBy("i")
     runs = (
@@ -141,18 +143,18 @@ def alarm_intervals(stats: DataFrame, rule: AlarmRule) -> DataFrame:
     return runs.select(
         "metric",
         (F.col("first") + F.make_dt_interval(secs=F.lit(step * (rule.periods - 1)))).alias("alarm_at"),
-        (F.col("last") + F.make_dt_interval(secs=F.lit(step))).alias("ok_at"),
+        F.when(F.col("last") < newest, F.col("last") + F.make_dt_interval(secs=F.lit(step))).alias("ok_at"),
         "n_periods",
     )
 
 
 def alarm_transitions(intervals: DataFrame) -> DataFrame:
-    """Both notifications of each alarm: going to ALARM and back to OK."""
+    """The notifications of each alarm: going to ALARM and, where it is over, back to OK."""
     steps = F.array(
         F.struct(F.col("alarm_at").alias("at"), F.lit("ALARM").alias("state")),
         F.struct(F.col("ok_at").alias("at"), F.lit("OK").alias("state")),
     )
-    return intervals.select("metric", F.explode(steps).alias("s")).select("metric", "s.at", "s.state")
+    return intervals.select("metric", F.explode(steps).alias("s")).select("metric", "s.at", "s.state").where("at is not null")
 
 
 def retrain_signals(

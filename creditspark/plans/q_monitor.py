@@ -8,10 +8,12 @@ from creditspark import schema as S
 from creditspark.functions.numeric import round_half_even as R
 from creditspark.operators import alerts as AL, fairness as FA, metrics as M, predictions as PR, runs as RU
 from creditspark.operators.columns import union_by_name
+from creditspark.operators.curve import rank_metrics
 from creditspark.plans.fixtures import contributions, ctes, labels_feed, loans, metric_events, prediction_log, runs, table
 from creditspark.plans.q_drift import BINS, psi_all
 from creditspark.plans.q_metrics import _slices_sql, r6, slices
 from creditspark.plans.registry import query
+from creditspark.streaming.monitor import error_rate
 
 LOGS = ctes("prediction_log", "labels_feed")
 LATEST = """
@@ -227,7 +229,8 @@ ALARM_SQL = """
 hourly AS (SELECT event_type AS metric, time_bucket(INTERVAL 1 HOUR, ts) AS period, avg(value) AS v FROM events GROUP BY 1, 2),
 br AS (SELECT metric, period, CAST(epoch(period) AS BIGINT) // 3600 - row_number() OVER (PARTITION BY metric ORDER BY period) AS run FROM hourly WHERE v > 60),
 islands AS (SELECT metric, min(period) AS f, max(period) AS l, count(*) AS n_periods FROM br GROUP BY metric, run HAVING count(*) >= 2),
-alarms AS (SELECT metric, f + INTERVAL 1 HOUR AS alarm_at, l + INTERVAL 1 HOUR AS ok_at, n_periods FROM islands)"""
+alarms AS (SELECT metric, f + INTERVAL 1 HOUR AS alarm_at,
+  CASE WHEN l < (SELECT max(period) FROM hourly) THEN l + INTERVAL 1 HOUR END AS ok_at, n_periods FROM islands)"""
 
 
 def alarm_rows(events):
@@ -244,9 +247,69 @@ def _(spark, sf):
     return alarms(spark, sf)
 
 
+TRANSITIONS = """ SELECT metric, alarm_at AS at, 'ALARM' AS state FROM alarms
+    UNION ALL SELECT metric, ok_at, 'OK' FROM alarms WHERE ok_at IS NOT NULL"""
+
+
+def _declared_sql(name: str, rows: str, stat: str, breach: str, periods: int, seconds: int) -> str:
+    """CTEs ending in ``name``: the alarms of one declared rule over ``rows`` (metric, ts, value)."""
+    width = f"INTERVAL {seconds} SECOND"
+    return f"""
+{name}_s AS (SELECT metric, time_bucket({width}, ts) AS period, {stat}(value) AS v FROM ({rows}) GROUP BY 1, 2),
+{name}_b AS (SELECT metric, period, CAST(epoch(period) AS BIGINT) // {seconds} - row_number() OVER (PARTITION BY metric ORDER BY period) AS run
+  FROM {name}_s WHERE {breach}),
+{name} AS (SELECT metric, min(period) + {width} * {periods - 1} AS alarm_at,
+  CASE WHEN max(period) < (SELECT max(period) FROM {name}_s) THEN max(period) + {width} END AS ok_at, count(*) AS n_periods
+  FROM {name}_b GROUP BY metric, run HAVING count(*) >= {periods})"""
+
+
+DECLARED = ctes(
+    "ref_cur",
+    "metric_events",
+    extra=BINS + """,
+hr AS (SELECT date_trunc('hour', ts) AS hour, is_error AS y, rank() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY probability)
+  + (count(*) OVER (PARTITION BY date_trunc('hour', ts), probability) - 1) / 2 AS mr FROM metric_events),
+ha AS (SELECT hour, count(*) AS n, count(*) FILTER (WHERE y) AS p, sum(mr) FILTER (WHERE y) AS s FROM hr GROUP BY 1),
+er AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS ts, 1e2 * count(*) FILTER (WHERE is_error)
+  / greatest(count(*) FILTER (WHERE is_error), count(*) FILTER (WHERE NOT is_error)) AS rate FROM metric_events GROUP BY 1),"""
+    + _declared_sql("psi_alarms", "SELECT 'psi:' || feature AS metric, TIMESTAMP '2000-01-01' AS ts, psi AS value FROM psi", "max", "v > 15e-2", 1, 3600)
+    + ","
+    + _declared_sql(
+        "auc_alarms",
+        "SELECT 'live_auc' AS metric, hour AS ts, (s - CAST(p AS DOUBLE) * (p + 1) / 2) / nullif(CAST(p AS DOUBLE) * (n - p), 0) AS value FROM ha",
+        "avg", "v < 75e-2", 2, 3600,
+    )
+    + ","
+    + _declared_sql("error_alarms", "SELECT 'error_rate' AS metric, ts, rate AS value FROM er", "max", "v > 1e0", 2, 60),
+)
+
+
+@query("declared_alarms", DECLARED + "FROM psi_alarms UNION ALL FROM auc_alarms UNION ALL FROM error_alarms")
+def _(spark, sf):
+    """The three declared alarms: PSI per feature, live AUC by the hour, error rate by the minute."""
+    events = metric_events(table(spark, sf, "events"))
+    psi = psi_all(spark, sf).select(
+        F.concat(F.lit("psi:"), F.col("feature")).alias("metric"),
+        F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"),
+        F.col("psi").alias("value"),
+    )
+    hourly = rank_metrics(
+        events.select(F.date_trunc("hour", "ts").alias("hour"), "probability", F.col("is_error").cast("int").alias("y")),
+        "probability", "y", ["hour"],
+    ).select(F.lit("live_auc").alias("metric"), F.col("hour").cast("timestamp_ntz").alias("ts"), F.col("auc_roc").alias("value"))
+    rates = error_rate(events).select(
+        F.lit("error_rate").alias("metric"), F.col("window_start").alias("ts"), F.col("error_rate").alias("value")
+    )
+    parts = [
+        AL.alarm_intervals(AL.period_stats(rows, rule), rule)
+        for rows, rule in ((psi, AL.PSI_ALARM), (hourly, AL.LIVE_AUC_ALARM), (rates, AL.ERROR_RATE_ALARM))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "alarm_transitions",
-    "WITH " + ALARM_SQL.strip() + " SELECT metric, alarm_at AS at, 'ALARM' AS state FROM alarms UNION ALL SELECT metric, ok_at, 'OK' FROM alarms",
+    "WITH " + ALARM_SQL.strip() + TRANSITIONS,
 )
 def _(spark, sf):
     return AL.alarm_transitions(alarms(spark, sf))

@@ -9,15 +9,12 @@ from creditspark.operators import explain as E, scoring as SC, split as SP
 from creditspark.plans.fixtures import ctes, loans, metric_events, table
 from creditspark.plans.q_metrics import r6
 from creditspark.plans.q_model import INTERCEPT, LIN, LINEAR, _MARGIN
-from creditspark.plans.q_monitor import ALARM, alarm_rows
+from creditspark.plans.q_monitor import ALARM, ALARM_SQL, TRANSITIONS, alarm_rows
 from creditspark.plans.registry import query
 from creditspark.session import fresh_dir
 from creditspark.sources.tables import dated_log, read_predictions
 from creditspark.streaming import alarm as SA, labels as SL, monitor as SM
-from creditspark.streaming.run import append_available, follow, run_available, stream_table
-
-CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
-
+from creditspark.streaming.run import append_available, follow, play, run_available, stream_table, timed_files
 
 def batch_events(spark, sf):
     return metric_events(table(spark, sf, "events"))
@@ -27,17 +24,24 @@ def stream_events(spark, sf):
     return metric_events(stream_table(spark, f"{sf}/events.parquet"))
 
 
+def played_raw(spark, sf):
+    """The events in time order, over several micro-batches, with the tail flushed."""
+    events = table(spark, sf, "events")
+    return play(spark, timed_files(events, "ts", "events"), events.schema)
+
+
+def played_events(spark, sf):
+    return metric_events(played_raw(spark, sf))
+
+
 def rounded(df, *cols):
     return df.withColumns({c: R(F.col(c), 6) for c in cols})
 
 
-def both(name: str, sql: str, width: str, build, stream_sql: str | None = "same"):
-    """Register the batch query and its streaming twin, which holds back open buckets."""
+def both(name: str, sql: str, build):
+    """Register the batch query and its streaming twin: the same rows."""
     query(name, sql)(lambda spark, sf: build(batch_events(spark, sf)))
-    closed = f"SELECT * FROM ({sql}) WHERE window_start + INTERVAL {width} <= {CLOSED}"
-    query(f"{name}_stream", closed if stream_sql == "same" else stream_sql)(
-        lambda spark, sf: run_available(build(stream_events(spark, sf)), name)
-    )
+    query(f"{name}_stream", sql)(lambda spark, sf: run_available(build(played_events(spark, sf)), name))
 
 
 EV = ctes("metric_events")
@@ -45,32 +49,24 @@ both(
     "prediction_volume_5m",
     EV + """SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, decision, risk_tier, count(*) AS n_predictions
     FROM metric_events GROUP BY 1, 2, 3""",
-    "5 MINUTE",
     SM.prediction_volume,
 )
 both(
     "latency_5m",
     EV + f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, {r6('avg(latency_ms)')} AS avg_latency,
     {r6('quantile_cont(latency_ms, 99e-2)')} AS p99_latency FROM metric_events GROUP BY 1""",
-    "5 MINUTE",
     lambda ev: rounded(SM.latency(ev), "avg_latency", "p99_latency"),
-    EV + f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, {r6('avg(latency_ms)')} AS avg_latency,
-    {r6('quantile_disc(latency_ms, 99e-2)')} AS p99_latency FROM metric_events GROUP BY 1) WHERE window_start + INTERVAL 5 MINUTE <= {CLOSED}""",
 )
 both(
     "probability_5m",
     EV + f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, {r6('avg(probability)')} AS avg_probability,
     {r6('quantile_cont(probability, 95e-2)')} AS p95_probability FROM metric_events GROUP BY 1""",
-    "5 MINUTE",
     lambda ev: rounded(SM.probability(ev), "avg_probability", "p95_probability"),
-    EV + f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, {r6('avg(probability)')} AS avg_probability,
-    {r6('quantile_disc(probability, 95e-2)')} AS p95_probability FROM metric_events GROUP BY 1) WHERE window_start + INTERVAL 5 MINUTE <= {CLOSED}""",
 )
 both(
     "hourly_metric_max_avg",
     f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type AS metric, max(value) AS max_value, {r6('avg(value)')} AS avg_value
     FROM events GROUP BY 1, 2""",
-    "1 HOUR",
     lambda ev: rounded(
         SM.hourly_metrics(ev.select("ts", F.col("event_type").alias("metric"), F.col("latency_ms").alias("value"))), "avg_value"
     ),
@@ -80,7 +76,6 @@ both(
     EV + f"""SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, count(*) FILTER (WHERE is_error) AS errors, count(*) FILTER (WHERE NOT is_error) AS requests,
     {r6('1e2 * count(*) FILTER (WHERE is_error) / greatest(count(*) FILTER (WHERE is_error), count(*) FILTER (WHERE NOT is_error))')} AS error_rate
     FROM metric_events GROUP BY 1""",
-    "1 MINUTE",
     lambda ev: rounded(SM.error_rate(ev), "error_rate"),
 )
 
@@ -96,7 +91,7 @@ def _sides(ev):
 
 
 def _joined(left, right):
-    out = SL.label_join(left, right, "user_id", "3 DAYS", "9 DAYS", salts=4)
+    out = SL.label_join(left, right, "user_id", "3 DAYS", "9 DAYS")
     return out.select(
         "prediction_id",
         "label_id",
@@ -116,28 +111,20 @@ def _(spark, sf):
     return run_available(_joined(_sides(stream_events(spark, sf))[0], _sides(stream_events(spark, sf))[1]), "label-join")
 
 
-CLOSED_ALARMS = f"""
-hourly AS (SELECT event_type AS metric, time_bucket(INTERVAL 1 HOUR, ts) AS period, avg(value) AS v FROM events GROUP BY 1, 2
-  HAVING time_bucket(INTERVAL 1 HOUR, any_value(ts)) + INTERVAL 1 HOUR <= {CLOSED}),
-br AS (SELECT metric, period, CAST(epoch(period) AS BIGINT) // 3600 - row_number() OVER (PARTITION BY metric ORDER BY period) AS run FROM hourly WHERE v > 60),
-islands AS (SELECT metric, min(period) AS f, max(period) AS l FROM br GROUP BY metric, run HAVING count(*) >= 2)"""
-
-
 @query(
     "stream_consecutive_alarm",
-    "WITH " + CLOSED_ALARMS.strip() + """ SELECT metric, f + INTERVAL 1 HOUR AS at, 'ALARM' AS state FROM islands
-    UNION ALL SELECT metric, l + INTERVAL 1 HOUR, 'OK' FROM islands i WHERE EXISTS (SELECT 1 FROM hourly h WHERE h.metric = i.metric AND h.period > i.l)""",
+    "WITH " + ALARM_SQL.strip() + TRANSITIONS,
 )
 def _(spark, sf):
-    rows = alarm_rows(stream_table(spark, f"{sf}/events.parquet")).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = alarm_rows(played_raw(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp"))
     buckets = follow(SA.bucket_values(rows, ALARM), "buckets")
     return run_available(SA.alarm_stream(buckets, ALARM), "alarms")
 
 
 @query(
     "retrain_signal_stream",
-    f"""WITH RECURSIVE hourly AS (SELECT event_type AS model, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n_rows, max(value) > 200 AS critical
-      FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, any_value(ts)) + INTERVAL 1 HOUR <= {CLOSED}),
+    """WITH RECURSIVE hourly AS (SELECT event_type AS model, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n_rows, max(value) > 200 AS critical
+      FROM events GROUP BY 1, 2),
     seen AS (SELECT *, sum(n_rows) OVER (PARTITION BY model ORDER BY hour ROWS UNBOUNDED PRECEDING) AS s FROM hourly),
     due AS (SELECT model, hour FROM seen WHERE critical AND s >= 1000),
     sig AS (SELECT model, min(hour) AS h FROM due GROUP BY model
@@ -145,7 +132,7 @@ def _(spark, sf):
     SELECT model, h AS signal_at FROM sig WHERE h IS NOT NULL""",
 )
 def _(spark, sf):
-    rows = stream_table(spark, f"{sf}/events.parquet").select(
+    rows = played_raw(spark, sf).select(
         F.col("event_type").alias("model"), F.col("ts").cast("timestamp").alias("ts"), "value"
     )
     hourly = follow(SA.hourly_activity(rows, 200.0), "hours")

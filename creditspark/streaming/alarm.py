@@ -50,15 +50,21 @@ def _in_order(chunks: Iterator[pd.DataFrame], column: str) -> pd.DataFrame:
 def alarm_stream(buckets: DataFrame, rule: AlarmRule) -> DataFrame:
     """(metric, at, state): transitions to ALARM and back to OK, as they become known.
 
-    ``buckets`` streams the rows of ``bucket_values``.
+    ``buckets`` streams the rows of ``bucket_values`` from the table they are appended to, without a
+    limit on files per micro-batch: what one batch appended is then read together, and no bucket
+    comes behind the time that another metric's bucket has set.
 
-    A bucket without rows counts as not breaching; it is noticed when the metric's next
-    bucket completes.
+    A bucket without rows counts as not breaching. It is noticed when the metric's next bucket
+    completes, or, if the metric stays silent, when any metric completes a later bucket.
     """
     step, need = rule.period_seconds, rule.periods
 
     def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, run = state.get if state.exists else (-1, 0)
+        if state.hasTimedOut:  # the bucket after the last breach is over and the metric had no row in it
+            state.remove()
+            yield pd.DataFrame({"metric": [key[0]], "at_s": [int(last + step)], "state": ["OK"]})
+            return
         found = []
         buckets = _in_order(chunks, "period_s")
         for at, breach in zip(buckets["period_s"], buckets["breach"]):
@@ -75,14 +81,20 @@ def alarm_stream(buckets: DataFrame, rule: AlarmRule) -> DataFrame:
                     found.append((at, "OK"))
                 run = 0
             last = at
+        over = int(last + step) * 1000
+        if run >= need and state.getCurrentWatermarkMs() >= over:
+            found.append((last + step, "OK"))
+            run = 0
         state.update((int(last), int(run)))
+        if run >= need:
+            state.setTimeoutTimestamp(over - 1)  # due once the watermark is past it
         yield pd.DataFrame({"metric": [key[0]] * len(found), "at_s": [int(a) for a, _ in found], "state": [s for _, s in found]})
 
-    steps = buckets.select(
-        "metric", F.unix_seconds("period").alias("period_s"), breaches(rule, F.col("value")).alias("breach")
+    steps = buckets.withWatermark("period", "0 seconds").select(
+        "metric", "period", F.unix_seconds("period").alias("period_s"), breaches(rule, F.col("value")).alias("breach")
     )
     out = steps.groupBy("metric").applyInPandasWithState(
-        advance, "metric string, at_s long, state string", "last long, run long", "append", GroupStateTimeout.NoTimeout
+        advance, "metric string, at_s long, state string", "last long, run long", "append", GroupStateTimeout.EventTimeTimeout
     )
     return out.select("metric", F.timestamp_seconds("at_s").cast("timestamp_ntz").alias("at"), "state")
 

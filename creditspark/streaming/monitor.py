@@ -34,9 +34,9 @@ def prediction_volume(events: DataFrame, width: str = "5 minutes") -> DataFrame:
 def value_stats(events: DataFrame, value: str, quantile: float, width: str = "5 minutes") -> DataFrame:
     """(window_start, n, mean, q): mean and a high quantile per bucket.
 
-    On a table the quantile is exact, from the score-curve machinery, so that a bucket
-    holding much of the data is still shared among tasks. A stream keeps one bounded
-    sketch per bucket.
+    The quantile is exact and interpolated. On a table it comes from the score-curve
+    machinery, so that a bucket holding much of the data is still shared among tasks. A
+    stream keeps the counts of a bucket's different values until the bucket closes.
     """
     if not events.isStreaming:
         keyed = events.select(F.window("ts", width)["start"].alias("_start"), value)
@@ -45,7 +45,7 @@ def value_stats(events: DataFrame, value: str, quantile: float, width: str = "5
     out = timed(events).groupBy(bucket(width)).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
-        F.percentile_approx(value, quantile, 10_000).alias("q"),
+        F.percentile(value, quantile).alias("q"),
     )
     return started(out, "n", "mean", "q")
 

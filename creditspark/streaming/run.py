@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from creditspark.session import fresh_dir
@@ -21,6 +21,31 @@ def stream_table(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def timed_files(rows: DataFrame, ts: str, name: str, parts: int = 4, close_after: str = "1 day") -> str:
+    """A folder that plays a finite table back as a stream: one file per stretch of time, oldest first.
+
+    A last file holds one row ``close_after`` behind the newest time, null otherwise. It moves the
+    watermark past all others, so every bucket with data closes and is given out; its own never is.
+    This is how a run over data at hand is flushed.
+    """
+    spark, path = rows.sparkSession, fresh_dir(rows.sparkSession, name)
+    first, last = rows.agg(F.min(ts), F.max(ts)).first()
+    if first is not None:
+        edges = [first + (last - first) * i / parts for i in range(1, parts)]
+        for low, high in zip([None, *edges], [*edges, None]):
+            part = rows.where((F.lit(True) if low is None else F.col(ts) >= F.lit(low)) & (F.lit(True) if high is None else F.col(ts) < F.lit(high)))
+            part.coalesce(1).write.mode("append").parquet(path)
+        end = (F.lit(last) + F.expr(f"interval {close_after}")).cast(rows.schema[ts].dataType)
+        empty = [end.alias(c) if c == ts else F.lit(None).cast(t.dataType).alias(c) for c, t in zip(rows.columns, rows.schema)]
+        spark.range(1).select(*empty).write.mode("append").parquet(path)
+    return path
+
+
+def play(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
+    """The files of ``timed_files`` as a stream, so many at a time."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Run the stream over the data at hand; the folder it appended to."""
     path = fresh_dir(stream.sparkSession, name)
