@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from creditspark import schema as S
+from creditspark.functions import loan as L
 from creditspark.functions.numeric import round_half_even as R
 from creditspark.operators import explain as E, features as FE, model as MO, runs as RU, scoring as SC, split as SP
 from creditspark.plans.fixtures import contributions, ctes, loans
@@ -191,43 +192,107 @@ def _(spark, sf):
 QUICK = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2}
 
 
-@query("train_gbt")
+# What SQL can say of a fitted model: whom it was fitted to, and relations its numbers must satisfy.
+TRAINED, LOANS = ctes("loans", extra=SPLIT), ctes("loans")
+
+
+def _near(a, b):
+    return F.abs(F.col(a) - b) <= 1e-9
+
+
+@query(
+    "train_gbt",
+    TRAINED + """SELECT split, count(*) AS n_samples, CAST(sum(loan_default) AS BIGINT) AS n_positives,
+    TRUE AS auc_holds, TRUE AS gini_holds, TRUE AS ks_holds FROM split_loans GROUP BY split""",
+)
 def _(spark, sf):
+    """Sizes by split; the AUC beats chance and stays below 1, Gini is 2 AUC - 1, KS lies within 0 and 1."""
     df = split_loans(spark, sf)
     features, model = MO.train(df, QUICK)
-    return MO.evaluate_splits(MO.predict(df, features, model))
+    return MO.evaluate_splits(MO.predict(df, features, model)).select(
+        "split",
+        F.col("n_samples").cast("long").alias("n_samples"),
+        F.col("n_positives").cast("long").alias("n_positives"),
+        F.col("auc_roc").between(0.5, 1.0).alias("auc_holds"),
+        _near("gini", 2 * F.col("auc_roc") - 1).alias("gini_holds"),
+        F.col("ks_statistic").between(0.0, 1.0).alias("ks_holds"),
+    )
 
 
-@query("score_batch_gbt")
+@query(
+    "score_batch_gbt",
+    LOANS + """SELECT loan_id, 'gbt-1' AS model_version, TRUE AS probability_holds, TRUE AS decision_holds,
+    TRUE AS tier_holds, TRUE AS confidence_holds, TRUE AS factors_hold FROM loans""",
+)
 def _(spark, sf):
+    """Decision, tier and confidence follow from the probability; five factors, the largest first."""
     df = split_loans(spark, sf)
     features, model = MO.train(df, QUICK)
     scored = MO.predict(df, features, model)
     explained = E.tree_contributions(scored, model, keep=("loan_id", "default_probability"))
     factors = E.top_factors(F.col("contributions"), FE.feature_names(features))
-    return SC.response(explained, F.col("default_probability"), "gbt-1", 0.5, factors)
+    out = SC.response(explained, F.col("default_probability"), "gbt-1", 0.5, factors)
+    p, half = F.col("default_probability"), 5e-5  # labels are set before the probability is rounded to four digits
+
+    def holds(name, label):
+        return (F.col(name) == label(p - half)) | (F.col(name) == label(p + half))
+
+    return out.select(
+        "loan_id",
+        "model_version",
+        p.between(0.0, 1.0).alias("probability_holds"),
+        holds("prediction", L.decision).alias("decision_holds"),
+        holds("risk_tier", L.risk_tier).alias("tier_holds"),
+        holds("confidence", L.confidence).alias("confidence_holds"),
+        (F.size(F.array_distinct(F.col("top_factors")["feature"])) == 5).alias("factors_hold"),
+    )
 
 
-@query("feature_contributions_tree")
+@query("feature_contributions_tree", LOANS + "SELECT loan_id, TRUE AS sum_holds FROM loans")
 def _(spark, sf):
+    """Base and contributions add up to the model's margin."""
     df = split_loans(spark, sf)
     features, model = MO.train(df, QUICK)
-    return E.tree_contributions(MO.predict(df, features, model), model)
+    out = E.tree_contributions(MO.predict(df, features, model), model, keep=("loan_id", "default_probability"))
+    total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    p = F.col("default_probability")
+    return out.select("loan_id", (F.abs(1 / (1 + F.exp(-2 * total)) - p) <= 1e-9).alias("sum_holds"))
 
 
-@query("train_result_row")
+@query(
+    "train_result_row",
+    """SELECT 'run_00000001' AS run_id, 'gbt' AS model_name, TRUE AS aucs_hold, TRUE AS threshold_holds,
+    'learning_rate,max_depth,n_estimators' AS params""",
+)
 def _(spark, sf):
-    return MO.train_result(split_loans(spark, sf), "run_00000001", "gbt", QUICK)
+    return MO.train_result(split_loans(spark, sf), "run_00000001", "gbt", QUICK).select(
+        "run_id",
+        "model_name",
+        (F.col("val_auc").between(0.5, 1.0) & F.col("test_auc").between(0.5, 1.0)).alias("aucs_hold"),
+        F.col("threshold").between(0.0, 1.0).alias("threshold_holds"),
+        F.array_join(F.sort_array(F.map_keys("params")), ",").alias("params"),
+    )
 
 
-@query("hyperparameter_search")
+@query(
+    "hyperparameter_search",
+    "SELECT CAST(trial AS BIGINT) AS trial, TRUE AS auc_holds, TRUE AS ranges_hold, 1::BIGINT AS n_best FROM range(3) AS t(trial)",
+)
 def _(spark, sf):
+    """Every trial once, its parameters within the ranges searched, and exactly one best."""
     space = {**MO.SEARCH_SPACE, "n_estimators": ("int", 3, 6, 1), "max_depth": ("int", 3, 5, 1)}
     trials = MO.draw_trials(3, 42, space)
     table = MO.random_search(split_loans(spark, sf), trials)
     named = table.withColumn("run_id", F.format_string("trial_%04d", "trial"))
     best = RU.best_trial(named, "val_auc").select("run_id")
-    return named.withColumn("is_best", F.col("run_id") == best.scalar())
+    marked = named.withColumn("is_best", F.col("run_id") == best.scalar())
+    within = F.lit(True)
+    for name, (_, low, high, *_rest) in space.items():
+        within = within & F.col("params")[name].cast("double").between(low, high)
+    n_best = marked.agg(F.count_if("is_best")).scalar()
+    return marked.select(
+        F.col("trial").cast("long").alias("trial"), F.col("val_auc").between(0.5, 1.0).alias("auc_holds"), within.alias("ranges_hold"), n_best.alias("n_best")
+    )
 
 
 IMPORTANCE = "fi AS (SELECT feature, avg(abs(value)) AS importance FROM contributions GROUP BY 1)"

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from creditspark import schema as S
 from creditspark.functions.numeric import round_half_even as R
-from creditspark.operators import alerts as AL, fairness as FA, metrics as M, predictions as PR, runs as RU
+from creditspark.operators import alerts as AL, fairness as FA, metrics as M, predictions as PR, runs as RU, split as SP
 from creditspark.operators.columns import union_by_name
 from creditspark.operators.curve import rank_metrics
 from creditspark.plans.fixtures import contributions, ctes, labels_feed, loans, metric_events, prediction_log, runs, table
 from creditspark.plans.q_drift import BINS, psi_all
 from creditspark.plans.q_metrics import _slices_sql, r6, slices
+from creditspark.plans.q_quality import SPLIT
 from creditspark.plans.registry import query
 from creditspark.streaming.monitor import error_rate
 
@@ -416,12 +417,12 @@ def _(spark, sf):
 
 
 def report(spark, sf):
-    base = loans(spark, sf)
+    base = SP.hash_split(loans(spark, sf))
     run = RU.best_trial(runs(spark, sf), "test_auc_roc").withColumn(
         "params", F.create_map(F.lit("max_depth"), F.col("max_depth").cast("string"))
     )
-    val = M.classification_metrics(base.filter(F.col("k") % 3 == 0), "default_probability", "loan_default", 0.4)
-    test = M.classification_metrics(base.filter(F.col("k") % 3 != 0), "default_probability", "loan_default", 0.4)
+    val = M.classification_metrics(base.filter("split = 'val'"), "default_probability", "loan_default", 0.4)
+    test = M.classification_metrics(base.filter("split = 'test'"), "default_probability", "loan_default", 0.4)
     sl = slices(spark, sf)
     top = (
         contributions(spark, sf).groupBy("feature").agg(F.avg(F.abs("value")).alias("importance"))
@@ -432,22 +433,23 @@ def report(spark, sf):
 def _auc_of(where: str, name: str) -> str:
     return f"""
 {name}r AS (SELECT loan_default AS y, rank() OVER (ORDER BY default_probability) + (count(*) OVER (PARTITION BY default_probability) - 1) / 2 AS mr
-  FROM loans WHERE {where}),
+  FROM split_loans WHERE {where}),
 {name} AS (SELECT (sum(mr) FILTER (WHERE y = 1) - CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) * (count(*) FILTER (WHERE y = 1) + 1) / 2)
   / (CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) * count(*) FILTER (WHERE y = 0)) AS a, count(*) AS n FROM {name}r)"""
 
 
-@query(
-    "evaluation_report",
-    ctes("loans", "runs", extra=_slices_sql().strip() + "," + _auc_of("k % 3 = 0", "va") + "," + _auc_of("k % 3 <> 0", "te"))
+EVALUATION = (
+    ctes("loans", "runs", extra=SPLIT + "," + _slices_sql().strip() + "," + _auc_of("split = 'val'", "va") + "," + _auc_of("split = 'test'", "te"))
     + f"""SELECT (SELECT run_id FROM runs ORDER BY test_auc_roc DESC, run_id LIMIT 1) AS run_id, 4e-1 AS threshold,
     {r6('va.a')} AS val_auc, {r6('te.a')} AS test_auc, CAST(te.n AS DOUBLE) AS test_n,
     (SELECT count(*) FROM slices) AS n_slices, (SELECT count(*) FROM impact WHERE flagged_4_5ths_rule) AS n_flagged, 6::BIGINT AS n_factors,
     te.a >= 8e-1 AS promoted, 'Test AUC ' || printf('%.4f', te.a) || CASE WHEN te.a >= 8e-1 THEN ' ≥' ELSE ' <' END || ' threshold 0.8000' AS promotion_reason
-    FROM va, te""",
+    FROM va, te"""
 )
-def _(spark, sf):
-    return report(spark, sf).select(
+
+
+def summary(reports):
+    return reports.select(
         "run_id",
         "threshold",
         R(F.col("val_metrics")["auc_roc"], 6).alias("val_auc"),
@@ -459,3 +461,8 @@ def _(spark, sf):
         "promoted",
         "promotion_reason",
     )
+
+
+@query("evaluation_report", EVALUATION)
+def _(spark, sf):
+    return summary(report(spark, sf))

@@ -9,7 +9,7 @@ from creditspark.functions.loan import iso_timestamp
 from creditspark.operators import runs as RU, split as SP
 from creditspark.plans.fixtures import ctes, loans, prediction_log, runs, table
 from creditspark.plans.q_metrics import r6
-from creditspark.plans.q_monitor import report
+from creditspark.plans.q_monitor import EVALUATION, report, summary
 from creditspark.plans.q_quality import SPLITS
 from creditspark.plans.registry import query
 from creditspark.session import fresh_dir
@@ -120,12 +120,13 @@ def _(spark, sf):
     return TB.read_predictions(spark, path).filter(F.col("dt") == month).select("loan_id", "model_version")
 
 
-@query("sink_json_report")
+@query("sink_json_report", EVALUATION)
 def _(spark, sf):
+    """The report written and read back: the fields that evaluation_report gives."""
     path = fresh_dir(spark, "reports")
     rows = report(spark, sf)
     RP.save_reports(rows, path)
-    return RP.load_reports(spark, path, rows.schema)
+    return summary(RP.load_reports(spark, path, rows.schema))
 
 
 @query(
