@@ -10,6 +10,7 @@ from creditspark.operators import drift as D
 from creditspark.plans.fixtures import ctes, dirty_loans, reference_current
 from creditspark.plans.q_metrics import r6
 from creditspark.plans.registry import query
+from creditspark.session import stored
 
 NUM = S.NUMERIC_FEATURES
 CAT = ["loan_purpose", "home_ownership", "loan_default"]
@@ -167,7 +168,7 @@ dcols AS (SELECT feature AS column_name, 'num' AS kind, 'wasserstein' AS test, n
 
 @query("drift_columns", ctes("ref_cur", extra=REPORT) + f"SELECT column_name, kind, test, {r6('score')} AS score, drifted FROM dcols")
 def drift_cols(spark, sf):
-    ref, cur = (d.select(*S.CANONICAL_COLUMNS) for d in reference_current(spark, sf))
+    ref, cur = (stored(d.select(*S.CANONICAL_COLUMNS), "window") for d in reference_current(spark, sf))
     return _r(D.drift_columns(ref, cur), "score")
 
 

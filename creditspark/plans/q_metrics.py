@@ -156,8 +156,8 @@ SLICES = ctes("loans", extra=_slices_sql())
 
 
 @query("slice_metrics", SLICES + "SELECT * FROM slices")
-def slices(spark, sf):
-    return A.slice_metrics(loans(spark, sf))
+def slices(spark, sf, base=None):
+    return A.slice_metrics(loans(spark, sf) if base is None else base)
 
 
 @query("sort_slices", SLICES + "SELECT * FROM slices ORDER BY slice_column, slice_value")

@@ -14,6 +14,7 @@ from creditspark.plans.q_drift import BINS, psi_all
 from creditspark.plans.q_metrics import _slices_sql, r6, slices
 from creditspark.plans.q_quality import SPLIT
 from creditspark.plans.registry import query
+from creditspark.session import stored
 from creditspark.streaming.monitor import error_rate
 
 LOGS = ctes("prediction_log", "labels_feed")
@@ -198,7 +199,7 @@ def _(spark, sf):
     (SELECT live_auc FROM live) AS live_auc FROM all_alerts""",
 )
 def _(spark, sf):
-    psi, auc = psi_all(spark, sf), live(spark, sf)
+    psi, auc = stored(psi_all(spark, sf), "psi"), stored(live(spark, sf), "auc")  # eight rows and one
     out = AL.monitoring_summary(AL.monitoring_alerts(psi, auc), psi, auc).drop("checked_at")
     shown = F.transform(
         F.map_entries("psi_values"),
@@ -417,13 +418,13 @@ def _(spark, sf):
 
 
 def report(spark, sf):
-    base = SP.hash_split(loans(spark, sf))
+    base = stored(SP.hash_split(loans(spark, sf)), "split-loans")
     run = RU.best_trial(runs(spark, sf), "test_auc_roc").withColumn(
         "params", F.create_map(F.lit("max_depth"), F.col("max_depth").cast("string"))
     )
     val = M.classification_metrics(base.filter("split = 'val'"), "default_probability", "loan_default", 0.4)
     test = M.classification_metrics(base.filter("split = 'test'"), "default_probability", "loan_default", 0.4)
-    sl = slices(spark, sf)
+    sl = stored(slices(spark, sf, base), "slices")
     top = (
         contributions(spark, sf).groupBy("feature").agg(F.avg(F.abs("value")).alias("importance"))
     )

@@ -45,3 +45,10 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, name: str):
+    """``df`` written once under the shared folder and read back: for a table that a query uses several times."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
