@@ -15,11 +15,12 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import cut, rows_of
+from creditspark.llm.common import cut
 from creditspark.llm.quality import let
 
 MIN_WORDS = 30
@@ -109,20 +110,24 @@ def common_blocks(later: list, earlier: list, min_words: int = MIN_WORDS) -> lis
     return blocks
 
 
-def _lines_of(numbers: list[int]) -> list[tuple]:
-    return [
-        (numbers[k], numbers[k + 1], (numbers[k + 2], numbers[k + 3]), numbers[k + 4]) for k in range(0, len(numbers), _WIDTH)
-    ]
+def _rows_of_numbers(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """Each row's lines as a matrix, without making Python numbers of them."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    for start, end in zip(ends, ends[1:]):
+        yield values[start:end].reshape(-1, _WIDTH)
+
+
+def _common(lines: np.ndarray, other: np.ndarray) -> list[tuple]:
+    """Lines whose first hash the other document has too, as (index, place, hashes, words)."""
+    return [(i, p, (h1, h2), w) for i, p, h1, h2, w in lines[np.isin(lines[:, 2], other[:, 2])].tolist()]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    for ids, marks, laters, earliers in rows_of(batches):
+    for batch in batches:
         out = []
-        for d, mark, later, earlier in zip(ids, marks, laters, earliers):
-            later, earlier = _lines_of(later), _lines_of(earlier)
-            both = {x[2] for x in later} & {x[2] for x in earlier}
-            found = common_blocks([x for x in later if x[2] in both], [x for x in earlier if x[2] in both], min_words)
-            out += [(d, mark, start, end) for start, end in found]
+        ids, marks = (c.to_numpy() for c in batch.columns[:2])
+        for d, mark, later, earlier in zip(ids, marks, *map(_rows_of_numbers, batch.columns[2:])):
+            out += [(d, mark, *b) for b in common_blocks(_common(later, earlier), _common(earlier, later), min_words)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["d", "m", "start", "stop"])
 
