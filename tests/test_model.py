@@ -130,3 +130,24 @@ def test_search(loans):
     assert trials == MO.draw_trials(2, 1, {**MO.SEARCH_SPACE, "n_estimators": ("int", 2, 3, 1), "max_depth": ("int", 2, 3, 1)})
     table = MO.random_search(loans, trials)
     assert table.count() == 2 and table.filter("val_auc BETWEEN 0 AND 1").count() == 2
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 6, 9])
+def test_leaf_shapley_against_all_coalitions(d):
+    rng = np.random.default_rng(d)
+    met, shares = (rng.random((5, d)) < 0.5).astype(float), rng.random(d) * 0.9 + 0.05
+    got = E.leaf_shapley(met, shares)
+    for row, values in zip(met, got):
+        for i in range(d):
+            others, total = [j for j in range(d) if j != i], 0.0
+            for k in range(d):
+                for inside in combinations(others, k):
+                    weight = factorial(k) * factorial(d - k - 1) / factorial(d)
+                    total += weight * np.prod([row[j] if j in inside else shares[j] for j in others])
+            assert values[i] == pytest.approx((row[i] - shares[i]) * total, abs=1e-12)
+
+
+def test_leaf_shapley_of_a_deep_path_adds_up():
+    rng = np.random.default_rng(0)
+    met, shares = (rng.random((7, 40)) < 0.5).astype(float), rng.random(40) * 0.5 + 0.5
+    assert E.leaf_shapley(met, shares).sum(axis=1) == pytest.approx(met.prod(axis=1) - shares.prod())
