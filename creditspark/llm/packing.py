@@ -29,7 +29,7 @@ from creditspark.llm.token_counts import BLANKS, Memo, byte_alphabet, plain_lett
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 BIN = 8
-RANK_ROWS = 1 << 14
+RANK_ROWS = 1 << 10
 _BLANK = re.compile(f"[{BLANKS}]+")
 _CONTROL = re.compile("[\x1c-\x1f]")  # str.split parts at these, the tokenizer does not
 _ENDS = ".,;:!?"
