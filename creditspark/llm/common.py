@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -24,6 +25,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows up to which a side of a join is sent to every task; beyond, the join shuffles.
+BROADCAST_ROWS = 50_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (computed, a few columns wide) marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import cut
+from creditspark.llm.common import cut, small
 
 REPEAT_LIMIT = 2.0
 SEED = 17
@@ -29,11 +29,29 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_totals(docs: DataFrame, source_col: str = "source", size: Column | None = None) -> DataFrame:
-    """(g, n_rows, tokens) of each source; g names the source, null too."""
-    size = words(F.col("text")) if size is None else size
-    g = F.to_json(F.struct(F.col(source_col).alias("source"))).alias("g")
-    return docs.select(g, size.alias("tokens")).groupBy("g").agg(F.count("*").alias("n_rows"), F.sum("tokens").alias("tokens"))
+def sized(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    size: Column | None = None,
+    carry: bool = False,
+) -> DataFrame:
+    """(doc_id, source, g, mark, n_tokens, row): g names the source, null too; row: the docs' own columns, with ``carry``."""
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    return docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).alias("source"),
+        F.to_json(F.struct(F.col(source_col).alias("source"))).alias("g"),
+        F.xxhash64(F.col(text_col)).alias("mark"),
+        (words(F.col(text_col)) if size is None else size).alias("n_tokens"),
+        *own,
+    )
+
+
+def source_totals(rows: DataFrame) -> DataFrame:
+    """(g, n_rows, tokens) of each source of ``sized`` rows."""
+    return rows.groupBy("g").agg(F.count("*").alias("n_rows"), F.sum("n_tokens").alias("tokens"))
 
 
 def exponent(totals: DataFrame, entropy: float | None = None, repeat_limit: float | None = None, whole: bool = False) -> float:
@@ -100,65 +118,40 @@ def targets(totals: DataFrame, alpha: float, budget: int | None = None, whole: b
     return due.withColumn("passes", passes.cast("int")).withColumn("rest", F.col("due") - F.col("passes") * F.col("tokens"))
 
 
-def permute(
-    docs: DataFrame,
-    goal: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    size: Column | None = None,
-    carry: bool = False,
-    seed: int = SEED,
-) -> DataFrame:
-    """The rows of the mix: (doc_id, source, pass, block, offset, n_tokens, at), or with ``carry`` the docs' own columns.
+def _dealt(rows: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with their source's plan and their block."""
+    plan = small(goal.select(F.col("g").alias("_g"), "n_rows", "tokens", "passes", "rest", "due"))
+    block = F.pmod(F.xxhash64("doc_id", "mark", F.lit(seed)), F.ceil(F.sqrt("n_rows")))
+    return rows.join(plan, F.col("g") == F.col("_g")).withColumn("block", block).drop("_g", "n_rows")
+
+
+def permute(rows: DataFrame, goal: DataFrame, whole_rows: DataFrame | None = None, seed: int = SEED) -> DataFrame:
+    """The rows of the mix: (doc_id, source, pass, block, offset, n_tokens, at).
 
-    ``offset``: tokens of the source before the row in its pass. ``at``: the share of the source's
-    part of the mix that lies before the row; ordered by it, the mix has its weights all along. A
-    row is in the part pass if it ends within the budget.
+    With ``whole_rows`` (``sized`` rows that carry) it is their own columns instead; ``rows`` are the same
+    rows without. ``offset``: tokens of the source before the row in its pass. ``at``: the share of
+    the source's part of the mix that lies before the row; ordered by it, the mix has its
+    weights all along. A row is in the part pass if it ends within the budget.
     """
-    size = words(F.col(text_col)) if size is None else size
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        F.to_json(F.struct(F.col(source_col).alias("source"))).alias("g"),
-        F.xxhash64(F.col(text_col)).alias("mark"),
-        size.alias("n_tokens"),
-        own.alias("row"),
-    )
-    plan = goal.select(F.col("g").alias("_g"), "n_rows", "tokens", "passes", "rest", "due")
-    dealt = (
-        rows.join(plan, F.col("g") == F.col("_g"))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "mark", F.lit(seed)), F.ceil(F.sqrt("n_rows"))))
-        .drop("_g", "n_rows")
-    )
     turn = F.explode(F.sequence(F.lit(0), F.col("passes")))
+    before = Window.partitionBy("g", "pass").orderBy(F.xxhash64("block", "pass", F.lit(seed)), "block")
     blocks = cut(
-        dealt.groupBy("g", "block", "passes")
+        _dealt(rows, goal, seed)
+        .groupBy("g", "block", "passes")
         .agg(F.sum("n_tokens").alias("held"))
         .select("g", "block", "held", turn.alias("pass"))
-        .withColumn(
-            "before",
-            F.coalesce(
-                F.sum("held").over(
-                    Window.partitionBy("g", "pass")
-                    .orderBy(F.xxhash64("block", "pass", F.lit(seed)), "block")
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
+        .withColumn("before", F.sum("held").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("held"))
         .select(F.col("g").alias("_g"), F.col("block").alias("_block"), "pass", "before")
     )
-    placed = dealt.join(blocks, (F.col("g") == F.col("_g")) & (F.col("block") == F.col("_block"))).where(
-        "pass < passes or before <= rest"
-    )
+    dealt = _dealt(rows if whole_rows is None else whole_rows, goal, seed)
+    same = (F.col("g") == F.col("_g")) & (F.col("block") == F.col("_block"))
+    placed = dealt.join(small(blocks), same).where("pass < passes or before <= rest")
     inside = Window.partitionBy("g", "pass", "block").orderBy(
         F.xxhash64("doc_id", "mark", "pass", F.lit(seed)), "doc_id", "mark"
     )
-    before = F.col("before") + F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
-    taken = placed.withColumn("offset", before).where("pass < passes or offset + n_tokens <= rest")
-    if carry:
+    offset = F.col("before") + F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
+    taken = placed.withColumn("offset", offset).where("pass < passes or offset + n_tokens <= rest")
+    if whole_rows is not None:
         return taken.select("row.*")
     at = F.when(F.col("due") > 0, (F.col("pass") * F.col("tokens") + F.col("offset")) / F.col("due")).otherwise(0.0)
     return taken.select("doc_id", "source", "pass", "block", "offset", "n_tokens", at.alias("at"))
@@ -184,7 +177,7 @@ def mix(
     """
     if entropy is None and repeat_limit is None:
         repeat_limit = REPEAT_LIMIT
-    size = words(F.col(text_col))
-    totals = cut(source_totals(docs, source_col, size))
+    rows = cut(sized(docs, id_col, text_col, source_col))
+    totals = cut(source_totals(rows))
     goal = cut(targets(totals, exponent(totals, entropy, repeat_limit, whole), budget, whole))
-    return permute(docs, goal, id_col, text_col, source_col, size, carry, seed)
+    return permute(rows, goal, sized(docs, id_col, text_col, source_col, carry=True) if carry else None, seed)

@@ -24,7 +24,7 @@ def check(df, whole=False, budget=None, **goal):
     rows = df.select("doc_id", "text", "source").collect()
     totals = totals_of(rows)
     filled = {s: t for s, (_, t) in totals.items() if t}
-    alpha = M.exponent(M.source_totals(df), **(goal or {"repeat_limit": 2.0}), whole=whole)
+    alpha = M.exponent(M.source_totals(M.sized(df)), **(goal or {"repeat_limit": 2.0}), whole=whole)
     z = sum(t**alpha for t in filled.values())
     due = {s: (t**alpha * max(x ** (1 - alpha) for x in filled.values()) if whole else t**alpha / z * (budget or sum(filled.values()))) for s, t in filled.items()}
     got = M.mix(df, whole=whole, budget=budget, **goal).collect()
@@ -92,7 +92,7 @@ def test_hard_rows(spark):
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, df.collect()))
     assert M.mix(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        M.exponent(M.source_totals(df))
+        M.exponent(M.source_totals(M.sized(df)))
 
 
 def test_no_python_in_the_plan(spark, sf):
