@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import cut
+from creditspark.llm.common import cut, small
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -161,7 +161,7 @@ def estimates(rows: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP) -
     passing = rows.where(~base_failed()).select("group", *_vector())
     sizes = passing.groupBy("group").agg(F.count("*").alias("n"))
     named = cut(sizes.select("group", F.when(F.col("n") >= min_group, F.col("group")).otherwise(F.lit("")).alias("g")))
-    points = cut(passing.join(named, "group").select("g", *[f"x{i}" for i in _N]))
+    points = cut(passing.join(small(named), "group").select("g", *[f"x{i}" for i in _N]))
     floors = [(SCALE * floor) ** 2 for *_, floor in STATISTICS]
     quartiles = points.groupBy("g").agg(*[F.percentile(f"x{i}", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(f"q{i}") for i in _N])
     start = quartiles.select(
@@ -177,12 +177,12 @@ def estimates(rows: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP) -
     short = (1 - chi_square_above(chi_square_point(1 - CORE, len(_N)), len(_N) + 2)) / CORE
     params, before = cut(_factor(start)), None
     for _ in range(steps):
-        ranked = points.join(params, "g").select(
+        ranked = points.join(small(params), "g").select(
             "g", *[f"x{i}" for i in _N], F.floor(64 * F.log2(_distance() + 1e-3)).cast("int").alias("step")
         )
         edge = ranked.groupBy("g").agg(F.expr(f"percentile_disc({CORE}) within group (order by step)").alias("edge"))
         sums = (
-            ranked.join(edge, "g")
+            ranked.join(small(cut(edge)), "g")
             .where("step <= edge")
             .groupBy("g")
             .agg(
@@ -208,13 +208,13 @@ def estimates(rows: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP) -
         if mark == before:
             break
         before = mark
-    return named.join(params, "g").drop("g")
+    return cut(named.join(params, "g").drop("g"))
 
 
 def judged(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows`` with base_failed, distance (squared; null where base_failed) and kept."""
     limit = chi_square_point(TAIL, len(_N))
-    both = rows.join(found.withColumnRenamed("group", "_group"), F.col("group") == F.col("_group"), "left")
+    both = rows.join(small(found).withColumnRenamed("group", "_group"), F.col("group") == F.col("_group"), "left")
     marked = both.withColumn("base_failed", base_failed()).select("*", *_vector())
     distance = F.when(~F.col("base_failed"), _distance()).alias("distance")
     own = [F.col(c) for c in rows.columns]
