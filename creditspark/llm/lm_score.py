@@ -5,9 +5,10 @@ in the same way and over one vocabulary (Moore and Lewis, "Intelligent Selection
 Model Training Data"). The vocabulary is every word with at least ``WORD_SHARE`` of the target's
 or of the background's words; a pair of words has its own estimate if it has at least
 ``PAIR_SHARE`` of either's pairs, and else backs off. Shares add up to one, so the models have at
-most 2 / ``WORD_SHARE`` words and 2 / ``PAIR_SHARE`` pairs however large the corpus is, which is
+most 1 / ``WORD_SHARE`` words and 2 / ``PAIR_SHARE`` pairs however large the corpus is, which is
 what makes it safe to send them to every task. The counts themselves cover every word of every
-row and are summed by Spark.
+row and are summed by Spark. Rows meet their mark as vocabulary ids rather than as text, by the
+same kind of join at any size.
 """
 
 from __future__ import annotations
@@ -22,50 +23,44 @@ from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut, rows_of
 
-WORD_SHARE = 2.0**-16
+WORD_SHARE = 2.0**-15
 PAIR_SHARE = 2.0**-18
 DISCOUNT = 0.75
 _FLUSH = 300_000
 _SHIFT = 32
+_ALONE = 1 << 62  # marks the count of a word, beside those of pairs
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, all, target): counts, given out whenever the table has grown to ``_FLUSH`` words."""
-    every, target = Counter(), Counter()
+    """(word, n): counts, given out whenever the table has grown to ``_FLUSH`` words."""
+    every: Counter = Counter()
 
     def out():
-        words = list(every)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), pa.array(every.values(), pa.int64()), pa.array([target[w] for w in words], pa.int64())],
-            ["word", "n_all", "n_target"],
-        )
-
-    for texts, marks in rows_of(batches):
-        for text, mark in zip(texts, marks):
-            words = (text or "").split()
-            every.update(words)
-            if mark:
-                target.update(words)
+        return pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array(every.values(), pa.int64())], ["word", "n"])
+
+    for (texts,) in rows_of(batches):
+        for text in texts:
+            every.update((text or "").split())
         if len(every) >= _FLUSH:
             yield out()
             every.clear()
-            target.clear()
     if every:
         yield out()
 
 
-def _pairs(texts: list[str | None], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of each word with the one before it, texts joined; and how many each text has.
-
-    Id 0 is any word outside the vocabulary, 1 stands before the first.
-    """
+def _ids(texts: list[str | None], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary ids of the words of all texts, joined, and how many each text has. 0: any other word."""
     split = [(t or "").split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
     get = index.get
-    ids = np.fromiter((get(w, 0) for words in split for w in words), np.int64, int(sizes.sum()))
+    return np.fromiter((get(w, 0) for words in split for w in words), np.int64, int(sizes.sum())), sizes
+
+
+def _pairs(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Codes of each word with the one before it; 1 stands before a text's first."""
     before = np.r_[1, ids[:-1]][: len(ids)]
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 1
-    return before << _SHIFT | ids, sizes
+    return before << _SHIFT | ids
 
 
 class Model:
@@ -89,7 +84,8 @@ class Model:
 
     def score(self, texts: list[str | None]) -> list[tuple[int, float | None, float | None]]:
         """Words, and the mean loss of a word under the target and the background model (null without words)."""
-        codes, sizes = _pairs(texts, self.index)
+        ids, sizes = _ids(texts, self.index)
+        codes = _pairs(ids, sizes)
         losses = self.free[:, codes >> _SHIFT] + self.base[:, codes & ((1 << _SHIFT) - 1)]
         if len(self.codes):
             at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
@@ -104,22 +100,20 @@ class Model:
         return out
 
 
-def train(rows: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
-    """The models of ``rows`` (text, target). Two passes: words, then pairs of the vocabulary's ids."""
-    words = cut(
-        rows.select("text", "target")
-        .mapInArrow(_words, "word string, n_all long, n_target long")
-        .groupBy("word")
-        .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-    )
-    n_all, n_target = (x or 0 for x in words.agg(F.sum("n_all"), F.sum("n_target")).first())
-    frequent = words.where((F.col("n_all") >= word_share * max(n_all, 1)) | (F.col("n_target") >= word_share * max(n_target, 1)))
-    known = frequent.toArrow().sort_by("word")  # at most 2 / word_share rows
-    names = known.column("word").to_pylist()
-    unigrams = np.zeros((2, len(names) + 2))
-    unigrams[:, 2:] = known.column("n_target").to_numpy(), known.column("n_all").to_numpy()
-    unigrams[:, 0] = (n_target, n_all) - unigrams[:, 2:].sum(axis=1)
+def train(docs: DataFrame, wanted: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
+    """The models of ``docs`` (doc_id, text), those of ``wanted`` (column wanted, each id once) being the target."""
+    words = cut(docs.select("text").mapInArrow(_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    n_all = words.agg(F.sum("n")).first()[0] or 0
+    known = words.where(F.col("n") >= word_share * max(n_all, 1)).select("word").toArrow().sort_by("word")
+    names = known.column("word").to_pylist()  # at most 1 / word_share
     index = {w: i + 2 for i, w in enumerate(names)}
+    kind = np.dtype("<u2") if len(names) < 65_000 else np.dtype("<u4")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, texts in rows_of(batches):
+            ids, sizes = _ids(texts, index)
+            parts = [x.tobytes() for x in np.split(ids.astype(kind), np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "ids"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, marks = [], []
@@ -132,25 +126,32 @@ def train(rows: DataFrame, word_share: float = WORD_SHARE, pair_share: float = P
             return pa.RecordBatch.from_arrays([pa.array(every), pa.array(n), pa.array(target)], ["code", "n_all", "n_target"])
 
         for texts, flags in rows_of(batches):
-            own, sizes = _pairs(texts, index)
-            codes.append(own)
-            marks.append(np.repeat(np.array([bool(f) for f in flags]), sizes))
-            if sum(map(len, codes)) >= 4_000_000:
+            sizes = np.array([len(t) // kind.itemsize for t in texts], np.int64)
+            ids = np.frombuffer(b"".join(texts), kind).astype(np.int64)
+            mark = np.repeat(np.array(flags, bool), sizes)
+            codes += [_pairs(ids, sizes), ids | _ALONE]
+            marks += [mark, mark]
+            if sum(map(len, codes)) >= 6_000_000:
                 yield out()
         if codes:
             yield out()
 
-    pairs = cut(
-        rows.select("text", "target")
+    encoded = docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary")
+    marked = encoded.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left")
+    counts = cut(
+        marked.select("ids", F.col("wanted").isNotNull().alias("target"))
         .mapInArrow(count, "code long, n_all long, n_target long")
         .groupBy("code")
         .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-        .where((F.col("n_all") >= pair_share * max(n_all, 1)) | (F.col("n_target") >= pair_share * max(n_target, 1)))
     )
-    kept = pairs.toArrow().sort_by("code")  # at most 2 / pair_share rows
-    counts = np.stack([kept.column("n_target").to_numpy(), kept.column("n_all").to_numpy()]).astype(float)
-    # a pair of the target alone is also one of all rows; where only all rows have enough, the target's few count too
-    return Model(names, unigrams, kept.column("code").to_numpy(), counts)
+    alone = counts.where(F.col("code") >= _ALONE).toArrow()  # at most a row a word
+    unigrams = np.zeros((2, len(names) + 2))
+    at = alone.column("code").to_numpy() ^ _ALONE
+    unigrams[0, at], unigrams[1, at] = alone.column("n_target").to_numpy(), alone.column("n_all").to_numpy()
+    enough = (F.col("n_all") >= pair_share * max(n_all, 1)) | (F.col("n_target") >= pair_share * max(float(unigrams[0].sum()), 1.0))
+    kept = counts.where((F.col("code") < _ALONE) & enough).toArrow().sort_by("code")  # at most 2 / pair_share rows
+    pairs = np.stack([kept.column("n_target").to_numpy(), kept.column("n_all").to_numpy()]).astype(float)
+    return Model(names, unigrams, kept.column("code").to_numpy(), pairs)
 
 
 def cross_entropy_difference(
@@ -172,8 +173,7 @@ def cross_entropy_difference(
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     wanted = targets.select(F.col(id_col).cast("long").alias("wanted")).distinct()
-    marked = chosen.join(wanted, F.col("doc_id") == F.col("wanted"), "left").select("text", F.col("wanted").isNotNull().alias("target"))
-    model = train(marked, word_share, pair_share)
+    model = train(chosen, wanted, word_share, pair_share)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ def brute(rows, wanted, word_share, pair_share):
             if m or i in wanted:
                 uni[m].update(words)
     totals = [sum(u.values()) for u in uni]
-    vocab = {w for w in uni[1] if any(uni[m][w] >= word_share * max(totals[m], 1) for m in (0, 1))}
+    vocab = {w for w in uni[1] if uni[1][w] >= word_share * totals[1]}
     ids = [(i, [w if w in vocab else 0 for w in words]) for i, words in split]
     mapped = [Counter(), Counter()]
     for i, words in ids:
@@ -77,8 +77,8 @@ def test_hard_rows(spark, wanted):
 
 
 def test_the_model_s_probabilities_sum_to_one(spark):
-    df = spark.createDataFrame([("a b a c a b", True), ("c c d a b", False), ("a a", True)], "text string, target boolean")
-    model = S.train(df, 0.1, 0.1)
+    df = spark.createDataFrame([(1, "a b a c a b"), (2, "c c d a b"), (3, "a a")], "doc_id long, text string")
+    model = S.train(df, spark.createDataFrame([(1,), (3,)], "wanted long"), 0.1, 0.1)
     n = model.base.shape[1]
     pairs = {int(c): model.losses[:, k] for k, c in enumerate(model.codes)}
     for v in range(n):
