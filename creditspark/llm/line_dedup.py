@@ -153,7 +153,8 @@ def repeated_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("w"),
     )
     own = F.struct("d", "m")
-    held = rows.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
+    # Computed first, so that the join below has two plain sides and a line that a third of all rows hold can be split.
+    held = cut(rows.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last"))
     shared = (
         rows.join(held.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "first"), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
         .groupBy("d", "m")
@@ -177,7 +178,7 @@ def repeated_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
     )
     twos = kept.select("d", "m", F.explode(F.filter(following, lambda x: x.isNotNull())).alias("x")).select("d", "m", "x.h1", "x.h2")
-    starts = twos.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
+    starts = cut(twos.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last"))
     double = twos.join(starts, ["h1", "h2"]).where("first <> struct(d, m)").select("d", "m", "first")
     pairs = single.unionByName(double).distinct().select("d", "m", F.col("first.d").alias("fd"), F.col("first.m").alias("fm"))
     numbers = F.flatten(F.transform("lines", lambda x: F.array(x["i"], x["place"], x["h1"], x["h2"], x["w"])))
