@@ -22,7 +22,7 @@ MIN_WORDS = 50
 MAX_REPEAT = 50  # per cent of words
 SCALE = 1024
 CORE = 0.75  # share of a group that the estimate rests on
-TAIL = 1e-9  # chance that a row of a normal group is rejected
+TAIL = 1e-3  # chance that a row of a normal group is rejected; with the floors of STATISTICS, repeats act from 43 per cent on
 MIN_GROUP = 100
 STEPS = 12
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

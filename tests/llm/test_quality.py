@@ -114,3 +114,15 @@ def test_no_python_in_the_plan(spark, sf):
     for df in (Q.quality(docs), Q.keep_good(docs)):
         plan = df._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_tight_group_rejects_duplicate_lines_and_repeats(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}x{j}" for j in range(n))
+
+    rows = [(i, "\n".join(words(f"l{i}n{k}", 10) for k in range(10)), "en", "s") for i in range(150)]
+    # 40 per cent of the lines and 45 of the words are repeated
+    rows.append((900, "\n".join([*[words("d100n0", 9)] * 5, *[words(f"u10{k}n0", 11) for k in range(5)]]), "en", "s"))
+    got = {r.doc_id: r for r in Q.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert (got[900].n_dup_lines, got[900].n_repeat_words, got[900].base_failed, got[900].kept) == (4, 45, False, False)
+    assert all(got[i].kept for i in range(150))
