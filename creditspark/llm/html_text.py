@@ -5,6 +5,10 @@ markup that names its role (navigation, header, footer, sidebar, advert, form, c
 decides against. Second pass: a block still open, mostly short ones, takes the label of the
 nearest decided block. Distances count the blocks between, and leaving a container counts as
 more; the edges of a page count as decided against and those of an article or main element for.
+
+Stop words are of four languages. Where no long block of little linked text on a page has their
+density, the page is in another language (or is code, tables, names), and its long blocks are
+decided by length and links alone.
 """
 
 from __future__ import annotations
@@ -73,6 +77,7 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORDS = re.compile(r"[^\W\d_]+")
+_DENSE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # kana, Chinese characters, Hangul
 
 
 class _Element:
@@ -186,7 +191,9 @@ def blocks(html: str) -> list[_Block]:
             top = stack[-1]
             serial += 1
             inside = any(e.tag in _FOR for e in stack)
-            against = top.against or tag in _BLOCKS | {"span", "a"} and _other_role(tag, token[3], inside)
+            # a page's article stands on its own, whatever a wrapper's class says; one within another (a comment) does not
+            own = tag in _FOR and not inside and not any(e.tag in _AGAINST for e in stack)
+            against = not own and top.against or tag in _BLOCKS | {"span", "a"} and _other_role(tag, token[3], inside)
             path = (*top.path, (tag, serial)) if tag in _BLOCKS and tag not in ("p", "html", "body") else top.path
             stack.append(_Element(tag, top.dropped or tag in _DROPPED, against, top.link or tag == "a", path))
             if tag in _RAW:
@@ -198,16 +205,29 @@ def blocks(html: str) -> list[_Block]:
     return found
 
 
-def _decide(block: _Block, stop_words: frozenset[str]) -> bool | None:
-    """Label by the block alone: True, False, or None where it does not suffice."""
+def _density(block: _Block, stop_words: frozenset[str]) -> float:
+    words = _WORDS.findall(block.text.lower())
+    return sum(w in stop_words for w in words) / max(1, len(words))
+
+
+def _units(text: str) -> int:
+    """Length of a text; a letter of scripts that write a word in one or two counts as three."""
+    return len(text) + 2 * len(_DENSE.findall(text))
+
+
+def _decide(block: _Block, density: float | None, known: bool) -> bool | None:
+    """Label by the block alone: True, False, or None where it does not suffice.
+
+    ``density``: of stop words, for blocks long enough to have one. ``known``: stop words tell on this page.
+    """
     if block.against:
         return False
     if block.linked > LINKS * len(block.text):
         return False
-    if len(block.text) < SHORT:
+    if density is None:
         return None
-    words = _WORDS.findall(block.text.lower())
-    density = sum(w in stop_words for w in words) / max(1, len(words))
+    if not known:
+        return True
     if density >= HIGH or density >= LOW and len(block.text) >= LONG:
         return True
     if density < LOW and not any(tag in _FOR for tag, _ in block.path):
@@ -227,8 +247,11 @@ def _steps(a: tuple, b: tuple) -> int:
 
 def label(found: list[_Block], stop_words: frozenset[str] = STOP_WORDS) -> None:
     """Both passes over a page's blocks. Of neighbours equally near, the one for the article counts."""
-    for block in found:
-        block.label = _decide(block, stop_words)
+    dense = [_density(b, stop_words) if _units(b.text) >= SHORT else None for b in found]
+    # role words and links apart, does any long block have the density of a language known?
+    known = any(d is not None and d >= LOW and not b.against and b.linked <= LINKS * len(b.text) for b, d in zip(found, dense))
+    for block, density in zip(found, dense):
+        block.label = _decide(block, density, known)
     n = len(found)
     # the nearest decided block (or edge) before each block and after it, in one sweep each way
     sides = []

@@ -67,3 +67,31 @@ def test_hard_rows(spark):
     assert got[:5] == [(1, "u", 0), (2, None, 0), (None, "u", len(P1)), (3, "u", len(P1)), (3, "u", len(P1))]
     assert got[5][2] == 5000 * (len(P1) + 1 + 4) - 2
     assert H.extract(df.limit(0)).count() == 0
+
+
+OTHER = {
+    "ru": "Комитет сообщил, что весной он снова рассмотрит этот план и что решение по данному вопросу пока не принято, хотя город ждёт ответа.",
+    "el": "Η επιτροπή δήλωσε ότι θα εξετάσει ξανά το σχέδιο την άνοιξη και ότι δεν έχει ληφθεί ακόμη καμία απόφαση για το θέμα αυτό.",
+    "ar": "قالت اللجنة إنها ستراجع الخطة مرة أخرى في الربيع وإنه لم يتخذ أي قرار بعد في هذا الشأن رغم انتظار المدينة لجواب الشركة.",
+    "zh": "委员会表示将在春季再次审议该计划，目前尚未就此事作出任何决定，而市议会一年内第二次不得不等待负责这项工作的公司答复。",
+}
+
+
+@pytest.mark.parametrize("lang", OTHER)
+def test_pages_without_article_in_languages_without_stop_words(lang):
+    text = OTHER[lang]
+    links = "<div>" + "".join(f"<a href=x>{text[:40]}</a> " for _ in range(4)) + "</div>"
+    page = f"<body>{NAV}{links}<div><p>{text}</p><p>{text[:11]}</p><p>{text}</p></div><div class='comments'><p>{text}</p></div><footer>{text}</footer>"
+    assert H.main_text(page) == "\n\n".join([text, text[:11].strip(), text])
+
+
+def test_code_without_article():
+    code = "x = alpha[0] + beta[1]; q = gamma(x, delta); z = epsilon(q) * zeta; print(z, eta, theta, iota)"
+    assert H.main_text(f"<body>{NAV}<div><pre>{code}</pre></div>") == code
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "with-comments"])
+def test_an_article_resets_a_wrapper_s_role(name):
+    page = f"<div class='{name}'><article><p>{P1}</p><div class='sidebar'><p>{P2}</p></div></article><p>{P2}</p></div>"
+    assert H.main_text(page) == P1
+    assert H.main_text(f"<article><p>{P1}</p><section id='comments'><article><p>{P2}</p></article></section></article>") == P1
