@@ -189,7 +189,7 @@ def _(spark, sf):
     return out.withColumn("top_factors", F.array_join(F.col("top_factors")["feature"], ","))
 
 
-QUICK = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2}
+DECLARED = {name: MO.MODEL_DEFAULTS[name] for name in ("n_estimators", "max_depth", "learning_rate")}
 
 
 # What SQL can say of a fitted model: whom it was fitted to, and relations its numbers must satisfy.
@@ -208,7 +208,7 @@ def _near(a, b):
 def _(spark, sf):
     """Sizes by split; the AUC beats chance and stays below 1, Gini is 2 AUC - 1, KS lies within 0 and 1."""
     df = split_loans(spark, sf)
-    features, model = MO.train(df, QUICK)
+    features, model = MO.train(df, DECLARED)
     return MO.evaluate_splits(MO.predict(df, features, model)).select(
         "split",
         F.col("n_samples").cast("long").alias("n_samples"),
@@ -227,7 +227,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Decision, tier and confidence follow from the probability; five factors, the largest first."""
     df = split_loans(spark, sf)
-    features, model = MO.train(df, QUICK)
+    features, model = MO.train(df, DECLARED)
     scored = MO.predict(df, features, model)
     explained = E.tree_contributions(scored, model, keep=("loan_id", "default_probability"))
     factors = E.top_factors(F.col("contributions"), FE.feature_names(features))
@@ -252,7 +252,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Base and contributions add up to the model's margin."""
     df = split_loans(spark, sf)
-    features, model = MO.train(df, QUICK)
+    features, model = MO.train(df, DECLARED)
     out = E.tree_contributions(MO.predict(df, features, model), model, keep=("loan_id", "default_probability"))
     total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
     p = F.col("default_probability")
@@ -265,7 +265,7 @@ def _(spark, sf):
     'learning_rate,max_depth,n_estimators' AS params""",
 )
 def _(spark, sf):
-    return MO.train_result(split_loans(spark, sf), "run_00000001", "gbt", QUICK).select(
+    return MO.train_result(split_loans(spark, sf), "run_00000001", "gbt", DECLARED).select(
         "run_id",
         "model_name",
         (F.col("val_auc").between(0.5, 1.0) & F.col("test_auc").between(0.5, 1.0)).alias("aucs_hold"),
@@ -280,14 +280,13 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Every trial once, its parameters within the ranges searched, and exactly one best."""
-    space = {**MO.SEARCH_SPACE, "n_estimators": ("int", 3, 6, 1), "max_depth": ("int", 3, 5, 1)}
-    trials = MO.draw_trials(3, 42, space)
+    trials = MO.draw_trials(3, 42)
     table = MO.random_search(split_loans(spark, sf), trials)
     named = table.withColumn("run_id", F.format_string("trial_%04d", "trial"))
     best = RU.best_trial(named, "val_auc").select("run_id")
     marked = named.withColumn("is_best", F.col("run_id") == best.scalar())
     within = F.lit(True)
-    for name, (_, low, high, *_rest) in space.items():
+    for name, (_, low, high, *_rest) in MO.SEARCH_SPACE.items():
         within = within & F.col("params")[name].cast("double").between(low, high)
     n_best = marked.agg(F.count_if("is_best")).scalar()
     return marked.select(

@@ -151,3 +151,27 @@ def test_leaf_shapley_of_a_deep_path_adds_up():
     rng = np.random.default_rng(0)
     met, shares = (rng.random((7, 40)) < 0.5).astype(float), rng.random(40) * 0.5 + 0.5
     assert E.leaf_shapley(met, shares).sum(axis=1) == pytest.approx(met.prod(axis=1) - shares.prod())
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["train_gbt", "score_batch_gbt", "feature_contributions_tree", "train_result_row", "hyperparameter_search", "training_pipeline"],
+)
+def test_queries_fit_with_the_declared_values(spark, sf, monkeypatch, name):
+    from creditspark.plans import q_model, q_pipeline  # noqa: F401
+    from creditspark.plans.registry import QUERIES
+
+    class Fitted(Exception):
+        pass
+
+    def fit(rows, params=None, seed=42, patience=None):
+        raise Fitted(params)
+
+    monkeypatch.setattr(MO, "fit_boosted", fit)
+    with pytest.raises(Fitted) as seen:
+        QUERIES[name](spark, sf)
+    params = seen.value.args[0]
+    if name == "hyperparameter_search":
+        assert params in MO.draw_trials(3, 42)
+    else:
+        assert {**MO.MODEL_DEFAULTS, **params} == MO.MODEL_DEFAULTS
