@@ -2,13 +2,16 @@
 
 The target model is counted over the rows marked as target, the background model over all rows,
 in the same way and over one vocabulary (Moore and Lewis, "Intelligent Selection of Language
-Model Training Data"). The vocabulary is every word with at least ``WORD_SHARE`` of the target's
-or of the background's words; a pair of words has its own estimate if it has at least
-``PAIR_SHARE`` of either's pairs, and else backs off. Shares add up to one, so the models have at
-most 1 / ``WORD_SHARE`` words and 2 / ``PAIR_SHARE`` pairs however large the corpus is, which is
-what makes it safe to send them to every task. The counts themselves cover every word of every
-row and are summed by Spark. Rows meet their mark as vocabulary ids rather than as text, by the
-same kind of join at any size.
+Model Training Data"). The vocabulary is every word that occurs ``MIN_COUNT`` times, and a pair of
+words has its own estimate if it occurs ``MIN_COUNT`` times, and else backs off; a word or pair of
+the target is one of all rows, so the target's clause is the same. The tables thus grow with the
+corpus. They stay in Spark: documents meet the losses of their pairs in a join, by counts summed
+within each document. Only the ``COMMON`` most frequent pairs, which nearly every document holds,
+are sent to the tasks, so that no pair is hot in the join; what is sent changes no result.
+Words are told apart by 64-bit hashes.
+
+With ``word_share`` or ``pair_share`` given, words and pairs are kept by their share instead, and
+the model, bounded by the shares, is sent whole.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut, rows_of
 
-WORD_SHARE = 2.0**-15
+MIN_COUNT = 2
+WORD_SHARE = 2.0**-15  # of a bounded model, where only the other share is given
 PAIR_SHARE = 2.0**-18
+COMMON = 300_000
 DISCOUNT = 0.75
 _FLUSH = 300_000
 _SHIFT = 32
@@ -154,13 +159,160 @@ def train(docs: DataFrame, wanted: DataFrame, word_share: float = WORD_SHARE, pa
     return Model(names, unigrams, kept.column("code").to_numpy(), pairs)
 
 
+#: What str.split() takes as blank.
+_BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_START, _OTHER = 1, 0  # stand before a text's first word, and for words outside the vocabulary
+
+
+def _hashes(text: Column) -> Column:
+    """Hashes of the words of a text, in order."""
+    words = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _BLANK, " " * len(_BLANK)), " "), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _hashed_pairs(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word before, word, code of both, row) of each word of the rows, joined."""
+    offsets = column.offsets.to_numpy()
+    after, sizes = column.values.to_numpy()[offsets[0] : offsets[-1]], np.diff(offsets)
+    before = np.r_[_START, after[:-1]][: len(after)]
+    before[(offsets[:-1] - offsets[0])[sizes > 0]] = _START
+    code = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + after.astype(np.uint64)).view(np.int64)
+    return before, after, code, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(c, v, w, n_all, n_target) of (words, target), summed within a task as far as a table of them fits."""
+    parts: list = []
+
+    def out():
+        v, w, code, mark = map(np.concatenate, zip(*parts))
+        parts.clear()
+        every, first, at, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+        target = np.bincount(at, mark, len(every)).astype(np.int64)
+        for k in range(0, len(every), 200_000):
+            part = slice(k, k + 200_000)
+            yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (every, v[first], w[first], n, target)], ["c", "v", "w", "n_all", "n_target"])
+
+    for batch in batches:
+        v, w, code, row = _hashed_pairs(batch.column(0))
+        parts.append((v, w, code, batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[row]))
+        if sum(len(p[0]) for p in parts) >= 2_000_000:
+            yield from out()
+    if parts:
+        yield from out()
+
+
+def pair_losses(docs: DataFrame, wanted: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """(c, n_all, lt, lb): losses under both models of every pair of words in ``docs`` (doc_id, text)."""
+    marked = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left")
+    raw = marked.select(_hashes(F.col("text")).alias("words"), F.col("wanted").isNotNull().alias("target"))
+    counted = raw.mapInArrow(_pair_counts, "c long, v long, w long, n_all long, n_target long")
+    pairs = cut(counted.groupBy("c", "v", "w").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")))
+    words = pairs.groupBy("w").agg(F.sum("n_all").alias("u_all"), F.sum("n_target").alias("u_target"))
+    known = cut(words.where(F.col("u_all") >= min_count))
+    every = pairs.agg(F.sum("n_target"), F.sum("n_all")).first()
+    own = known.agg(F.sum("u_target"), F.sum("u_all"), F.count("*")).first()
+    totals, size = [x or 0 for x in every], own[2]
+    other = [t - (x or 0) for t, x in zip(totals, own)]
+    of = {"target": 0, "all": 1}
+
+    after = known.withColumnRenamed("w", "kw")
+    before = known.select(F.col("w").alias("kv"))
+    v = F.when((F.col("v") == _START) | F.col("kv").isNotNull(), F.col("v")).otherwise(F.lit(_OTHER)).alias("v")
+    mapped = cut(
+        pairs.join(after, F.col("w") == F.col("kw"), "left")
+        .join(before, F.col("v") == F.col("kv"), "left")
+        .select(
+            "c", v, F.coalesce("kw", F.lit(_OTHER)).alias("w"), "n_all", "n_target",
+            *[((F.coalesce(f"u_{m}", F.lit(other[k])) + 1) / F.lit(float(totals[k] + size + 1))).alias(f"base_{m}") for m, k in of.items()],
+        )
+    )
+    kept = cut(
+        mapped.groupBy("v", "w")
+        .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
+        .where(F.col("n_all") >= min_count)
+        .select("v", "w", "n_all", "n_target", *[F.greatest(F.col(f"n_{m}") - DISCOUNT, F.lit(0.0)).alias(f"taken_{m}") for m in of])
+    )
+    followed = kept.groupBy("v").agg(*[F.sum(f"{x}_{m}").alias(f"{x}_{m}") for x in ("n", "taken") for m in of])
+
+    def context(m: str) -> Column:
+        alone = F.when(F.col("v") == _OTHER, F.lit(other[of[m]])).otherwise(F.coalesce(F.col(f"u_{m}"), F.lit(0)))
+        return F.greatest(alone, F.col(f"n_{m}"), F.lit(1))
+
+    contexts = (
+        followed.join(after, F.col("v") == F.col("kw"), "left")
+        .select(F.col("v").alias("cv"), *[context(m).alias(f"context_{m}") for m in of], *[F.col(f"taken_{m}").alias(f"gone_{m}") for m in of])
+    )
+    own_estimate = kept.select(F.col("v").alias("pv"), F.col("w").alias("pw"), *[f"taken_{m}" for m in of])
+    both = mapped.join(own_estimate, (F.col("v") == F.col("pv")) & (F.col("w") == F.col("pw")), "left").join(
+        cut(contexts), F.col("v") == F.col("cv"), "left"
+    )
+
+    def loss(m: str) -> Column:
+        share = lambda x: F.coalesce(F.col(f"{x}_{m}") / F.col(f"context_{m}"), F.lit(0.0))
+        return -F.log(share("taken") + (1 - share("gone")) * F.col(f"base_{m}"))
+
+    return cut(both.select("c", "n_all", loss("target").alias("lt"), loss("all").alias("lb")))
+
+
+def _joined(docs: DataFrame, wanted: DataFrame, min_count: int, common: int) -> DataFrame:
+    """(doc_id, n_words, loss_target, loss_background), the losses of pairs joined to documents in Spark."""
+    losses = pair_losses(docs, wanted, min_count)
+    # at most ``common`` pairs, those of the highest counts
+    bar = losses.groupBy("n_all").count().orderBy(F.desc("n_all")).limit(common).toPandas()  # a row a count
+    frequent = bar["n_all"][bar["count"].cumsum() <= common]
+    least = int(frequent.min()) if len(frequent) else None
+    top = losses.where(F.col("n_all") >= least if least is not None else F.lit(False)).select("c", "lt", "lb").toArrow().sort_by("c")
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(top.column(x).to_numpy() for x in ("c", "lt", "lb")))
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per document the sum over its frequent pairs, and a row with the count of each other pair."""
+        known, *kept = sent.value
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            _, _, code, row = _hashed_pairs(batch.column(1))
+            if not len(code):
+                continue
+            at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+            own = known[at] == code if len(known) else np.zeros(len(code), bool)
+            some = np.unique(row)
+            sums = [np.bincount(row[own], x[at[own]], len(keys))[some] for x in kept]
+            n = np.bincount(row, minlength=len(keys))[some]
+            code, row = code[~own], row[~own]
+            order = np.lexsort((code, row))
+            code, row = code[order], row[order]
+            first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])][: len(code)])
+            counts = np.diff(np.r_[first, len(code)])
+            columns = [
+                np.r_[keys[some], keys[row[first]]], np.r_[keys[some], code[first]], np.r_[np.ones(len(some), bool), np.zeros(len(first), bool)],
+                np.r_[n, counts], *[np.r_[s, np.zeros(len(first))] for s in sums],
+            ]
+            for k in range(0, len(columns[0]), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in columns], ["k", "c", "part", "n", "lt", "lb"])
+
+    # rows of equal id and text share a key: their sums and their words are added up alike
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
+    asked = rows.select("k", _hashes(F.col("text")).alias("words")).mapInArrow(parts, "k long, c long, part boolean, n long, lt double, lb double")
+    rest = losses.where(F.col("n_all") < least) if least is not None else losses
+    answer = rest.select(F.col("c").alias("ac"), F.lit(False).alias("apart"), F.col("lt").alias("alt"), F.col("lb").alias("alb"))
+    met = asked.join(answer.hint("merge"), (F.col("c") == F.col("ac")) & (F.col("part") == F.col("apart")), "left")
+    n = F.sum(F.when(F.col("part"), F.col("n")))
+    found = met.groupBy("k").agg(
+        *[(F.sum(F.when(F.col("part"), F.col(x)).otherwise(F.col("n") * F.col(f"a{x}"))) / n).alias(y) for x, y in (("lt", "loss_target"), ("lb", "loss_background"))]
+    )
+    sized = rows.select("doc_id", F.size(_hashes(F.col("text"))).cast("long").alias("n_words"), "k")
+    return sized.join(found.withColumnRenamed("k", "fk").hint("merge"), F.col("k") == F.col("fk"), "left").select("doc_id", "n_words", "loss_target", "loss_background")
+
+
 def cross_entropy_difference(
     docs: DataFrame,
     targets: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    word_share: float = WORD_SHARE,
-    pair_share: float = PAIR_SHARE,
+    word_share: float | None = None,
+    pair_share: float | None = None,
+    min_count: int = MIN_COUNT,
+    common: int = COMMON,
 ) -> DataFrame:
     """(doc_id, n_words, loss_target, loss_background, score): one row per input row.
 
@@ -173,7 +325,10 @@ def cross_entropy_difference(
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     wanted = targets.select(F.col(id_col).cast("long").alias("wanted")).distinct()
-    model = train(chosen, wanted, word_share, pair_share)
+    difference: Column = (F.col("loss_target") - F.col("loss_background")).alias("score")
+    if word_share is None and pair_share is None:
+        return _joined(chosen, wanted, min_count, common).select("*", difference)
+    model = train(chosen, wanted, WORD_SHARE if word_share is None else word_share, PAIR_SHARE if pair_share is None else pair_share)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,5 +341,4 @@ def cross_entropy_difference(
             )
 
     schema = "doc_id long, n_words long, loss_target double, loss_background double"
-    difference: Column = (F.col("loss_target") - F.col("loss_background")).alias("score")
     return chosen.mapInArrow(score, schema).select("*", difference)
