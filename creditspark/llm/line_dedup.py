@@ -1,12 +1,13 @@
 """Repeated passages across documents, found by shared lines and removed by pairwise alignment.
 
-A line, or two lines in a row, that several documents hold names the first of them; every
-later holder is paired with that one. A document thus has at most two pairs a line, however
-many documents share it. Lines whose run of shared lines is shorter than a block may be name
-no pair: common headings and licence lines, repeated alone, cannot make a block. Each pair is
-aligned by patience diff over the lines both hold, and blocks of lines that follow each other
-in both documents, ``MIN_WORDS`` words or more, are deleted from the later one. The first
-holder of a line never loses it.
+Every shortest run of lines that reaches ``MIN_WORDS`` words, taken from each line onwards and
+from each line backwards, names the first document that holds it; every later holder is paired
+with that one. Any passage of ``MIN_WORDS`` words that a document shares with an earlier one is
+covered by such runs, so no line of it is missed, and a document has at most two pairs a line,
+however many documents share it. Each pair is aligned by patience diff over the lines both hold;
+runs of lines in another order, or repeated, are then matched wherever they stand. Blocks of
+lines that follow each other in both documents, ``MIN_WORDS`` words or more, are deleted from the
+later one. The first holder of a line never loses it.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut
@@ -104,10 +105,60 @@ def common_blocks(later: list, earlier: list, min_words: int = MIN_WORDS) -> lis
         follows = run and i is not None and later[i][0] == later[run[-1][0]][0] + 1 and earlier[j][0] == earlier[run[-1][1]][0] + 1
         if run and not follows:
             if sum(later[k][3] for k, _ in run) >= min_words:
-                blocks.append((later[run[0][0]][1], later[run[-1][0]][1] + 1))
+                blocks.append((run[0][0], run[-1][0] + 1))
             run = []
         run.append((i, j))
-    return blocks
+    if sum(stop - start for start, stop in blocks) < len(later):
+        blocks += _runs(later, earlier, min_words)
+    return sorted({(later[start][1], later[stop - 1][1] + 1) for start, stop in blocks})
+
+
+def _runs(later: list, earlier: list, min_words: int) -> list[tuple[int, int]]:
+    """Per line of ``later`` the longest run [start, stop) that ends there and stands anywhere in ``earlier``, if long enough.
+
+    A suffix automaton of ``earlier``; a gap in the indices is a line of its own there and ends a run here.
+    """
+    steps: list[dict] = [{}]
+    link, size = [-1], [0]
+    last = 0
+    for k, x in enumerate(earlier):
+        for line in ([("gap", k), x[2]] if k and x[0] != earlier[k - 1][0] + 1 else [x[2]]):
+            new, p = len(steps), last
+            steps.append({})
+            link.append(0)
+            size.append(size[last] + 1)
+            while p >= 0 and line not in steps[p]:
+                steps[p][line] = new
+                p = link[p]
+            if p >= 0:
+                q = steps[p][line]
+                if size[q] == size[p] + 1:
+                    link[new] = q
+                else:
+                    twin = len(steps)
+                    steps.append(dict(steps[q]))
+                    link.append(link[q])
+                    size.append(size[p] + 1)
+                    while p >= 0 and steps[p].get(line) == q:
+                        steps[p][line] = twin
+                        p = link[p]
+                    link[q] = link[new] = twin
+            last = new
+    words = [0]
+    for x in later:
+        words.append(words[-1] + x[3])
+    found, state, length = [], 0, 0
+    for k, x in enumerate(later):
+        if k and x[0] != later[k - 1][0] + 1:
+            state = length = 0
+        while state and x[2] not in steps[state]:
+            state = link[state]
+            length = size[state]
+        if x[2] in steps[state]:
+            state, length = steps[state][x[2]], length + 1
+        if length and words[k + 1] - words[k + 1 - length] >= min_words:
+            found.append((k + 1 - length, k + 1))
+    return found
 
 
 def _rows_of_numbers(column: pa.ListArray) -> Iterator[np.ndarray]:
@@ -132,6 +183,39 @@ def _aligned(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["d", "m", "start", "stop"])
 
 
+def _window_keys(lines: np.ndarray, min_words: int) -> np.ndarray:
+    """Two hashes of every shortest run of lines that reaches ``min_words`` words, from a line onwards or backwards."""
+    n = len(lines)
+    place = np.arange(n)
+    run = np.cumsum(np.r_[True, np.diff(lines[:, 0]) != 1][:n])  # lines of one run follow each other
+    words = np.r_[0, np.cumsum(lines[:, 4])]
+    stop = np.searchsorted(words, words[:-1] + min_words)  # lines [k, stop) have the words
+    start = np.searchsorted(words, words[1:] - min_words, "right") - 1  # and so have [start, k + 1)
+    ahead = (stop <= n) & (run == run[np.minimum(stop, n) - 1])
+    back = (start >= 0) & (run == run[np.maximum(start, 0)])
+    starts, stops = np.r_[place[ahead], start[back]], np.r_[stop[ahead], place[back] + 1]
+    keys = []
+    for column, base in ((2, 0x9E3779B97F4A7C15), (3, 0xC2B2AE3D27D4EB4F)):
+        power = np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)])
+        inverse = np.cumprod(np.r_[np.uint64(1), np.full(n, pow(base, -1, 1 << 64), np.uint64)])
+        sums = np.r_[np.uint64(0), np.cumsum(lines[:, column].astype(np.uint64) * power[:n])]
+        keys.append(((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64)).view(np.int64))
+    return np.unique(np.stack(keys, axis=1), axis=0)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """(d, m, h1, h2) of the runs of lines of each document."""
+    for batch in batches:
+        keys = [_window_keys(lines, min_words) for lines in _rows_of_numbers(batch.column(2))]
+        sizes = [len(k) for k in keys]
+        if sum(sizes):
+            both = np.concatenate(keys)
+            own = [np.repeat(c.to_numpy(), sizes) for c in batch.columns[:2]]
+            for k in range(0, len(both), 200_000):
+                part = slice(k, k + 200_000)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[part])) for x in (*own, both[:, 0], both[:, 1])], ["d", "m", "h1", "h2"])
+
+
 def _identity(id_col: str, text_col: str) -> list[Column]:
     """What tells documents apart and orders them: the id (null last) and a hash of the text."""
     return [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(F.col(text_col)).alias("m")]
@@ -156,33 +240,18 @@ def repeated_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Computed first, so that the join below has two plain sides and a line that a third of all rows hold can be split.
     held = cut(rows.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last"))
     shared = (
-        rows.join(held.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "first"), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
+        rows.join(held.select(F.col("h1").alias("k1"), F.col("h2").alias("k2")), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
         .groupBy("d", "m")
-        .agg(F.sort_array(F.collect_set(F.struct("i", "place", "h1", "h2", "w", "first"))).alias("lines"))
+        .agg(F.sort_array(F.collect_set(F.struct("i", "place", "h1", "h2", "w"))).alias("lines"))
     )
     kept = cut(shared)
-    # single lines, within runs of lines that earlier documents hold
-    each = kept.select("d", "m", F.explode("lines").alias("x")).where("x.first <> struct(d, m)")
-    run = F.col("x.i") - F.row_number().over(Window.partitionBy("d", "m").orderBy("x.i"))
-    in_run = F.sum("x.w").over(Window.partitionBy("d", "m", "run"))
-    single = each.withColumn("run", run).withColumn("words", in_run).where(F.col("words") >= min_words).select("d", "m", "x.first")
-    # two in a row
-    following = F.transform(
-        F.col("lines"),
-        lambda x, k: F.when(
-            F.get(F.col("lines"), k + 1)["i"] == x["i"] + 1,
-            F.struct(
-                F.xxhash64(x["h1"], F.get(F.col("lines"), k + 1)["h1"]).alias("h1"),
-                F.xxhash64(x["h2"], F.get(F.col("lines"), k + 1)["h2"]).alias("h2"),
-            ),
-        ),
-    )
-    twos = kept.select("d", "m", F.explode(F.filter(following, lambda x: x.isNotNull())).alias("x")).select("d", "m", "x.h1", "x.h2")
-    starts = cut(twos.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last"))
-    double = twos.join(starts, ["h1", "h2"]).where("first <> struct(d, m)").select("d", "m", "first")
-    pairs = single.unionByName(double).distinct().select("d", "m", F.col("first.d").alias("fd"), F.col("first.m").alias("fm"))
     numbers = F.flatten(F.transform("lines", lambda x: F.array(x["i"], x["place"], x["h1"], x["h2"], x["w"])))
     sent = kept.select("d", "m", numbers.alias("numbers"))
+    # computed first, as above: both sides of the join are plain
+    runs = cut(sent.mapInArrow(lambda batches: _windows(batches, min_words), "d long, m long, h1 long, h2 long"))
+    starts = cut(runs.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last"))
+    named = runs.join(starts, ["h1", "h2"]).where("first <> struct(d, m)")
+    pairs = named.select("d", "m", F.col("first.d").alias("fd"), F.col("first.m").alias("fm")).distinct()
     earlier = sent.select(F.col("d").alias("fd"), F.col("m").alias("fm"), F.col("numbers").alias("earlier"))
     both = pairs.join(sent.withColumnRenamed("numbers", "later"), ["d", "m"]).join(earlier, ["fd", "fm"])
     found = both.select("d", "m", "later", "earlier").mapInArrow(

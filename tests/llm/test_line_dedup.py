@@ -97,3 +97,36 @@ def test_hard_rows(spark):
     out = D.remove_repeats(df)
     assert out.columns == df.columns and out.count() == len(rows)
     assert D.remove_repeats(df.limit(0)).count() == 0
+
+
+def all_runs(rows, min_words):
+    """Lines left of each document when all its runs of lines that any earlier document holds are gone, by plain loops."""
+    held = [[(k, x, len(x.split())) for k, x in enumerate(t.split("\n"))] for _, t in rows]
+    out = []
+    for at, doc in enumerate(held):
+        gone = set()
+        for other in held[:at]:
+            for i in range(len(doc)):
+                for j in range(len(other)):
+                    n = 0
+                    while i + n < len(doc) and j + n < len(other) and doc[i + n][1] == other[j + n][1]:
+                        n += 1
+                    if sum(x[2] for x in doc[i : i + n]) >= min_words:
+                        gone |= set(range(i, i + n))
+        out.append("\n".join(x for k, x, _ in doc if k not in gone))
+    return out
+
+
+def test_all_pairs_and_all_common_runs(spark):
+    p, q = passage("p", 40), passage("q", 40)
+    six = [passage(f"s{k}", 10) for k in range(6)]
+    texts = [f"head a\nhead b\n{p}", f"{p}\nhead a\nhead b"]  # another order
+    texts += [f"{q}\nx1 x2\n{passage('r', 40)}", f"{passage('r', 40)}\ny1 y2\n{q}", f"{q}\nz1\n{q}"]  # swapped, twice
+    texts += [f"only {k}\n{six[k]}\n{six[k + 1]}\nend {k}" for k in range(5)] + ["\n".join(six), "\n".join(["new", *six, "other"])]
+    rng = random.Random(5)
+    pool = [passage(f"w{k}", rng.choice([2, 6, 11, 17, 31])) for k in range(9)]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    rows = list(enumerate(texts))
+    got = D.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.text for r in sorted(got, key=lambda r: r.doc_id)] == all_runs(rows, D.MIN_WORDS)
+    assert all_runs(rows, D.MIN_WORDS)[1] == "head a\nhead b" and all_runs(rows, D.MIN_WORDS)[11] == "new\nother"
