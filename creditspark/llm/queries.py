@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspark.llm import html_text, language, line_dedup, lm_score, mixing, packing, quality, simhash, token_counts, top_k
+from creditspark.llm import (
+    html_text,
+    language,
+    line_dedup,
+    lm_score,
+    mixing,
+    packing,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    spelling,
+    token_counts,
+    top_k,
+)
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +108,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what the labels call good."""
     good = table(spark, sf_dir, "labels").where("quality = 1")
     return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+@_query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@_query("op13_secret_scans")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
