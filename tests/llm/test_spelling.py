@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter
@@ -87,19 +88,14 @@ def test_planted_variants_chains_and_ties(spark, crowded):
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), crowded=crowded) == brute(rows)
 
 
-def test_crowded_leaf_looks_up_variants():
-    trie = S.Trie()
-    words = {"".join(p) for p in __import__("itertools").permutations("abcdefg")}
-    for w in words:
-        trie.add(w, 1)
-        trie.add(w[:3] + "x" + w[4:], 1)
-        trie.add(w + "a", 1)
-    kept = set(words) | {w[:3] + "x" + w[4:] for w in words} | {w + "a" for w in words}
-    for w in ["abcdefg", "abcxefg", "bacdefga", "gfedcbaa"]:
-        for change in (0, -1):
-            found = [v for v, _ in trie.near(w, change)]
-            assert len(found) == len(set(found))
-            assert set(found) == {v for v in kept if len(v) - len(w) == change and distance_one(v, w)}
+@pytest.mark.parametrize("crowded", [S.CROWDED, 50, 0])
+def test_leaves_of_many_words_of_the_same_letters(spark, crowded):
+    words = ["".join(p) for p in itertools.permutations("abcdef")]
+    words += [w[:3] + "x" + w[4:] for w in words[::5]] + [w[:2] + "a" + w[2:] for w in words[::7]] + ["y" * 40, "y" * 41, "y" * 39 + "z"]
+    df = spark.createDataFrame([(w, len(w)) for w in set(words)], "word string, n long")
+    got = [tuple(r) for r in S.near_words(S.cut(df), crowded).collect()]
+    want = [(a, b, len(b)) for a in set(words) for b in set(words) if S.one_edit(a, b)]
+    assert sorted(got) == sorted(want)
 
 
 def test_hard_rows(spark):
