@@ -5,163 +5,71 @@ in the same way and over one vocabulary (Moore and Lewis, "Intelligent Selection
 Model Training Data"). The vocabulary is every word that occurs ``MIN_COUNT`` times, and a pair of
 words has its own estimate if it occurs ``MIN_COUNT`` times, and else backs off; a word or pair of
 the target is one of all rows, so the target's clause is the same. The tables thus grow with the
-corpus. They stay in Spark: documents meet the losses of their pairs in a join, by counts summed
-within each document. Only the ``COMMON`` most frequent pairs, which nearly every document holds,
-are sent to the tasks, so that no pair is hot in the join; what is sent changes no result.
-Words are told apart by 64-bit hashes.
-
-With ``word_share`` or ``pair_share`` given, words and pairs are kept by their share instead, and
-the model, bounded by the shares, is sent whole.
+corpus, and stay in Spark.
+
+The ``COMMON`` most frequent words are sent to the tasks, where they have numbers. Documents are
+taken in blocks of about ``BLOCK`` words; a block's pairs of numbered words are dealt into parts by
+the pair, as one packed row a part. A part counts its pairs; what follows a word is summed over the
+parts; then each part gives every document of a block the sum of the losses of its pairs. A pair
+with a word beyond those sent is counted and resolved by joins instead. What is sent changes no
+result. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import cut, rows_of
+from creditspark.llm.common import cut, small
 
 MIN_COUNT = 2
-WORD_SHARE = 2.0**-15  # of a bounded model, where only the other share is given
-PAIR_SHARE = 2.0**-18
-COMMON = 300_000
+COMMON = 1 << 20
 DISCOUNT = 0.75
-_FLUSH = 300_000
-_SHIFT = 32
-_ALONE = 1 << 62  # marks the count of a word, beside those of pairs
+BLOCK = 1_000_000  # words of a block of documents
+PART_WORDS = 6_000_000  # words of all documents for each part
+WANTED_ROWS = 1_000_000  # ids of the target up to which they are sent to the tasks
 
+#: What str.split() takes as blank.
+_BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_START, _OTHER = 1, 0  # stand before a text's first word, and for words outside the vocabulary
+_SHIFT = 24  # a pair's code: number of the word before, then of the word
+_FIXED = float(1 << 34)  # losses are handed on in steps of 2^-34
+_HEAD, _RARE, _KEPT, _CONTEXT, _TOKENS, _SUMS, _RARE_SUMS = range(7)
+_ROW = "kind int, part int, block long, ord int, doc long, n long, v long, w long, flags int, x double, y double, a binary, b binary, c binary"
+_NAMES = [f.split()[0] for f in _ROW.split(", ")]
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+_FIELDS = {f.split()[0]: _TYPES[f.split()[1]] for f in _ROW.split(", ")}
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n): counts, given out whenever the table has grown to ``_FLUSH`` words."""
-    every: Counter = Counter()
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array(every.values(), pa.int64())], ["word", "n"])
-
-    for (texts,) in rows_of(batches):
-        for text in texts:
-            every.update((text or "").split())
-        if len(every) >= _FLUSH:
-            yield out()
-            every.clear()
-    if every:
-        yield out()
+def _rows(size: int, **columns) -> pa.RecordBatch:
+    """A batch of ``size`` rows of ``_ROW``; single numbers stand for all rows, columns not named are null."""
+    out = []
+    for name, kind in _FIELDS.items():
+        value = columns.get(name)
+        if value is None:
+            out.append(pa.nulls(size, kind))
+        elif isinstance(value, int):
+            out.append(pa.array(np.full(size, value), kind))
+        else:
+            out.append(value if isinstance(value, pa.Array) else pa.array(value, kind))
+    return pa.RecordBatch.from_arrays(out, _NAMES)
 
 
-def _ids(texts: list[str | None], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Vocabulary ids of the words of all texts, joined, and how many each text has. 0: any other word."""
-    split = [(t or "").split() for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    get = index.get
-    return np.fromiter((get(w, 0) for words in split for w in words), np.int64, int(sizes.sum())), sizes
-
-
-def _pairs(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Codes of each word with the one before it; 1 stands before a text's first."""
-    before = np.r_[1, ids[:-1]][: len(ids)]
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 1
-    return before << _SHIFT | ids
-
-
-class Model:
-    """Losses of both models, as their parts for backed-off pairs and whole for the pairs kept."""
-
-    def __init__(self, words: list[str], unigrams: np.ndarray, codes: np.ndarray, pairs: np.ndarray):
-        """``unigrams`` (2, ids) and ``pairs`` (2, codes): counts in the target and in all rows; codes sorted."""
-        self.index = {w: i + 2 for i, w in enumerate(words)}
-        totals = unigrams.sum(axis=1, keepdims=True)
-        base = (unigrams + 1.0) / (totals + unigrams.shape[1] - 1)  # id 1 is never predicted
-        before, after = codes >> _SHIFT, codes & ((1 << _SHIFT) - 1)
-        followed = np.stack([np.bincount(before, n, unigrams.shape[1]) for n in pairs]) if len(codes) else np.zeros_like(base)
-        context = np.maximum(unigrams, followed)
-        taken = np.maximum(pairs - DISCOUNT, 0)
-        kept = np.stack([np.bincount(before, n, unigrams.shape[1]) for n in taken]) if len(codes) else np.zeros_like(base)
-        free = 1 - kept / np.maximum(context, 1)  # what pairs kept leave to the rest
-        self.free, self.base = -np.log(free), -np.log(base)
-        self.codes = codes
-        whole = taken / np.maximum(context[:, before], 1) + free[:, before] * base[:, after]
-        self.losses = -np.log(whole)
-
-    def score(self, texts: list[str | None]) -> list[tuple[int, float | None, float | None]]:
-        """Words, and the mean loss of a word under the target and the background model (null without words)."""
-        ids, sizes = _ids(texts, self.index)
-        codes = _pairs(ids, sizes)
-        losses = self.free[:, codes >> _SHIFT] + self.base[:, codes & ((1 << _SHIFT) - 1)]
-        if len(self.codes):
-            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            own = self.codes[at] == codes
-            losses[:, own] = self.losses[:, at[own]]
-        some = np.flatnonzero(sizes)
-        out: list = [(0, None, None)] * len(texts)
-        if len(some):
-            sums = np.add.reduceat(losses, (np.cumsum(sizes) - sizes)[some], axis=1) / sizes[some]
-            for i, target, background in zip(some, *sums):
-                out[i] = int(sizes[i]), float(target), float(background)
-        return out
-
-
-def train(docs: DataFrame, wanted: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
-    """The models of ``docs`` (doc_id, text), those of ``wanted`` (column wanted, each id once) being the target."""
-    words = cut(docs.select("text").mapInArrow(_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    n_all = words.agg(F.sum("n")).first()[0] or 0
-    known = words.where(F.col("n") >= word_share * max(n_all, 1)).select("word").toArrow().sort_by("word")
-    names = known.column("word").to_pylist()  # at most 1 / word_share
-    index = {w: i + 2 for i, w in enumerate(names)}
-    kind = np.dtype("<u2") if len(names) < 65_000 else np.dtype("<u4")
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, texts in rows_of(batches):
-            ids, sizes = _ids(texts, index)
-            parts = [x.tobytes() for x in np.split(ids.astype(kind), np.cumsum(sizes)[:-1])]
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "ids"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, marks = [], []
-
-        def out():
-            every, at, n = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-            target = np.bincount(at, np.concatenate(marks), len(every)).astype(np.int64)
-            codes.clear()
-            marks.clear()
-            return pa.RecordBatch.from_arrays([pa.array(every), pa.array(n), pa.array(target)], ["code", "n_all", "n_target"])
-
-        for texts, flags in rows_of(batches):
-            sizes = np.array([len(t) // kind.itemsize for t in texts], np.int64)
-            ids = np.frombuffer(b"".join(texts), kind).astype(np.int64)
-            mark = np.repeat(np.array(flags, bool), sizes)
-            codes += [_pairs(ids, sizes), ids | _ALONE]
-            marks += [mark, mark]
-            if sum(map(len, codes)) >= 6_000_000:
-                yield out()
-        if codes:
-            yield out()
-
-    encoded = docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary")
-    marked = encoded.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left")
-    counts = cut(
-        marked.select("ids", F.col("wanted").isNotNull().alias("target"))
-        .mapInArrow(count, "code long, n_all long, n_target long")
-        .groupBy("code")
-        .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-    )
-    alone = counts.where(F.col("code") >= _ALONE).toArrow()  # at most a row a word
-    unigrams = np.zeros((2, len(names) + 2))
-    at = alone.column("code").to_numpy() ^ _ALONE
-    unigrams[0, at], unigrams[1, at] = alone.column("n_target").to_numpy(), alone.column("n_all").to_numpy()
-    enough = (F.col("n_all") >= pair_share * max(n_all, 1)) | (F.col("n_target") >= pair_share * max(float(unigrams[0].sum()), 1.0))
-    kept = counts.where((F.col("code") < _ALONE) & enough).toArrow().sort_by("code")  # at most 2 / pair_share rows
-    pairs = np.stack([kept.column("n_target").to_numpy(), kept.column("n_all").to_numpy()]).astype(float)
-    return Model(names, unigrams, kept.column("code").to_numpy(), pairs)
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: their first bytes, then their second bytes and so on, compressed."""
+    data = np.ascontiguousarray(numbers, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-#: What str.split() takes as blank.
-_BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-_START, _OTHER = 1, 0  # stand before a text's first word, and for words outside the vocabulary
+def _unpacked(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
 
 
 def _hashes(text: Column) -> Column:
@@ -170,149 +78,298 @@ def _hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _hashed_pairs(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word before, word, code of both, row) of each word of the rows, joined."""
+def _words_of(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all rows, joined, and how many each row has."""
     offsets = column.offsets.to_numpy()
-    after, sizes = column.values.to_numpy()[offsets[0] : offsets[-1]], np.diff(offsets)
-    before = np.r_[_START, after[:-1]][: len(after)]
-    before[(offsets[:-1] - offsets[0])[sizes > 0]] = _START
-    code = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + after.astype(np.uint64)).view(np.int64)
-    return before, after, code, np.repeat(np.arange(len(sizes)), sizes)
+    return column.values.to_numpy()[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(c, v, w, n_all, n_target) of (words, target), summed within a task as far as a table of them fits."""
-    parts: list = []
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, n_all, n_target) of (words, target), summed within a task as far as a table of them fits."""
+    words: list = []
+    marks: list = []
 
     def out():
-        v, w, code, mark = map(np.concatenate, zip(*parts))
-        parts.clear()
-        every, first, at, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        target = np.bincount(at, mark, len(every)).astype(np.int64)
+        every, at, n = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+        target = np.bincount(at, np.concatenate(marks), len(every)).astype(np.int64)
+        words.clear()
+        marks.clear()
         for k in range(0, len(every), 200_000):
-            part = slice(k, k + 200_000)
-            yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (every, v[first], w[first], n, target)], ["c", "v", "w", "n_all", "n_target"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (every, n, target)], ["w", "n_all", "n_target"])
 
     for batch in batches:
-        v, w, code, row = _hashed_pairs(batch.column(0))
-        parts.append((v, w, code, batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[row]))
-        if sum(len(p[0]) for p in parts) >= 2_000_000:
+        w, sizes = _words_of(batch.column(0))
+        words.append(w)
+        marks.append(np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), sizes))
+        if sum(map(len, words)) >= 4_000_000:
             yield from out()
-    if parts:
+    if sum(map(len, words)):
         yield from out()
 
 
-def pair_losses(docs: DataFrame, wanted: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """(c, n_all, lt, lb): losses under both models of every pair of words in ``docs`` (doc_id, text)."""
-    marked = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left")
-    raw = marked.select(_hashes(F.col("text")).alias("words"), F.col("wanted").isNotNull().alias("target"))
-    counted = raw.mapInArrow(_pair_counts, "c long, v long, w long, n_all long, n_target long")
-    pairs = cut(counted.groupBy("c", "v", "w").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")))
-    words = pairs.groupBy("w").agg(F.sum("n_all").alias("u_all"), F.sum("n_target").alias("u_target"))
-    known = cut(words.where(F.col("u_all") >= min_count))
-    every = pairs.agg(F.sum("n_target"), F.sum("n_all")).first()
-    own = known.agg(F.sum("u_target"), F.sum("u_all"), F.count("*")).first()
-    totals, size = [x or 0 for x in every], own[2]
-    other = [t - (x or 0) for t, x in zip(totals, own)]
-    of = {"target": 0, "all": 1}
-
-    after = known.withColumnRenamed("w", "kw")
-    before = known.select(F.col("w").alias("kv"))
-    v = F.when((F.col("v") == _START) | F.col("kv").isNotNull(), F.col("v")).otherwise(F.lit(_OTHER)).alias("v")
-    mapped = cut(
-        pairs.join(after, F.col("w") == F.col("kw"), "left")
-        .join(before, F.col("v") == F.col("kv"), "left")
-        .select(
-            "c", v, F.coalesce("kw", F.lit(_OTHER)).alias("w"), "n_all", "n_target",
-            *[((F.coalesce(f"u_{m}", F.lit(other[k])) + 1) / F.lit(float(totals[k] + size + 1))).alias(f"base_{m}") for m, k in of.items()],
-        )
-    )
-    kept = cut(
-        mapped.groupBy("v", "w")
-        .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-        .where(F.col("n_all") >= min_count)
-        .select("v", "w", "n_all", "n_target", *[F.greatest(F.col(f"n_{m}") - DISCOUNT, F.lit(0.0)).alias(f"taken_{m}") for m in of])
-    )
-    followed = kept.groupBy("v").agg(*[F.sum(f"{x}_{m}").alias(f"{x}_{m}") for x in ("n", "taken") for m in of])
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (x ^ (x >> np.uint64(32))) >> np.uint64(8)
+
+
+def _numbers(sent: np.ndarray, words: np.ndarray, every: bool) -> np.ndarray:
+    """Numbers of words: 2 and up for those sent, 0 outside the vocabulary, -1 if that is open."""
+    if not len(sent):
+        return np.where(words == _START, _START, 0 if every else -1)
+    at = np.minimum(np.searchsorted(sent, words), len(sent) - 1)
+    return np.where(sent[at] == words, at + 2, 0 if every else -1)
+
+
+def _block_rows(block: int, docs: list, marks: np.ndarray, words: np.ndarray, sizes: np.ndarray, sent: np.ndarray, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one block of documents: heads, pairs of numbered words packed by part, other pairs."""
+    n = len(docs)
+    yield _rows(n, kind=_HEAD, part=block % parts, block=block, ord=np.arange(n), doc=pa.array(docs, pa.int64()), n=sizes)
+    if not len(words):
+        return
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    row = np.repeat(np.arange(n), sizes)
+    after = _numbers(sent, words, every)
+    before = np.r_[_START, after[:-1]]
+    before[first] = _START
+    dense = (before >= 0) & (after >= 0)
+    if not dense.all():
+        v, w = np.r_[_START, words[:-1]], words
+        v[first] = _START
+        other = np.flatnonzero(~dense)
+        key = np.stack([row[other], v[other], w[other]])
+        order = np.lexsort(key[::-1])
+        key = key[:, order]
+        new = np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)]
+        starts = np.flatnonzero(new)
+        counts = np.diff(np.r_[starts, key.shape[1]])
+        at = other[order][starts]
+        flags = (before[at] >= 0) * 1 + (after[at] >= 0) * 2 + marks[row[at]] * 4
+        for k in range(0, len(at), 200_000):
+            s = slice(k, k + 200_000)
+            yield _rows(len(at[s]), kind=_RARE, part=block % parts, block=block, ord=row[at[s]], n=counts[s], v=v[at[s]], w=w[at[s]], flags=flags[s])
+    code = (before[dense] << _SHIFT) | after[dense]
+    if not len(code):
+        return
+    row = row[dense]
+    part = (_mixed(code) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((code, row, part))
+    code, row, part = code[order], row[order], part[order]
+    starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])])
+    counts = np.diff(np.r_[starts, len(code)])
+    code, row, part = code[starts], row[starts], part[starts]
+    edges = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)]
+    for lo in range(0, len(edges) - 1, 64):
+        some = list(zip(edges[lo : lo + 64], edges[lo + 1 : lo + 65]))
+        a, b, c = [], [], []
+        for i, j in some:
+            ords, entries = np.unique(row[i:j], return_counts=True)
+            a.append(_packed(code[i:j]))
+            b.append(_packed(np.r_[np.diff(np.r_[0, ords]) * 2 + marks[ords], entries]))
+            c.append(_packed(counts[i:j]))
+        yield _rows(len(some), kind=_TOKENS, part=part[[i for i, _ in some]], block=block, a=a, b=b, c=c)
+
+
+def _documents(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in the block, target?, entries) of the documents of a packed row."""
+    both = _unpacked(b)
+    steps, entries = both[: len(both) // 2], both[len(both) // 2 :]
+    return np.cumsum(steps >> 1), (steps & 1).astype(bool), entries
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], sent: np.ndarray, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
+    base = TaskContext.get().partitionId() << 32
+    held: list[tuple] = []
+    size = number = 0
+    for batch in batches:
+        ids, marks = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        words, sizes = _words_of(batch.column(2))
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(ids):
+            from_ = ends[start] - sizes[start]
+            stop = max(start + 1, int(np.searchsorted(ends, from_ + BLOCK)))
+            held.append((ids[start:stop], marks[start:stop], words[from_ : ends[stop - 1]], sizes[start:stop]))
+            size += len(held[-1][2])
+            start = stop
+            if size >= BLOCK:
+                yield from _block_rows(base | number, [i for h in held for i in h[0]], *(np.concatenate([h[k] for h in held]) for k in (1, 2, 3)), sent, every, parts)
+                held, size, number = [], 0, number + 1
+    if held:
+        yield from _block_rows(base | number, [i for h in held for i in h[0]], *(np.concatenate([h[k] for h in held]) for k in (1, 2, 3)), sent, every, parts)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a part, its pairs of ``min_count`` occurrences and what follows their first words before them."""
+    tokens: list[pa.RecordBatch] = []
+    codes, weights, targets = [], [], []
+    for batch in batches:
+        kinds = batch.column(0).to_numpy()
+        if (kinds != _TOKENS).any():
+            yield batch.filter(pa.array(kinds != _TOKENS))
+        own = batch.filter(pa.array(kinds == _TOKENS))
+        if own.num_rows:
+            tokens.append(own)
+            for a, b, c in zip(*(own.column(x).to_pylist() for x in "abc")):
+                n = _unpacked(c)
+                _, marks, entries = _documents(b)
+                codes.append(_unpacked(a))
+                weights.append(n)
+                targets.append(n * np.repeat(marks, entries))
+    if codes:
+        every, at = np.unique(np.concatenate(codes), return_inverse=True)
+        n_all = np.bincount(at, np.concatenate(weights), len(every)).astype(np.int64)
+        n_target = np.bincount(at, np.concatenate(targets), len(every)).astype(np.int64)
+        kept = n_all >= min_count
+        every, n_all, n_target = every[kept], n_all[kept], n_target[kept]
+        yield _rows(1, kind=_KEPT, a=[_packed(np.diff(np.r_[0, every]))], b=[_packed(n_all)], c=[_packed(n_target)])
+        if len(every):
+            v, first = np.unique(every >> _SHIFT, return_index=True)
+            sums = [np.add.reduceat(x, first) for n in (n_target, n_all) for x in (n, _taken4(n))]
+            yield _rows(1, kind=_CONTEXT, a=[_packed(v)], b=[_packed(np.concatenate(sums))])
+        yield from tokens
+
+
+def _taken4(n: np.ndarray) -> np.ndarray:
+    """Four times what a pair keeps of its count."""
+    return np.maximum(4 * n - int(4 * DISCOUNT), 0)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], sent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(v, n_target, taken4_target, n_all, taken4_all) of what the parts say of words as hashes."""
+    names = np.r_[_OTHER, _START, sent]
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            v = _unpacked(a)
+            yield pa.RecordBatch.from_arrays([pa.array(names[v]), *[pa.array(x) for x in _unpacked(b).reshape(4, -1)]], ["v", "n_target", "t_target", "n_all", "t_all"])
 
-    def context(m: str) -> Column:
-        alone = F.when(F.col("v") == _OTHER, F.lit(other[of[m]])).otherwise(F.coalesce(F.col(f"u_{m}"), F.lit(0)))
-        return F.greatest(alone, F.col(f"n_{m}"), F.lit(1))
 
-    contexts = (
-        followed.join(after, F.col("v") == F.col("kw"), "left")
-        .select(F.col("v").alias("cv"), *[context(m).alias(f"context_{m}") for m in of], *[F.col(f"taken_{m}").alias(f"gone_{m}") for m in of])
-    )
-    own_estimate = kept.select(F.col("v").alias("pv"), F.col("w").alias("pw"), *[f"taken_{m}" for m in of])
-    both = mapped.join(own_estimate, (F.col("v") == F.col("pv")) & (F.col("w") == F.col("pw")), "left").join(
-        cut(contexts), F.col("v") == F.col("cv"), "left"
-    )
+class _Losses:
+    """Losses of pairs of numbered words: ``free`` of the word before and ``base`` of the word, (2, numbers) each."""
 
-    def loss(m: str) -> Column:
-        share = lambda x: F.coalesce(F.col(f"{x}_{m}") / F.col(f"context_{m}"), F.lit(0.0))
-        return -F.log(share("taken") + (1 - share("gone")) * F.col(f"base_{m}"))
+    def __init__(self, unigrams: np.ndarray, followed: np.ndarray, taken: np.ndarray, totals: list[int], size: int):
+        self.context = np.maximum(np.maximum(unigrams, followed), 1)
+        self.base = (unigrams + 1) / (np.array(totals, float)[:, None] + size + 1)
+        self.free = 1 - taken / self.context
+        self.log_base, self.log_free = -np.log(self.base), -np.log(self.free)
 
-    return cut(both.select("c", "n_all", loss("target").alias("lt"), loss("all").alias("lb")))
+    def kept(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        v, w = codes >> _SHIFT, codes & ((1 << _SHIFT) - 1)
+        return -np.log(np.maximum(counts - DISCOUNT, 0) / self.context[:, v] + self.free[:, v] * self.base[:, w])
 
+    def backed_off(self, codes: np.ndarray) -> np.ndarray:
+        return self.log_free[:, codes >> _SHIFT] + self.log_base[:, codes & ((1 << _SHIFT) - 1)]
 
-def _joined(docs: DataFrame, wanted: DataFrame, min_count: int, common: int) -> DataFrame:
-    """(doc_id, n_words, loss_target, loss_background), the losses of pairs joined to documents in Spark."""
-    losses = pair_losses(docs, wanted, min_count)
-    # at most ``common`` pairs, those of the highest counts
-    bar = losses.groupBy("n_all").count().orderBy(F.desc("n_all")).limit(common).toPandas()  # a row a count
-    frequent = bar["n_all"][bar["count"].cumsum() <= common]
-    least = int(frequent.min()) if len(frequent) else None
-    top = losses.where(F.col("n_all") >= least if least is not None else F.lit(False)).select("c", "lt", "lb").toArrow().sort_by("c")
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(top.column(x).to_numpy() for x in ("c", "lt", "lb")))
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per document the sum over its frequent pairs, and a row with the count of each other pair."""
-        known, *kept = sent.value
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            _, _, code, row = _hashed_pairs(batch.column(1))
-            if not len(code):
+
+def _resolved(batches: Iterator[pa.RecordBatch], losses: _Losses) -> Iterator[pa.RecordBatch]:
+    """For each packed row the sums of losses of its documents; the kept pairs of the part come before."""
+    known, whole = np.zeros(0, np.int64), np.zeros((2, 0))
+    for batch in batches:
+        for kind, block, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("kind", "block", "a", "b", "c"))):
+            if kind == _KEPT:
+                known = np.cumsum(_unpacked(a))
+                whole = losses.kept(known, np.stack([_unpacked(c), _unpacked(b)]))
                 continue
-            at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
-            own = known[at] == code if len(known) else np.zeros(len(code), bool)
-            some = np.unique(row)
-            sums = [np.bincount(row[own], x[at[own]], len(keys))[some] for x in kept]
-            n = np.bincount(row, minlength=len(keys))[some]
-            code, row = code[~own], row[~own]
-            order = np.lexsort((code, row))
-            code, row = code[order], row[order]
-            first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])][: len(code)])
-            counts = np.diff(np.r_[first, len(code)])
-            columns = [
-                np.r_[keys[some], keys[row[first]]], np.r_[keys[some], code[first]], np.r_[np.ones(len(some), bool), np.zeros(len(first), bool)],
-                np.r_[n, counts], *[np.r_[s, np.zeros(len(first))] for s in sums],
-            ]
-            for k in range(0, len(columns[0]), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in columns], ["k", "c", "part", "n", "lt", "lb"])
-
-    # rows of equal id and text share a key: their sums and their words are added up alike
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
-    asked = rows.select("k", _hashes(F.col("text")).alias("words")).mapInArrow(parts, "k long, c long, part boolean, n long, lt double, lb double")
-    rest = losses.where(F.col("n_all") < least) if least is not None else losses
-    answer = rest.select(F.col("c").alias("ac"), F.lit(False).alias("apart"), F.col("lt").alias("alt"), F.col("lb").alias("alb"))
-    met = asked.join(answer.hint("merge"), (F.col("c") == F.col("ac")) & (F.col("part") == F.col("apart")), "left")
-    n = F.sum(F.when(F.col("part"), F.col("n")))
-    found = met.groupBy("k").agg(
-        *[(F.sum(F.when(F.col("part"), F.col(x)).otherwise(F.col("n") * F.col(f"a{x}"))) / n).alias(y) for x, y in (("lt", "loss_target"), ("lb", "loss_background"))]
+            codes = _unpacked(a)
+            ords, _, entries = _documents(b)
+            each = losses.backed_off(codes)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                own = known[at] == codes
+                each[:, own] = whole[:, at[own]]
+            sums = np.add.reduceat(each * _unpacked(c), np.cumsum(entries) - entries, axis=1)
+            x, y = np.rint(sums * _FIXED).astype(np.int64)
+            yield _rows(1, kind=_SUMS, block=block, a=[_packed(np.diff(np.r_[0, ords]))], b=[_packed(x)], c=[_packed(y)])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_words, loss_target, loss_background) from rows sorted by block, its heads first."""
+    block, ids, sizes = None, [], []
+    sums = np.zeros((2, 0))
+
+    def out():
+        n = np.array(sizes, np.int64)
+        some = n > 0
+        whole = sums if sums.shape[1] else np.zeros((2, len(ids)))
+        mean = [pa.array(s / np.maximum(n, 1), mask=~some) for s in whole]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n), *mean], ["doc_id", "n_words", "loss_target", "loss_background"])
+
+    for batch in batches:
+        for kind, own, ord_, doc, n, x, y, a, b, c in zip(*(batch.column(k).to_pylist() for k in ("kind", "block", "ord", "doc", "n", "x", "y", "a", "b", "c"))):
+            if own != block:
+                if ids:
+                    yield out()
+                block, ids, sizes, sums = own, [], [], np.zeros((2, 0))
+            if kind == _HEAD:
+                ids.append(doc)
+                sizes.append(n)
+                continue
+            if not sums.shape[1]:
+                sums = np.zeros((2, len(ids)))
+            if kind == _SUMS:
+                sums[:, np.cumsum(_unpacked(a))] += np.stack([_unpacked(b), _unpacked(c)]) / _FIXED
+            else:
+                sums[:, ord_] += x, y
+    if ids:
+        yield out()
+
+
+def _rare_losses(rare: DataFrame, known: DataFrame, dense_contexts: DataFrame, numbers: dict, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """(contexts of all words, sums of the rare pairs by document): pairs with a word that was not sent, by joins.
+
+    The word sent of such a pair is hot, so it takes no part in the joins on words.
+    """
+    of = ("target", "all")
+    beside = F.xxhash64("block", "ord", "v", "w")
+    sent_v, sent_w = F.col("flags").bitwiseAND(1) > 0, F.col("flags").bitwiseAND(2) > 0
+    words = known.select("w")
+    mapped = cut(
+        rare.withColumn("jv", F.when(sent_v, beside).otherwise(F.col("v")))
+        .withColumn("jw", F.when(sent_w, beside).otherwise(F.col("w")))
+        .join(words.withColumnRenamed("w", "kv"), F.col("jv") == F.col("kv"), "left")
+        .join(words.withColumnRenamed("w", "kw"), F.col("jw") == F.col("kw"), "left")
+        .select(
+            "block",
+            "ord",
+            F.when(sent_v, F.col("v")).otherwise(F.coalesce("kv", F.lit(_OTHER))).alias("v"),
+            F.when(sent_w, F.col("w")).otherwise(F.coalesce("kw", F.lit(_OTHER))).alias("w"),
+            "n",
+            (F.col("flags") >= 4).alias("target"),
+        )
+    )
+    pairs = cut(mapped.groupBy("v", "w").agg(F.sum("n").alias("n_all"), F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("n_target")))
+    taken4 = lambda m: F.greatest(4 * F.col(f"n_{m}") - int(4 * DISCOUNT), F.lit(0))
+    kept = pairs.where(F.col("n_all") >= min_count).select("v", *[F.col(f"n_{m}") for m in of], *[taken4(m).alias(f"t_{m}") for m in of])
+    contexts = cut(dense_contexts.unionByName(kept).groupBy("v").agg(*[F.sum(f"{k}_{m}").alias(f"{k}_{m}") for k in ("n", "t") for m in of]))
+    unigram = known.select(F.col("w").alias("uw"), *[F.col(f"n_{m}").alias(f"u_{m}") for m in of])
+
+    def whole(m: str, word: str) -> Column:
+        return F.when(F.col(word) == _OTHER, F.lit(numbers["other"][of.index(m)])).otherwise(F.coalesce(F.col(f"u_{m}"), F.lit(0)))
+
+    before = contexts.join(unigram, F.col("v") == F.col("uw"), "left").select(
+        F.col("v").alias("cv"),
+        *[F.greatest(whole(m, "v"), F.col(f"n_{m}"), F.lit(1)).alias(f"context_{m}") for m in of],
+        *[F.col(f"t_{m}").alias(f"gone_{m}") for m in of],
     )
-    sized = rows.select("doc_id", F.size(_hashes(F.col("text"))).cast("long").alias("n_words"), "k")
-    return sized.join(found.withColumnRenamed("k", "fk").hint("merge"), F.col("k") == F.col("fk"), "left").select("doc_id", "n_words", "loss_target", "loss_background")
+
+    def loss(m: str) -> Column:
+        base = (whole(m, "w") + 1) / F.lit(float(numbers["totals"][of.index(m)] + numbers["size"] + 1))
+        own = F.when(F.col("n_all") >= min_count, taken4(m) / 4).otherwise(0.0)
+        share = lambda x: F.coalesce(x / F.col(f"context_{m}"), F.lit(0.0))
+        return -F.log(share(own) + (1 - share(F.col(f"gone_{m}") / 4)) * base)
+
+    answers = cut(
+        pairs.join(before, F.col("v") == F.col("cv"), "left")
+        .join(unigram, F.col("w") == F.col("uw"), "left")
+        .select(F.col("v").alias("av"), F.col("w").alias("aw"), loss("target").alias("lt"), loss("all").alias("lb"))
+    )
+    # both sides computed first, so that a pair that many documents hold can be split
+    met = mapped.join(answers.hint("merge"), (F.col("v") == F.col("av")) & (F.col("w") == F.col("aw")))
+    return contexts, met.groupBy("block", "ord").agg(F.sum(F.col("n") * F.col("lt")).alias("x"), F.sum(F.col("n") * F.col("lb")).alias("y"))
 
 
 def cross_entropy_difference(
-    docs: DataFrame,
-    targets: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    word_share: float | None = None,
-    pair_share: float | None = None,
-    min_count: int = MIN_COUNT,
-    common: int = COMMON,
+    docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, common: int = COMMON
 ) -> DataFrame:
     """(doc_id, n_words, loss_target, loss_background, score): one row per input row.
 
@@ -321,24 +378,66 @@ def cross_entropy_difference(
     less background: the lower, the more like the target. Null, empty and wordless texts have no
     words and null losses. Rows of equal ids are each counted and scored; a null id is no
     target. Other columns play no part. No rows give no rows; without targets the target model
-    knows the vocabulary only, all words alike.
+    knows the vocabulary only, all words alike. ``common``: the number of words sent to the tasks.
     """
+    spark = docs.sparkSession
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = targets.select(F.col(id_col).cast("long").alias("wanted")).distinct()
-    difference: Column = (F.col("loss_target") - F.col("loss_background")).alias("score")
-    if word_share is None and pair_share is None:
-        return _joined(chosen, wanted, min_count, common).select("*", difference)
-    model = train(chosen, wanted, WORD_SHARE if word_share is None else word_share, PAIR_SHARE if pair_share is None else pair_share)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        for ids, texts in rows_of(batches, 256):
-            n, target, background = zip(*own.score(texts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(target, pa.float64()), pa.array(background, pa.float64())],
-                ["doc_id", "n_words", "loss_target", "loss_background"],
-            )
-
-    schema = "doc_id long, n_words long, loss_target double, loss_background double"
-    return chosen.mapInArrow(score, schema).select("*", difference)
+    wanted = small(cut(targets.select(F.col(id_col).cast("long").alias("wanted")).where("wanted is not null").distinct()), WANTED_ROWS)
+    marked = chosen.join(wanted, F.col("doc_id") == F.col("wanted"), "left").select(
+        "doc_id", F.col("wanted").isNotNull().alias("target"), _hashes(F.col("text")).alias("words")
+    )
+    counts = cut(
+        marked.select("words", "target").mapInArrow(_word_counts, "w long, n_all long, n_target long").groupBy("w").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
+    )
+    known = counts.where(F.col("n_all") >= min_count)
+    totals = [x or 0 for x in counts.agg(F.sum("n_target"), F.sum("n_all")).first()]
+    in_vocabulary = known.agg(F.sum("n_target"), F.sum("n_all"), F.count("*")).first()
+    size = in_vocabulary[2]
+    other = [t - (x or 0) for t, x in zip(totals, in_vocabulary)]
+    # at most ``common`` words, those of the highest counts
+    bar = known.groupBy("n_all").count().orderBy(F.desc("n_all")).limit(common).toPandas()  # a row a count
+    frequent = bar["n_all"][bar["count"].cumsum() <= common]
+
+    def is_top(words: DataFrame) -> DataFrame:
+        return words.where(F.col("n_all") >= int(frequent.min()) if len(frequent) else F.lit(False))
+
+    top = is_top(known).toArrow().sort_by("w")
+    sent, every = top.column("w").to_numpy(), top.num_rows == size
+    shared = spark.sparkContext.broadcast(sent)
+    parts = max(1, -(-totals[1] // PART_WORDS))
+
+    dealt = marked.mapInArrow(lambda batches: _blocks(batches, shared.value, every, parts), _ROW)
+    placed = dealt.repartitionById(parts, "part")
+    counted = cut(placed.mapInArrow(lambda batches: _counted(batches, min_count), _ROW))
+    contexts = counted.where(F.col("kind") == _CONTEXT).select("a", "b").mapInArrow(
+        lambda batches: _contexts(batches, shared.value), "v long, n_target long, t_target long, n_all long, t_all long"
+    )
+    heads = counted.where(F.col("kind") == _HEAD)
+    if every:
+        contexts = contexts.groupBy("v").agg(*[F.sum(c).alias(c) for c in ("n_target", "t_target", "n_all", "t_all")])
+        rare_sums = None
+    else:
+        rare = counted.where(F.col("kind") == _RARE).select("block", "ord", "v", "w", "n", "flags")
+        contexts, rare_sums = _rare_losses(rare, known, contexts, {"other": other, "totals": totals, "size": size}, min_count)
+        # those of the words sent and of the two that stand for none
+        few = is_top(known).select(F.col("w").alias("sw"))
+        contexts = contexts.join(few, F.col("v") == F.col("sw"), "left").where(f"sw is not null or v in ({_OTHER}, {_START})").drop("sw")
+    context = contexts.toArrow()
+    unigrams, followed, taken = (np.zeros((2, len(sent) + 2)) for _ in range(3))
+    unigrams[:, 0] = other
+    unigrams[:, 2:] = np.stack([top.column(c).to_numpy() for c in ("n_target", "n_all")])
+    v = context.column("v").to_numpy()
+    place = np.where((v == _OTHER) | (v == _START), v, np.searchsorted(sent, v) + 2)
+    for k, m in enumerate(("target", "all")):
+        followed[k, place] = context.column(f"n_{m}").to_numpy()
+        taken[k, place] = context.column(f"t_{m}").to_numpy() / 4
+    losses = spark.sparkContext.broadcast(_Losses(unigrams, followed, taken, totals, size))
+
+    sums = counted.where(F.col("kind").isin(_KEPT, _TOKENS)).mapInArrow(lambda batches: _resolved(batches, losses.value), _ROW)
+    rows = heads.unionByName(sums)
+    if rare_sums is not None:
+        rows = rows.unionByName(rare_sums.withColumn("kind", F.lit(_RARE_SUMS)), allowMissingColumns=True)
+    found = rows.repartition("block").sortWithinPartitions("block", "kind", "ord").mapInArrow(
+        _added, "doc_id long, n_words long, loss_target double, loss_background double"
+    )
+    return found.select("*", (F.col("loss_target") - F.col("loss_background")).alias("score"))

@@ -7,86 +7,6 @@ from pyspark.sql import functions as F
 from creditspark.llm import lm_score as S
 
 
-def brute(rows, wanted, word_share, pair_share):
-    """(doc_id, words, losses) by plain counting; rows are (doc_id, text)."""
-    uni, pair = [Counter(), Counter()], [Counter(), Counter()]
-    split = [(i, (t or "").split()) for i, t in rows]
-    for i, words in split:
-        for m in (0, 1):
-            if m or i in wanted:
-                uni[m].update(words)
-    totals = [sum(u.values()) for u in uni]
-    vocab = {w for w in uni[1] if uni[1][w] >= word_share * totals[1]}
-    ids = [(i, [w if w in vocab else 0 for w in words]) for i, words in split]
-    mapped = [Counter(), Counter()]
-    for i, words in ids:
-        for m in (0, 1):
-            if m or i in wanted:
-                mapped[m].update(words)
-                pair[m].update(zip([1, *words], words))
-    kept = {p for p in pair[1] if any(pair[m][p] >= pair_share * max(totals[m], 1) for m in (0, 1))}
-
-    def loss(m, v, w):
-        base = (mapped[m][w] + 1) / (totals[m] + len(vocab) + 1)
-        mine = [p for p in kept if p[0] == v]
-        context = max(1, mapped[m][v], sum(pair[m][p] for p in mine))
-        free = 1 - sum(max(pair[m][p] - 0.75, 0) for p in mine) / context
-        own = max(pair[m][v, w] - 0.75, 0) / context if (v, w) in kept else 0
-        return -math.log(own + free * base)
-
-    known = {}
-    out = []
-    for i, words in ids:
-        sums = [0.0, 0.0]
-        for p in zip([1, *words], words):
-            if p not in known:
-                known[p] = loss(0, *p), loss(1, *p)
-            sums = [a + b for a, b in zip(sums, known[p])]
-        out.append((i, len(words), *([s / len(words) for s in sums] if words else (None, None))))
-    return out
-
-
-def check(spark, rows, wanted, word_share, pair_share, df=None):
-    df = df if df is not None else spark.createDataFrame(rows, "doc_id long, text string")
-    targets = spark.createDataFrame([(w,) for w in wanted], "doc_id long")
-    got = sorted(map(tuple, S.cross_entropy_difference(df, targets, word_share=word_share, pair_share=pair_share).collect()), key=repr)
-    want = sorted(brute(rows, set(wanted), word_share, pair_share), key=repr)
-    assert len(got) == len(want)
-    for g, w in zip(got, want):
-        assert g[:2] == w[:2]
-        if w[2] is None:
-            assert g[2:] == (None, None, None)
-        else:
-            assert g[2:] == pytest.approx((w[2], w[3], w[2] - w[3]), rel=1e-9, abs=1e-9)
-
-
-def test_whole_table_against_counting(spark, sf):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    good = [r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()]
-    check(spark, rows, good, 2**-11, 2**-11)
-
-
-@pytest.mark.parametrize("wanted", [[1, 2, 2, 77], []])
-def test_hard_rows(spark, wanted):
-    rows = [(1, "a b a b c"), (2, "a b"), (2, "a b"), (3, None), (4, ""), (5, " \n "), (None, "a x"), (6, "x y " * 30_000), (7, "é 日本 a"), (8, "only1 only2")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("target", F.lit("x")).withColumn("wanted", F.lit(1)).withColumn("word", F.lit(2))
-    check(spark, rows, wanted, 2**-10, 2**-10, df)
-    check(spark, rows, wanted, 2**-18, 2**-18, df)
-    empty = spark.createDataFrame([], "doc_id long")
-    assert S.cross_entropy_difference(df.limit(0), empty).count() == 0
-
-
-def test_the_model_s_probabilities_sum_to_one(spark):
-    df = spark.createDataFrame([(1, "a b a c a b"), (2, "c c d a b"), (3, "a a")], "doc_id long, text string")
-    model = S.train(df, spark.createDataFrame([(1,), (3,)], "wanted long"), 0.1, 0.1)
-    n = model.base.shape[1]
-    pairs = {int(c): model.losses[:, k] for k, c in enumerate(model.codes)}
-    for v in range(n):
-        for m in (0, 1):
-            total = sum(math.exp(-(pairs[v << 32 | w][m] if v << 32 | w in pairs else model.free[m, v] + model.base[m, w])) for w in range(n) if w != 1)
-            assert total == pytest.approx(1)
-
-
 def test_scores_tell_good_from_bad(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
