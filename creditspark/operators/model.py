@@ -1,16 +1,16 @@
-"""Boosted-tree training, evaluation per split and parallel random search."""
+"""Boosted-tree training, evaluation per split and random search over trials that share one binned table."""
 
 from __future__ import annotations
 
 import random
+import statistics
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditspark import schema as S
+from creditspark.operators import boosting as B
 from creditspark.operators.curve import rank_metrics
 from creditspark.operators.features import fit_features
 from creditspark.operators.metrics import calibrate_threshold, class_imbalance, classification_metrics
@@ -23,8 +23,22 @@ MODEL_DEFAULTS = {
     "min_child_weight": 1,
     "subsample": 0.8,
     "colsample": 0.8,
+    "reg_alpha": 0.1,
+    "reg_lambda": 1.0,
+}
+LEAF_WISE_DEFAULTS = {
+    "n_estimators": 500,
+    "learning_rate": 0.05,
+    "num_leaves": 31,
+    "max_depth": -1,
+    "min_child_samples": 20,
+    "subsample": 0.8,
+    "colsample": 0.8,
+    "reg_alpha": 0.1,
+    "reg_lambda": 0.1,
 }
 EARLY_STOP_ROUNDS = 50
+N_TRIALS = 50
 SEARCH_SPACE = {
     "n_estimators": ("int", 100, 1000, 50),
     "learning_rate": ("log", 1e-3, 0.3),
@@ -32,59 +46,37 @@ SEARCH_SPACE = {
     "min_child_weight": ("int", 1, 10, 1),
     "subsample": ("float", 0.5, 1.0),
     "colsample": ("float", 0.5, 1.0),
+    "reg_alpha": ("log", 1e-8, 10.0),
+    "reg_lambda": ("log", 1e-8, 10.0),
+    "gamma": ("float", 0.0, 5.0),
+}
+LEAF_WISE_SPACE = {
+    "n_estimators": ("int", 100, 1000, 50),
+    "learning_rate": ("log", 1e-3, 0.3),
+    "num_leaves": ("int", 15, 127, 1),
+    "max_depth": ("int", 3, 12, 1),
+    "min_child_samples": ("int", 5, 100, 1),
+    "subsample": ("float", 0.5, 1.0),
+    "colsample": ("float", 0.5, 1.0),
+    "reg_alpha": ("log", 1e-8, 10.0),
+    "reg_lambda": ("log", 1e-8, 10.0),
 }
 # ------------------------------------------------------------------------------------
 
+_ABSENT = {"min_child_weight": 0.0, "min_child_samples": 1, "gamma": 0.0}
 
-def classifier(params: dict | None = None, seed: int = 42) -> GBTClassifier:
-    """Boosted trees with class weights."""
-    p = {**MODEL_DEFAULTS, **(params or {})}
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        maxIter=int(p["n_estimators"]),
-        stepSize=float(p["learning_rate"]),
-        maxDepth=int(p["max_depth"]),
-        minInstancesPerNode=int(p["min_child_weight"]),
-        subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy=str(float(p["colsample"])),
-        seed=seed,
-    )
-
-
-def best_round(losses: list[float], patience: int = EARLY_STOP_ROUNDS) -> int:
-    """Rounds to keep: the best before ``patience`` rounds pass without improvement."""
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses, 1):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            break
-    return at
 
-
-def validation_rows(rows: DataFrame) -> DataFrame:
-    """The validation rows, each counting once: class weights are for fitting only."""
-    return rows.filter("is_val").withColumn("weight", F.lit(1.0))
+def full_params(params: dict | None = None) -> dict:
+    """Every parameter of a fit: by level, or leaf by leaf where ``num_leaves`` is named."""
+    given = params or {}
+    return {**_ABSENT, **(LEAF_WISE_DEFAULTS if "num_leaves" in given else MODEL_DEFAULTS), **given}
 
 
 def fit_boosted(
-    rows: DataFrame, params: dict | None = None, seed: int = 42, patience: int = EARLY_STOP_ROUNDS
-) -> GBTClassificationModel:
-    """Model of the train rows, cut at the round with the lowest validation loss.
-
-    Spark's own validation stops at the first round without improvement. Here every
-    round is judged in one pass over the validation rows; a shorter ensemble is fitted
-    again with that many rounds, whose trees are the same for the same seed.
-    """
-    fit_rows = rows.filter(~F.col("is_val"))
-    estimator = classifier(params, seed)
-    model = estimator.fit(fit_rows)
-    rounds = best_round(model.evaluateEachIteration(validation_rows(rows)), patience)
-    if rounds in (0, model.getNumTrees):
-        return model
-    return estimator.copy({estimator.maxIter: rounds}).fit(fit_rows)
+    rows: DataFrame | B.Binned, params: dict | None = None, seed: int = 42, patience: int = EARLY_STOP_ROUNDS
+) -> B.BoostedTrees:
+    """Model of the train rows, cut at the round with the lowest validation loss; one fit, ended by ``patience``."""
+    return B.fit(rows if isinstance(rows, B.Binned) else B.Binned(rows), full_params(params), seed, patience)
 
 
 def training_rows(split_loans: DataFrame, features: PipelineModel, target: str = S.TARGET_COLUMN) -> DataFrame:
@@ -104,21 +96,25 @@ def training_rows(split_loans: DataFrame, features: PipelineModel, target: str =
 
 def train(
     split_loans: DataFrame, params: dict | None = None, seed: int = 42
-) -> tuple[PipelineModel, GBTClassificationModel]:
+) -> tuple[PipelineModel, B.BoostedTrees]:
     """Feature stages fitted on train, and the model fitted on train with early stopping."""
     features = fit_features(split_loans.filter(F.col("split") == "train"))
-    rows = training_rows(split_loans, features).persist()
-    try:
-        return features, fit_boosted(rows, params, seed)
-    finally:
-        rows.unpersist()
+    return features, fit_boosted(training_rows(split_loans, features), params, seed)
 
 
-def predict(rows: DataFrame, features: PipelineModel, model: GBTClassificationModel) -> DataFrame:
+def predict(rows: DataFrame, features: PipelineModel, model: B.BoostedTrees) -> DataFrame:
     """Rows with ``default_probability`` and the feature vector."""
-    scored = model.transform(features.transform(rows))
-    drop = [c for c in scored.columns if c not in rows.columns and c not in ("probability", "features")]
-    return scored.withColumn("default_probability", vector_to_array("probability")[1]).drop("probability", *drop)
+    return B.predict(features.transform(rows).select(*rows.columns, "features"), model)
+
+
+def save_model(features: PipelineModel, model: B.BoostedTrees, path: str) -> None:
+    """Feature stages and trees under one folder."""
+    features.write().save(f"{path}/features")
+    model.save(SparkSession.active(), path)
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, B.BoostedTrees]:
+    return PipelineModel.load(f"{path}/features"), B.BoostedTrees.load(spark, path)
 
 
 def evaluate_splits(scored: DataFrame, target: str = S.TARGET_COLUMN) -> DataFrame:
@@ -168,25 +164,47 @@ def draw_trials(n_trials: int, seed: int = 42, space: dict | None = None) -> lis
 
 
 def random_search(
-    split_loans: DataFrame, trials: list[dict], parallelism: int = 4, seed: int = 42, target: str = S.TARGET_COLUMN
+    split_loans: DataFrame,
+    trials: list[dict],
+    parallelism: int = 8,
+    seed: int = 42,
+    target: str = S.TARGET_COLUMN,
+    prune: bool = False,
+    step: int = B.JOB_ROUNDS,
+    patience: int = EARLY_STOP_ROUNDS,
 ) -> DataFrame:
-    """(trial, params, val_auc) per parameter set; ``runs.best_trial`` picks the best.
+    """(trial, params, val_auc, rounds, pruned) per parameter set; ``runs.best_trial`` picks the best.
 
-    The feature matrix is built once and the fits run side by side on the cluster.
+    All trials read one binned table, and go on by turns of ``step`` rounds, several at a time.
+    ``prune``: a trial whose least validation loss after a turn lies above the median of all
+    trials then is ended; its AUC is that of its rounds so far.
     """
     spark = split_loans.sparkSession
     features = fit_features(split_loans.filter(F.col("split") == "train"))
-    rows = training_rows(split_loans, features, target).persist()
-
-    def fit_and_score(item: tuple[int, dict]) -> tuple[int, dict, float]:
-        i, params = item
-        model = fit_boosted(rows, params, seed)
-        val = model.transform(rows.filter("is_val")).withColumn("p", vector_to_array("probability")[1])
-        return i, {k: str(v) for k, v in params.items()}, rank_metrics(val, "p", "label").first()["auc_roc"]
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(fit_and_score, enumerate(trials)))
-    finally:
-        rows.unpersist()
-    return spark.createDataFrame(results, "trial int, params map<string,string>, val_auc double")
+    rows = training_rows(split_loans, features, target)
+    data = B.Binned(rows)
+    full = [full_params(t) for t in trials]
+    state: list[tuple[list, list]] = [([], []) for _ in trials]
+    pruned: set[int] = set()
+
+    def going(i: int) -> bool:
+        losses = state[i][1]
+        return i not in pruned and len(losses) < full[i]["n_estimators"] and not (data.has_val and B.stop_at(losses, patience))
+
+    def turn(i: int) -> None:
+        state[i] = B.more_rounds(data, full[i], *state[i], min(len(state[i][1]) + step, int(full[i]["n_estimators"])), seed, patience)
+
+    with ThreadPoolExecutor(max(1, parallelism // data.tasks)) as pool:
+        while active := [i for i in range(len(trials)) if going(i)]:
+            list(pool.map(turn, active))
+            if prune and data.has_val:
+                least = {i: min(state[i][1]) for i in active}
+                bar = statistics.median(least.values())
+                pruned |= {i for i in active if least[i] > bar}
+    models = [B.kept(data, *s) for s in state]
+    scores = B.predict_all(rows.filter("is_val").select("features", "label"), models)
+    aucs = {r.model: r.auc_roc for r in rank_metrics(scores, "p", "label", ["model"]).collect()}
+    results = [
+        (i, {k: str(v) for k, v in t.items()}, aucs.get(i), models[i].num_trees, i in pruned) for i, t in enumerate(trials)
+    ]
+    return spark.createDataFrame(results, "trial int, params map<string,string>, val_auc double, rounds int, pruned boolean")

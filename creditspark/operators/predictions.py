@@ -62,6 +62,30 @@ def delayed_label_join(
     return p.join(y, within, how).drop("label_id")
 
 
+def bucketed_label_join(
+    log: DataFrame, labels: DataFrame, min_days: int = 30, max_days: int = 90, how: str = "left", bucket_days: int = 15
+) -> DataFrame:
+    """``delayed_label_join`` by id and stretch of ``bucket_days``, for ids that hold much of the log.
+
+    A prediction lies in one stretch of time; a label is copied to each that its window touches,
+    (max_days - min_days) / bucket_days + 2 at most. So the join is on equal keys, and the rows of
+    one id are spread over as many keys as its predictions span stretches.
+    """
+    width = bucket_days * 86_400
+    stretch = lambda t: F.floor(F.unix_seconds(t.cast("timestamp")) / width)
+    p = log.withColumn("_stretch", stretch(F.col("ts")))
+    y = labels.select(F.col("loan_id").alias("label_id"), F.col("loan_default").alias("label"), "label_ts").where("label_id is not null and label_ts is not null")
+    earliest, latest = (F.col("label_ts") - F.make_dt_interval(F.lit(d)) for d in (max_days, min_days))
+    y = y.withColumn("_at", F.explode(F.sequence(stretch(earliest), stretch(latest))))
+    within = (
+        (F.col("loan_id") == F.col("label_id"))
+        & (F.col("_stretch") == F.col("_at"))
+        & (F.col("label_ts") >= F.col("ts") + F.make_dt_interval(F.lit(min_days)))
+        & (F.col("label_ts") <= F.col("ts") + F.make_dt_interval(F.lit(max_days)))
+    )
+    return p.join(y, within, how).drop("label_id", "_stretch", "_at")
+
+
 def _reason(n_labeled: Column, n_pos: Column, min_samples: int) -> Column:
     return (
         F.when(

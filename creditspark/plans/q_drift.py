@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from creditspark import schema as S
 from creditspark.functions.numeric import round_half_even as R
 from creditspark.operators import drift as D
-from creditspark.plans.fixtures import ctes, dirty_loans, reference_current
+from creditspark.plans.fixtures import ctes, dirty_loans, metric_events, reference_current, table
 from creditspark.plans.q_metrics import r6
 from creditspark.plans.registry import query
-from creditspark.session import stored
+from creditspark.session import fresh_dir, stored
+from creditspark.streaming import drift as SD
 
 NUM = S.NUMERIC_FEATURES
 CAT = ["loan_purpose", "home_ownership", "loan_default"]
@@ -210,3 +211,30 @@ def _(spark, sf):
 def _(spark, sf):
     out = D.prediction_shift(*reference_current(spark, sf), "default_probability")
     return _r(out, "mean_ref", "mean_cur", "shift")
+
+
+PSI_FEATURES = ["latency_ms", "probability"]
+#: The reference of the hourly PSI: the first ten days of the events.
+REFERENCE_END = "2024-01-11"
+PSI_HOUR = """
+ref_long AS (SELECT 'latency_ms' AS feature, latency_ms AS v FROM metric_events WHERE ts < TIMESTAMP '2024-01-11'
+  UNION ALL SELECT 'probability', probability FROM metric_events WHERE ts < TIMESTAMP '2024-01-11'),
+cur_long AS (SELECT ts, 'latency_ms' AS feature, latency_ms AS v FROM metric_events UNION ALL SELECT ts, 'probability', probability FROM metric_events),
+rng AS (SELECT feature, min(v) AS low, (max(v) - min(v)) / 10 AS step, count(v) AS t_ref FROM ref_long GROUP BY 1),
+bins10 AS (SELECT CAST(range AS INTEGER) AS bin FROM range(10)),
+ref_n AS (SELECT feature, CAST(least(greatest(floor((v - low) / step), 0), 9) AS INTEGER) AS bin, count(*) AS n FROM ref_long JOIN rng USING (feature) WHERE v IS NOT NULL GROUP BY 1, 2),
+cur_n AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, feature, CAST(least(greatest(floor((v - low) / step), 0), 9) AS INTEGER) AS bin, count(*) AS n
+  FROM cur_long JOIN rng USING (feature) WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+cur_t AS (SELECT window_start, feature, CAST(sum(n) AS BIGINT) AS t_cur FROM cur_n GROUP BY 1, 2),
+psi_hour AS (SELECT c.window_start, c.feature, c.t_cur AS n, greatest(sum((cs - rs) * ln(cs / rs)), 0e0) AS psi FROM (
+  SELECT t.window_start, t.feature, t.t_cur, (coalesce(r.n, 0) + 1e-4) / (g.t_ref + 1e-3) AS rs, (coalesce(k.n, 0) + 1e-4) / (t.t_cur + 1e-3) AS cs
+  FROM cur_t t CROSS JOIN bins10 b JOIN rng g ON g.feature = t.feature LEFT JOIN ref_n r ON r.feature = t.feature AND r.bin = b.bin
+  LEFT JOIN cur_n k ON k.window_start = t.window_start AND k.feature = t.feature AND k.bin = b.bin) c GROUP BY 1, 2, 3)"""
+
+
+def psi_histogram(spark, sf):
+    """The reference histogram, stored and read back as a monitor would."""
+    path = fresh_dir(spark, "histogram")
+    reference = metric_events(table(spark, sf, "events")).where(F.col("ts") < F.lit(REFERENCE_END).cast("timestamp"))
+    SD.save_histogram(SD.reference_histogram(reference, PSI_FEATURES), path)
+    return SD.load_histogram(spark, path)

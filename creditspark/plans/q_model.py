@@ -256,7 +256,7 @@ def _(spark, sf):
     out = E.tree_contributions(MO.predict(df, features, model), model, keep=("loan_id", "default_probability"))
     total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
     p = F.col("default_probability")
-    return out.select("loan_id", (F.abs(1 / (1 + F.exp(-2 * total)) - p) <= 1e-9).alias("sum_holds"))
+    return out.select("loan_id", (F.abs(1 / (1 + F.exp(-total)) - p) <= 1e-9).alias("sum_holds"))
 
 
 @query(
@@ -274,13 +274,16 @@ def _(spark, sf):
     )
 
 
+TRIALS = MO.N_TRIALS
+
+
 @query(
     "hyperparameter_search",
-    "SELECT CAST(trial AS BIGINT) AS trial, TRUE AS auc_holds, TRUE AS ranges_hold, 1::BIGINT AS n_best FROM range(3) AS t(trial)",
+    f"SELECT CAST(trial AS BIGINT) AS trial, TRUE AS auc_holds, TRUE AS ranges_hold, TRUE AS rounds_hold, 9::BIGINT AS n_dimensions, 1::BIGINT AS n_best FROM range({TRIALS}) AS t(trial)",
 )
 def _(spark, sf):
-    """Every trial once, its parameters within the ranges searched, and exactly one best."""
-    trials = MO.draw_trials(3, 42)
+    """Every declared trial once, its nine parameters within the ranges searched, and exactly one best."""
+    trials = MO.draw_trials(TRIALS, 42)
     table = MO.random_search(split_loans(spark, sf), trials)
     named = table.withColumn("run_id", F.format_string("trial_%04d", "trial"))
     best = RU.best_trial(named, "val_auc").select("run_id")
@@ -290,7 +293,12 @@ def _(spark, sf):
         within = within & F.col("params")[name].cast("double").between(low, high)
     n_best = marked.agg(F.count_if("is_best")).scalar()
     return marked.select(
-        F.col("trial").cast("long").alias("trial"), F.col("val_auc").between(0.5, 1.0).alias("auc_holds"), within.alias("ranges_hold"), n_best.alias("n_best")
+        F.col("trial").cast("long").alias("trial"),
+        F.col("val_auc").between(0.5, 1.0).alias("auc_holds"),
+        within.alias("ranges_hold"),
+        F.col("rounds").between(1, F.col("params")["n_estimators"].cast("int")).alias("rounds_hold"),
+        F.size("params").cast("long").alias("n_dimensions"),
+        n_best.alias("n_best"),
     )
 
 

@@ -10,11 +10,12 @@ from creditspark.operators import alerts as AL, fairness as FA, metrics as M, pr
 from creditspark.operators.columns import union_by_name
 from creditspark.operators.curve import rank_metrics
 from creditspark.plans.fixtures import contributions, ctes, labels_feed, loans, metric_events, prediction_log, runs, table
-from creditspark.plans.q_drift import BINS, psi_all
+from creditspark.plans.q_drift import BINS, PSI_FEATURES, PSI_HOUR, psi_all, psi_histogram
 from creditspark.plans.q_metrics import _slices_sql, r6, slices
 from creditspark.plans.q_quality import SPLIT
 from creditspark.plans.registry import query
-from creditspark.session import stored
+from creditspark.session import fresh_dir, stored
+from creditspark.streaming.drift import psi_by_time
 from creditspark.streaming.monitor import error_rate
 
 LOGS = ctes("prediction_log", "labels_feed")
@@ -74,6 +75,26 @@ def _(spark, sf):
     return PR.delayed_label_join(prediction_log(spark, sf), labels_feed(spark, sf))
 
 
+@query(
+    "delayed_label_bucketed_join",
+    LOGS + """SELECT p.*, l.loan_default AS label, l.label_ts FROM prediction_log p LEFT JOIN labels_feed l
+    ON p.loan_id = l.loan_id AND l.label_ts BETWEEN p.ts + INTERVAL 30 DAY AND p.ts + INTERVAL 90 DAY""",
+)
+def _(spark, sf):
+    return PR.bucketed_label_join(prediction_log(spark, sf), labels_feed(spark, sf))
+
+
+@query("label_backfill_sink", FILLED + "SELECT *, CAST(date_trunc('month', ts) AS DATE) AS dt FROM backfilled")
+def _(spark, sf):
+    """The stored log after the labels were written into the folders they touch."""
+    from creditspark.sources.tables import append_predictions, backfill_log, read_predictions
+
+    path = fresh_dir(spark, "log")
+    append_predictions(prediction_log(spark, sf), path, period="month")
+    backfill_log(spark, path, PR.latest_labels(labels_feed(spark, sf), "label_ts"))
+    return read_predictions(spark, path)
+
+
 def _auc_sql(by: str = "", frm: str = "prediction_log") -> str:
     part = f"PARTITION BY {by}" if by else ""
     also = f"PARTITION BY {by}, default_probability" if by else "PARTITION BY default_probability"
@@ -266,15 +287,14 @@ def _declared_sql(name: str, rows: str, stat: str, breach: str, periods: int, se
 
 
 DECLARED = ctes(
-    "ref_cur",
     "metric_events",
-    extra=BINS + """,
+    extra=PSI_HOUR + """,
 hr AS (SELECT date_trunc('hour', ts) AS hour, is_error AS y, rank() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY probability)
   + (count(*) OVER (PARTITION BY date_trunc('hour', ts), probability) - 1) / 2 AS mr FROM metric_events),
 ha AS (SELECT hour, count(*) AS n, count(*) FILTER (WHERE y) AS p, sum(mr) FILTER (WHERE y) AS s FROM hr GROUP BY 1),
 er AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS ts, 1e2 * count(*) FILTER (WHERE is_error)
   / greatest(count(*) FILTER (WHERE is_error), count(*) FILTER (WHERE NOT is_error)) AS rate FROM metric_events GROUP BY 1),"""
-    + _declared_sql("psi_alarms", "SELECT 'psi:' || feature AS metric, TIMESTAMP '2000-01-01' AS ts, psi AS value FROM psi", "max", "v > 15e-2", 1, 3600)
+    + _declared_sql("psi_alarms", "SELECT 'psi:' || feature AS metric, window_start AS ts, psi AS value FROM psi_hour", "max", "v > 15e-2", 1, 3600)
     + ","
     + _declared_sql(
         "auc_alarms",
@@ -286,19 +306,20 @@ er AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS ts, 1e2 * count(*) FILTER (W
 )
 
 
+def hourly_auc(events):
+    """(ts, value): the AUC of each hour's predictions."""
+    rows = events.select(F.date_trunc("hour", "ts").alias("hour"), "probability", F.col("is_error").cast("int").alias("y"))
+    return rank_metrics(rows, "probability", "y", ["hour"]).select(F.col("hour").cast("timestamp_ntz").alias("ts"), F.col("auc_roc").alias("value"))
+
+
 @query("declared_alarms", DECLARED + "FROM psi_alarms UNION ALL FROM auc_alarms UNION ALL FROM error_alarms")
 def _(spark, sf):
-    """The three declared alarms: PSI per feature, live AUC by the hour, error rate by the minute."""
+    """The three declared alarms: PSI per feature and live AUC by the hour, error rate by the minute."""
     events = metric_events(table(spark, sf, "events"))
-    psi = psi_all(spark, sf).select(
-        F.concat(F.lit("psi:"), F.col("feature")).alias("metric"),
-        F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"),
-        F.col("psi").alias("value"),
+    psi = psi_by_time(events, psi_histogram(spark, sf), PSI_FEATURES).select(
+        F.concat(F.lit("psi:"), F.col("feature")).alias("metric"), F.col("window_start").alias("ts"), F.col("psi").alias("value")
     )
-    hourly = rank_metrics(
-        events.select(F.date_trunc("hour", "ts").alias("hour"), "probability", F.col("is_error").cast("int").alias("y")),
-        "probability", "y", ["hour"],
-    ).select(F.lit("live_auc").alias("metric"), F.col("hour").cast("timestamp_ntz").alias("ts"), F.col("auc_roc").alias("value"))
+    hourly = hourly_auc(events).select(F.lit("live_auc").alias("metric"), "ts", "value")
     rates = error_rate(events).select(
         F.lit("error_rate").alias("metric"), F.col("window_start").alias("ts"), F.col("error_rate").alias("value")
     )

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from creditspark.functions.numeric import round_half_even as R
-from creditspark.operators import explain as E, scoring as SC, split as SP
+from creditspark.operators import alerts as AL, explain as E, model as MO, scoring as SC, split as SP
 from creditspark.plans.fixtures import ctes, loans, metric_events, table
+from creditspark.plans.q_drift import PSI_FEATURES, PSI_HOUR, psi_histogram
 from creditspark.plans.q_metrics import r6
-from creditspark.plans.q_model import INTERCEPT, LIN, LINEAR, _MARGIN
-from creditspark.plans.q_monitor import ALARM, ALARM_SQL, TRANSITIONS, alarm_rows
+from creditspark.plans.q_model import DECLARED as GBT, INTERCEPT, LIN, LINEAR, _MARGIN, split_loans
+from creditspark.plans.q_monitor import ALARM, ALARM_SQL, TRANSITIONS, _declared_sql, alarm_rows, hourly_auc
 from creditspark.plans.registry import query
 from creditspark.session import fresh_dir
 from creditspark.sources.tables import dated_log, read_predictions
-from creditspark.streaming import alarm as SA, labels as SL, monitor as SM
+from creditspark.streaming import alarm as SA, drift as SD, labels as SL, monitor as SM, score as SS, sink as SK
 from creditspark.streaming.run import append_available, follow, play, run_available, stream_table, timed_files
 
 def batch_events(spark, sf):
@@ -84,14 +85,19 @@ JOIN_SQL = """SELECT p.event_id AS prediction_id, l.event_id AS label_id, p.user
     WHERE p.event_type = 'view' AND l.event_type = 'purchase'"""
 
 
-def _sides(ev):
-    predictions = ev.filter(F.col("event_type") == "view").select(F.col("event_id").alias("prediction_id"), "user_id", "ts")
-    feed = ev.filter(F.col("event_type") == "purchase").select(F.col("event_id").alias("label_id"), "user_id", F.col("ts").alias("label_ts"))
+def _sides(ev, closing=False):
+    """Predictions and labels; ``closing``: each with the row that ends a played stream, whose ids are null."""
+    def of(kind):
+        own = F.col("event_type") == kind
+        return ev.filter(own | F.col("event_id").isNull() if closing else own)
+
+    predictions = of("view").select(F.col("event_id").alias("prediction_id"), "user_id", "ts")
+    feed = of("purchase").select(F.col("event_id").alias("label_id"), "user_id", F.col("ts").alias("label_ts"))
     return predictions, feed
 
 
-def _joined(left, right):
-    out = SL.label_join(left, right, "user_id", "3 DAYS", "9 DAYS")
+def _joined(left, right, how="inner"):
+    out = SL.label_join(left, right, "user_id", "3 DAYS", "9 DAYS", how)
     return out.select(
         "prediction_id",
         "label_id",
@@ -111,6 +117,25 @@ def _(spark, sf):
     return run_available(_joined(_sides(stream_events(spark, sf))[0], _sides(stream_events(spark, sf))[1]), "label-join")
 
 
+LEFT_SQL = JOIN_SQL.replace("FROM events p JOIN events l ON", "FROM events p LEFT JOIN events l ON l.event_type = 'purchase' AND").replace(
+    " AND l.event_type = 'purchase'", ""
+)
+
+
+@query("stream_label_join_left_batch", LEFT_SQL)
+def _(spark, sf):
+    return _joined(*_sides(batch_events(spark, sf)), "left")
+
+
+@query("stream_label_join_left", LEFT_SQL)
+def _(spark, sf):
+    """Unmatched predictions come out when the watermark passes the last time a label could count."""
+    events = table(spark, sf, "events")
+    played = timed_files(events, "ts", "events", close_after="30 days")
+    sides = [_sides(metric_events(play(spark, played, events.schema)), closing=True)[k] for k in (0, 1)]
+    return run_available(_joined(*sides, "left"), "label-join-left").where("prediction_id is not null")
+
+
 @query(
     "stream_consecutive_alarm",
     "WITH " + ALARM_SQL.strip() + TRANSITIONS,
@@ -157,6 +182,88 @@ def _(spark, sf):
     return read_predictions(spark, path).drop("actual_default")
 
 
+@query("stream_score_gbt", ctes("loans") + "SELECT loan_id, 'gbt-1' AS model_version, as_of AS ts, TRUE AS as_in_batch FROM loans")
+def _(spark, sf):
+    """The stream's records, by a stored and reloaded model, next to those of the batch."""
+    df = split_loans(spark, sf)
+    path = fresh_dir(spark, "model")
+    MO.save_model(*MO.train(df, GBT), path)
+    features, model = MO.load_model(spark, path)
+    arriving = loans(spark, sf, orders=stream_table(spark, f"{sf}/orders.parquet"))
+    streamed = run_available(SS.score_stream(arriving, features, model, "gbt-1", carry=("as_of",)), "gbt-scored")
+    batch = SS.score_stream(loans(spark, sf), features, model, "gbt-1").select(
+        F.col("loan_id").alias("id"), *[F.col(c).alias(f"b_{c}") for c in SCORED]
+    )
+    same = F.lit(True)
+    for c in SCORED:
+        same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    return streamed.join(batch, F.col("loan_id") == F.col("id"), "left").select(
+        "loan_id", "model_version", F.col("as_of").alias("ts"), same.alias("as_in_batch")
+    )
+
+
+SCORED = ["prediction", "default_probability", "confidence", "risk_tier", "request_id"]
+
+def _psi_both(name, sql, build):
+    query(name, sql)(lambda spark, sf: build(batch_events(spark, sf), psi_histogram(spark, sf)))
+    query(f"{name}_stream", sql)(lambda spark, sf: run_available(build(played_events(spark, sf), psi_histogram(spark, sf)), name))
+
+
+_psi_both(
+    "hourly_psi",
+    ctes("metric_events", extra=PSI_HOUR) + f"SELECT window_start, feature, n, {r6('psi')} AS psi FROM psi_hour",
+    lambda ev, hist: rounded(SD.psi_by_time(ev, hist, PSI_FEATURES), "psi"),
+)
+
+PSI_ALARM_SQL = _declared_sql("psi_alarms", "SELECT 'psi:' || feature AS metric, window_start AS ts, psi AS value FROM psi_hour", "max", "v > 15e-2", 1, 3600)
+
+
+@query(
+    "psi_alarm_stream",
+    ctes("metric_events", extra=PSI_HOUR + "," + PSI_ALARM_SQL)
+    + "SELECT metric, alarm_at AS at, 'ALARM' AS state FROM psi_alarms UNION ALL SELECT metric, ok_at, 'OK' FROM psi_alarms WHERE ok_at IS NOT NULL",
+)
+def _(spark, sf):
+    """PSI by the hour, its alarm and the return to OK, as streams one after the other."""
+    hours = SD.psi_by_time(played_events(spark, sf), psi_histogram(spark, sf), PSI_FEATURES)
+    # the hours a micro-batch completes go to one file a metric, as the alarm's state reads them
+    rows = hours.select(
+        F.concat(F.lit("psi:"), F.col("feature")).alias("metric"), F.col("window_start").cast("timestamp").alias("period"), F.col("psi").alias("value")
+    ).repartition("metric")
+    return run_available(SA.alarm_stream(follow(rows, "psi-hours"), AL.PSI_ALARM), "psi-alarms")
+
+
+@query(
+    "hourly_monitor_metrics",
+    ctes("metric_events", extra=PSI_HOUR + """,
+hr AS (SELECT date_trunc('hour', ts) AS hour, is_error AS y, rank() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY probability)
+  + (count(*) OVER (PARTITION BY date_trunc('hour', ts), probability) - 1) / 2 AS mr FROM metric_events),
+ha AS (SELECT hour, count(*) AS n, count(*) FILTER (WHERE y) AS p, sum(mr) FILTER (WHERE y) AS s FROM hr GROUP BY 1),
+mm AS (SELECT 'PSI' AS metric, window_start AS ts, psi AS value FROM psi_hour
+  UNION ALL SELECT 'LiveAUC', hour, (s - CAST(p AS DOUBLE) * (p + 1) / 2) / nullif(CAST(p AS DOUBLE) * (n - p), 0) FROM ha)""")
+    + f"SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, metric, {r6('max(value)')} AS max_value, {r6('avg(value)')} AS avg_value FROM mm GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """The declared hourly statistics on the metrics they are declared for: PSI over the features, and live AUC."""
+    ev = batch_events(spark, sf)
+    psi = SD.psi_by_time(ev, psi_histogram(spark, sf), PSI_FEATURES).select(F.lit("PSI").alias("metric"), F.col("window_start").alias("ts"), F.col("psi").alias("value"))
+    auc = hourly_auc(ev).select(F.lit("LiveAUC").alias("metric"), "ts", "value")
+    return rounded(SM.hourly_metrics(psi.unionByName(auc)), "max_value", "avg_value")
+
+
+@query(
+    "metric_sink_stream",
+    ctes("metric_events") + """SELECT 'PredictionCount' AS metric, '{"Decision":"' || decision || '","RiskTier":"' || risk_tier || '"}' AS dims, 1e0 AS value, 'Count' AS unit, ts FROM metric_events
+    UNION ALL SELECT 'PredictionLatency', '{}', latency_ms, 'Milliseconds', ts FROM metric_events
+    UNION ALL SELECT 'DefaultProbability', '{}', probability, 'None', ts FROM metric_events""",
+)
+def _(spark, sf):
+    """The long metric table that a stream of predictions leaves; the closing row is no prediction."""
+    path = fresh_dir(spark, "metric-table")
+    SK.emit_metrics(played_events(spark, sf).where("event_id is not null"), path)
+    return SK.read_metrics(spark, path).select("metric", F.to_json("dims").alias("dims"), "value", "unit", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 AUC_DAY = """
 dr AS (SELECT CAST(ts AS DATE) AS day, event_type = 'error' AS y, rank() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY probability)
   + (count(*) OVER (PARTITION BY CAST(ts AS DATE), probability) - 1) / 2 AS mr FROM metric_events),

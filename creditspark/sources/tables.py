@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from creditspark import schema as S
 from creditspark.errors import IngestionError
 from creditspark.functions.loan import date_path
+from creditspark.session import stored
 
 
 def scan_csv(
@@ -119,6 +120,24 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def backfill_log(spark: SparkSession, path: str, labels: DataFrame) -> DataFrame:
+    """Fill ``labels`` (loan_id, actual_default; an id once) into the stored log at ``path``; the dates rewritten.
+
+    Only the folders of days with a labelled prediction are replaced, by dynamic partition
+    overwrite; the files of all others stay. The new folders are written beside the log first,
+    so the step that replaces them reads nothing that it overwrites, and may be repeated.
+    """
+    log = read_predictions(spark, path)
+    fresh = labels.select(F.col("loan_id").alias("_id"), F.col("actual_default").alias("_new")).where("_id is not null")
+    changes = F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col("actual_default"))
+    days = stored(log.join(fresh, F.col("loan_id") == F.col("_id")).where(changes).select("dt").distinct(), "days")
+    touched = log.join(days, "dt", "left_semi")
+    filled = touched.join(fresh, F.col("loan_id") == F.col("_id"), "left").withColumn("actual_default", F.coalesce("_new", "actual_default"))
+    new = stored(filled.select(*log.columns), "backfilled")
+    new.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    return days
+
+
 def log_location(df: DataFrame, prefix: str = "predictions/") -> DataFrame:
     """The dated folder each prediction belongs to."""
     return df.withColumn("log_path", F.concat(F.lit(prefix), date_path(F.col("ts"))))

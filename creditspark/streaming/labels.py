@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from creditspark.operators.curve import auc_columns, running_totals, value_counts
+from creditspark.session import stored
 from creditspark.streaming.run import run_batches
 
 
@@ -21,7 +22,8 @@ def label_join(
     """Predictions (``key``, ``ts``) with labels (``key``, ``label_ts``) inside the delay.
 
     Works on two streams, where watermarks on both sides let old state go, and on two
-    tables. With ``salts`` above one, a key's predictions are spread over that many
+    tables. With ``how`` left, predictions without a label come too: on streams once both
+    watermarks have passed the last time a label could count. With ``salts`` above one, a key's predictions are spread over that many
     parts, and labels are copied to each: for keys that hold much of the data.
     """
     if predictions.isStreaming:
@@ -44,31 +46,82 @@ def label_join(
 def live_auc_stream(labeled: DataFrame, by: list[str], score: str, label: str, store: str, out: str) -> None:
     """Keep the AUC of every group current while labelled predictions stream in.
 
-    Each micro-batch adds its value counts to ``store`` and recomputes only the groups it
-    touched, from the stored counts. Folders are named by batch, so a repeated batch
-    replaces its own output.
+    ``store`` holds the merged value counts of each group, as versions named by the batch that
+    merged them. A micro-batch reads the newest version of the groups it touches, adds its own
+    counts and writes their next; of each group the version before stays, for a repeated batch,
+    and older ones are deleted. So what is read and kept does not grow with the age of the stream.
     """
     measures = {"pos": F.when(F.col(label) == 1, 1).otherwise(0).cast("long"), "neg": F.when(F.col(label) == 1, 0).otherwise(1).cast("long")}
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = value_counts(batch.filter(F.col(label).isNotNull()), score, measures, by)
-        counts.write.mode("overwrite").partitionBy(*by).parquet(f"{store}/batch={batch_id}")
-        schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
-        stored = spark.read.schema(schema).parquet(store).filter(F.col("batch") <= batch_id)
-        # Counts are stored by group, so reading the touched groups prunes the others.
-        touched = stored.filter(F.col("batch") == batch_id).select(*by).distinct()
-        curve = running_totals(
-            stored.drop("batch").join(touched, by, "left_semi"), "value", {"pos": F.col("pos"), "neg": F.col("neg")}, by
-        )
-        agg = auc_columns()
-        curve.groupBy(*by).agg(
-            agg["auc_roc"].alias("live_auc"), agg["n_samples"].alias("n_labeled")
-        ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        counts = stored(value_counts(batch.filter(F.col(label).isNotNull()), score, measures, by), "batch-counts")
+        schema = T.StructType([*[f for f in counts.schema if f.name not in by], *[f for f in counts.schema if f.name in by], T.StructField("version", T.LongType())])
+        kept = [f.name for f in schema if f.name != "version"]
+        folders = group_folders(spark, store)
+        newest = {g: max((v for v in versions if v < batch_id), default=None) for g, versions in folders.items()}
+        touched = {group_path(by, r) for r in counts.select(*by).distinct().collect()}  # groups of one micro-batch
+        before = [f"{store}/{g}/version={newest[g]}" for g in sorted(touched) if newest.get(g) is not None]
+        merged = counts.select(*kept)
+        if before:
+            old = spark.read.schema(schema).option("basePath", store).parquet(*before).select(*kept)
+            merged = merged.unionByName(old).groupBy(*by, "value").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(*kept)
+        now = merged.withColumn("version", F.lit(batch_id).cast("long"))
+        now.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "version").parquet(store)
+        for g in touched:
+            for v in folders.get(g, ()):
+                if v < batch_id and v != newest[g]:
+                    delete_folder(spark, f"{store}/{g}/version={v}")
+        present = [f"{store}/{g}/version={batch_id}" for g in sorted(touched)]
+        if present:
+            rows = spark.read.schema(schema).option("basePath", store).parquet(*present).select(*kept)
+            curve = running_totals(rows, "value", {"pos": F.col("pos"), "neg": F.col("neg")}, by)
+            agg = auc_columns()
+            result = curve.groupBy(*by).agg(agg["auc_roc"].alias("live_auc"), agg["n_samples"].alias("n_labeled"))
+            result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     run_batches(labeled, step, "live-auc")
 
 
+def group_path(by: list[str], row) -> str:
+    """The folders of a group, as a partitioned write names them."""
+    escape = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None else "".join(c if c not in _ESCAPED else f"%{ord(c):02X}" for c in str(v))
+    return "/".join(f"{c}={escape(row[c])}" for c in by)
+
+
+_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | set(map(chr, range(1, 32)))
+
+
+def _files(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def group_folders(spark, store: str) -> dict[str, list[int]]:
+    """The stored versions of each group: {folders of the group: [version]}; two or three a group."""
+    fs, root = _files(spark, store)
+    if not fs.exists(root):
+        return {}
+    out: dict[str, list[int]] = {}
+    levels = [("", root)]
+    while levels:
+        name, folder = levels.pop()
+        for child in fs.listStatus(folder):
+            if child.isDirectory():
+                own = child.getPath().getName()
+                if own.startswith("version="):
+                    out.setdefault(name, []).append(int(own[8:]))
+                elif not own.startswith(("_", ".")):
+                    levels.append((f"{name}/{own}" if name else own, child.getPath()))
+    return out
+
+
+def delete_folder(spark, path: str) -> None:
+    fs, folder = _files(spark, path)
+    fs.delete(folder, True)
+
+
 def current_auc(spark, out: str, by: list[str]) -> DataFrame:
     """The newest AUC of every group."""
     results = spark.read.parquet(out)

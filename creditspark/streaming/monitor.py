@@ -36,16 +36,19 @@ def value_stats(events: DataFrame, value: str, quantile: float, width: str = "5
 
     The quantile is exact and interpolated. On a table it comes from the score-curve
     machinery, so that a bucket holding much of the data is still shared among tasks. A
-    stream keeps the counts of a bucket's different values until the bucket closes.
+    stream first counts by bucket and value, so that such a bucket is counted in many tasks;
+    its quantile is taken from those counts when the bucket closes.
     """
     if not events.isStreaming:
         keyed = events.select(F.window("ts", width)["start"].alias("_start"), value)
         out = quantiles(keyed, value, {"q": quantile}, ["_start"])
         return out.select(F.col("_start").cast("timestamp_ntz").alias("window_start"), "n", "mean", "q")
-    out = timed(events).groupBy(bucket(width)).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.percentile(value, quantile).alias("q"),
+    counts = timed(events).groupBy(bucket(width), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    known = F.when(F.col("v").isNotNull(), F.col("k"))
+    out = counts.groupBy("w").agg(
+        F.coalesce(F.sum(known), F.lit(0)).alias("n"),
+        (F.sum(F.col("v") * F.col("k")) / F.sum(known)).alias("mean"),
+        F.percentile("v", quantile, "k").alias("q"),
     )
     return started(out, "n", "mean", "q")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -21,29 +22,47 @@ def stream_table(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def timed_files(rows: DataFrame, ts: str, name: str, parts: int = 4, close_after: str = "1 day") -> str:
-    """A folder that plays a finite table back as a stream: one file per stretch of time, oldest first.
+class Played(NamedTuple):
+    """A folder of files in stretches of time, ``files`` of them a stretch."""
 
-    A last file holds one row ``close_after`` behind the newest time, null otherwise. It moves the
-    watermark past all others, so every bucket with data closes and is given out; its own never is.
-    This is how a run over data at hand is flushed.
+    path: str
+    files: int
+
+
+def timed_files(rows: DataFrame, ts: str, name: str, parts: int = 4, close_after: str = "1 day", files: int | None = None) -> Played:
+    """A finite table laid out to be played back as a stream: stretches of time, oldest first, of ``files`` files each.
+
+    A stretch is written by as many tasks as it has files (by default those of the table's scan),
+    and filled up with empty files where rows are few, so that a micro-batch is a stretch. Rows
+    without a time go with the first stretch. A last file holds one row ``close_after`` behind the
+    newest time, null otherwise. It moves the watermark past all others, so every bucket with data
+    closes and is given out; its own never is. This is how a run over data at hand is flushed.
     """
     spark, path = rows.sparkSession, fresh_dir(rows.sparkSession, name)
     first, last = rows.agg(F.min(ts), F.max(ts)).first()
-    if first is not None:
-        edges = [first + (last - first) * i / parts for i in range(1, parts)]
-        for low, high in zip([None, *edges], [*edges, None]):
-            part = rows.where((F.lit(True) if low is None else F.col(ts) >= F.lit(low)) & (F.lit(True) if high is None else F.col(ts) < F.lit(high)))
-            part.coalesce(1).write.mode("append").parquet(path)
-        end = (F.lit(last) + F.expr(f"interval {close_after}")).cast(rows.schema[ts].dataType)
-        empty = [end.alias(c) if c == ts else F.lit(None).cast(t.dataType).alias(c) for c, t in zip(rows.columns, rows.schema)]
-        spark.range(1).select(*empty).write.mode("append").parquet(path)
-    return path
-
-
-def play(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
-    """The files of ``timed_files`` as a stream, so many at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    files = files or rows.rdd.getNumPartitions()
+    if first is None:
+        rows.limit(0).write.parquet(path)
+        return Played(path, files)
+    edges = [first + (last - first) * i / parts for i in range(1, parts)]
+    written = 0
+    for k, (low, high) in enumerate(zip([None, *edges], [*edges, None])):
+        within = (F.lit(True) if low is None else F.col(ts) >= F.lit(low)) & (F.lit(True) if high is None else F.col(ts) < F.lit(high))
+        within = within | F.col(ts).isNull() if k == 0 else F.coalesce(within, F.lit(False))
+        part = rows.where(within)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
+        written += files
+        while len(spark.read.schema(rows.schema).parquet(path).inputFiles()) < written:
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    end = (F.lit(last) + F.expr(f"interval {close_after}")).cast(rows.schema[ts].dataType)
+    empty = [end.alias(c) if c == ts else F.lit(None).cast(t.dataType).alias(c) for c, t in zip(rows.columns, rows.schema)]
+    spark.range(1).select(*empty).write.mode("append").parquet(path)
+    return Played(path, files)
+
+
+def play(spark: SparkSession, played: Played, schema) -> DataFrame:
+    """What ``timed_files`` laid out as a stream, a stretch at a time."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", played.files).parquet(played.path)
 
 
 def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None) -> str:

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from creditspark import schema as S
-from creditspark.operators import explain as E, features as FE, model as MO, scoring as SC, split as SP
+from creditspark.operators import boosting as B, explain as E, features as FE, model as MO, scoring as SC, split as SP
 from creditspark.session import fresh_dir
 from creditspark.sources import generate as G
 
@@ -61,17 +61,105 @@ def test_model_ranks_better_than_chance(loans, fitted):
     assert set(auc) == {"train", "val", "test"} and auc["train"] > 0.65 and auc["test"] > 0.5
 
 
+def log_loss(rows, model):
+    val = rows.filter("is_val").select(vector_to_array("features").alias("x"), "label").collect()
+    x, y = np.array([r.x for r in val]), np.array([r.label for r in val])
+    return [float(np.mean(np.logaddexp(0, m) - y * m)) for m in (model.margins(x, k) for k in range(1, model.num_trees + 1))]
+
+
 def test_early_stop_keeps_the_best_round(loans):
-    assert MO.best_round([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3
-    assert MO.best_round([5, 4, 3, 3.5, 3.4, 2], patience=50) == 6
+    assert B.stop_at([5, 4, 3, 3.5, 3.4, 2], 2) is None and B.stop_at([5, 4, 3, 3.5, 3.4], 2) == 3
     features = FE.fit_features(loans.filter("split = 'train'"))
-    rows = MO.training_rows(loans, features)
-    full = MO.classifier(QUICK).fit(rows.filter("not is_val"))
-    losses = full.evaluateEachIteration(MO.validation_rows(rows))
-    kept = MO.fit_boosted(rows, QUICK)
-    want = MO.best_round(losses) or len(losses)
-    assert kept.getNumTrees == want
-    assert kept.evaluateEachIteration(MO.validation_rows(rows)) == pytest.approx(losses[:want])
+    data = B.Binned(MO.training_rows(loans, features))
+    params = MO.full_params({"learning_rate": 0.3, "n_estimators": 200})
+    trees, losses = B.more_rounds(data, params, [], [], 200, 1, 10)
+    best = int(np.argmin(losses)) + 1
+    assert len(losses) == best + 10 < 200  # ended within the fit
+    model = B.fit(data, params, 1, 10)
+    assert model.num_trees == best and model.losses == losses[:best]
+    assert log_loss(MO.training_rows(loans, features), model) == pytest.approx(model.losses)
+
+
+def test_rounds_and_tasks_do_not_change_the_trees(loans):
+    rows = MO.training_rows(loans, FE.fit_features(loans.filter("split = 'train'")))
+    params = MO.full_params({"n_estimators": 6, "max_depth": 4})
+    data = B.Binned(rows)
+    many = data.spread(4)
+    assert data.tasks == 1 and many.table.rdd.getNumPartitions() == 4
+    one = B.fit(data, params)
+    parts = B.fit(data, params, job_rounds=2)
+    over = B.fit(many, params)
+    for other in (parts, over):
+        a, b = one.nodes(), other.nodes()
+        assert a[["tree", "node", "feature", "bin", "left", "right", "cover"]].equals(b[["tree", "node", "feature", "bin", "left", "right", "cover"]])
+        assert np.allclose(a["value"], b["value"])
+        assert one.losses == pytest.approx(other.losses)
+
+
+def plain_tree(bins, g, h, p, width, depth=0):
+    """A tree by plain recursion over all splits: nested (feature, bin, left, right), or the value of a leaf."""
+    shrink = lambda x: np.sign(x) * max(abs(x) - p["reg_alpha"], 0)
+    score = lambda m: shrink(g[m].sum()) ** 2 / (h[m].sum() + p["reg_lambda"])
+    every = np.ones(len(g), bool)
+    best = None
+    for f in range(bins.shape[1]):
+        for b in range(width - 1):
+            left = bins[:, f] <= b
+            if min(left.sum(), (~left).sum()) < p["min_child_samples"] or min(h[left].sum(), h[~left].sum()) < p["min_child_weight"]:
+                continue
+            gain = 0.5 * (score(left) + score(~left) - score(every)) - p["gamma"]
+            if gain > 1e-12 and (best is None or gain > best[0] + 1e-12):
+                best = (gain, f, b, left)
+    if best is None or depth == p["max_depth"]:
+        return -shrink(g.sum()) / (h.sum() + p["reg_lambda"]) * p["learning_rate"]
+    _, f, b, left = best
+    return f, b, plain_tree(bins[left], g[left], h[left], p, width, depth + 1), plain_tree(bins[~left], g[~left], h[~left], p, width, depth + 1)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_grown_trees_against_plain_recursion(seed):
+    rng = np.random.default_rng(seed)
+    bins = rng.integers(0, 6, (80, 4)).astype(np.uint8)
+    g, h = rng.normal(size=80), rng.random(80) * 0.25
+    p = {"reg_alpha": [0.0, 0.5][seed % 2], "reg_lambda": 1.0, "gamma": [0.0, 0.2][seed % 3 == 0], "min_child_samples": 3, "min_child_weight": 0.3, "max_depth": 3, "learning_rate": 0.1}
+    tree = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, p)
+
+    def same(node, want):
+        if isinstance(want, tuple):
+            assert (tree.feature[node], tree.bin[node]) == want[:2]
+            same(tree.left[node], want[2])
+            same(tree.right[node], want[3])
+        else:
+            assert tree.left[node] == -1 and tree.value[node] == pytest.approx(want)
+
+    same(0, plain_tree(bins, g, h, p, 6))
+    # leaf by leaf with leaves to spare, the same tree; with few, the largest gains first
+    whole = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, {**p, "num_leaves": 100})
+    assert sorted(whole.value[whole.left < 0]) == pytest.approx(sorted(tree.value[tree.left < 0]))
+    few = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, {**p, "num_leaves": 3})
+    assert (few.left < 0).sum() == min(3, (tree.left < 0).sum())
+
+
+def test_one_class_constant_features_and_no_validation(spark, loans):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([1.0, float(k % 3)]), float(k % 2), 1.0, False) for k in range(60)]
+    df = spark.createDataFrame(rows, ["features", "label", "weight", "is_val"])
+    model = B.fit(B.Binned(df), MO.full_params({"n_estimators": 3}))
+    assert model.num_trees == 3 and all(t.feature[0] == 1 for t in model.trees if t.left[0] >= 0)
+    only = B.fit(B.Binned(df.where("label = 1")), MO.full_params({"n_estimators": 3}))
+    p = B.predict(df, only).agg(F.min("default_probability")).first()[0]
+    assert p > 0.99
+    with pytest.raises(ValueError):
+        B.Binned(df.limit(0))
+
+
+def test_model_survives_saving(spark, loans, fitted):
+    path = fresh_dir(spark, "model")
+    MO.save_model(*fitted, path)
+    again = MO.load_model(spark, path)
+    a, b = (MO.predict(loans, *m).select("loan_id", "default_probability") for m in (fitted, again))
+    assert a.exceptAll(b).isEmpty() and again[1].losses == pytest.approx(fitted[1].losses)
 
 
 def test_tree_contributions_add_up(loans, fitted):
@@ -79,17 +167,18 @@ def test_tree_contributions_add_up(loans, fitted):
     scored = MO.predict(loans, features, model)
     out = E.tree_contributions(scored, model, keep=("loan_id", "default_probability"))
     gap = out.select(
-        F.abs(1 / (1 + F.exp(-2 * (F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)))) - F.col("default_probability")).alias("g")
+        F.abs(1 / (1 + F.exp(-(F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)))) - F.col("default_probability")).alias("g")
     ).agg(F.max("g")).first()[0]
     assert gap < 1e-9 and out.count() == 3000
 
 
-def test_tree_contributions_are_shapley_values(spark, loans, fitted):
-    features, model = fitted
-    leaves = E.leaf_paths(E.model_nodes(model, spark))
+def test_tree_contributions_are_shapley_values(spark, loans):
+    features, model = MO.train(loans, {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3})
+    leaves = E.leaf_paths(model)
     rows = features.transform(loans.limit(3)).select("loan_id", "features")
     got = {r.loan_id: r.contributions for r in E.tree_contributions(rows, model).collect()}
     used = sorted({p[0] for _, path in leaves for p in path})
+    assert 0 < len(used) <= 10
 
     def value(x, known):
         total = 0.0
@@ -100,8 +189,6 @@ def test_tree_contributions_are_shapley_values(spark, loans, fitted):
             total += v * w
         return total
 
-    if len(used) > 10:
-        pytest.skip("too many features for the brute force")
     for r in rows.select("loan_id", vector_to_array("features").alias("x")).collect():
         for f in used:
             rest, phi = [u for u in used if u != f], 0.0
@@ -125,11 +212,23 @@ def test_score_records(loans):
     assert out.columns == ["loan_id", *SC.RESPONSE_COLUMNS] and out.count() == 3000
 
 
-def test_search(loans):
-    trials = MO.draw_trials(2, 1, {**MO.SEARCH_SPACE, "n_estimators": ("int", 2, 3, 1), "max_depth": ("int", 2, 3, 1)})
-    assert trials == MO.draw_trials(2, 1, {**MO.SEARCH_SPACE, "n_estimators": ("int", 2, 3, 1), "max_depth": ("int", 2, 3, 1)})
+@pytest.mark.parametrize("space", [MO.SEARCH_SPACE, MO.LEAF_WISE_SPACE], ids=["by level", "leaf by leaf"])
+def test_search(loans, space):
+    small = {**space, "n_estimators": ("int", 2, 8, 1), "max_depth": ("int", 2, 4, 1)}
+    trials = MO.draw_trials(5, 1, small)
+    assert len(space) == 9 and trials == MO.draw_trials(5, 1, small) and set(trials[0]) == set(space)
     table = MO.random_search(loans, trials)
-    assert table.count() == 2 and table.filter("val_auc BETWEEN 0 AND 1").count() == 2
+    rows = {r.trial: r for r in table.collect()}
+    assert len(rows) == 5 and all(0 < r.val_auc < 1 and 1 <= r.rounds <= 8 and not r.pruned for r in rows.values())
+    for i in (0, 3):  # the same as fitted alone
+        scored = MO.predict(loans.filter("split = 'val'"), *MO.train(loans, trials[i]))
+        assert MO.evaluate_splits(scored).first().auc_roc == pytest.approx(rows[i].val_auc)
+
+
+def test_pruned_search_ends_the_worse_half(loans):
+    trials = [{"n_estimators": 6, "learning_rate": rate, "max_depth": 3} for rate in (1e-3, 2e-3, 0.05, 0.1, 0.2)]
+    rows = {r.trial: r for r in MO.random_search(loans, trials, prune=True, step=2).collect()}
+    assert rows[0].pruned and rows[0].rounds == 2 and not rows[4].pruned and rows[4].rounds > 2
 
 
 @pytest.mark.parametrize("d", [1, 2, 3, 6, 9])
@@ -167,11 +266,15 @@ def test_queries_fit_with_the_declared_values(spark, sf, monkeypatch, name):
     def fit(rows, params=None, seed=42, patience=None):
         raise Fitted(params)
 
+    def search(loans, trials, **kw):
+        raise Fitted(trials[-1])
+
     monkeypatch.setattr(MO, "fit_boosted", fit)
+    monkeypatch.setattr(MO, "random_search", search)
     with pytest.raises(Fitted) as seen:
         QUERIES[name](spark, sf)
     params = seen.value.args[0]
     if name == "hyperparameter_search":
-        assert params in MO.draw_trials(3, 42)
+        assert params in MO.draw_trials(q_model.TRIALS, 42)
     else:
         assert {**MO.MODEL_DEFAULTS, **params} == MO.MODEL_DEFAULTS
