@@ -86,10 +86,15 @@ JOIN_SQL = """SELECT p.event_id AS prediction_id, l.event_id AS label_id, p.user
 
 
 def _sides(ev, closing=False):
-    """Predictions and labels; ``closing``: each with the row that ends a played stream, whose ids are null."""
+    """Predictions and labels; ``closing``: each with the row that ends a played stream, whose ids are null.
+
+    A row without the key of the join would be filtered out before it moves the watermark, so that row gets one.
+    """
     def of(kind):
         own = F.col("event_type") == kind
-        return ev.filter(own | F.col("event_id").isNull() if closing else own)
+        if not closing:
+            return ev.filter(own)
+        return ev.filter(own | F.col("event_id").isNull()).withColumn("user_id", F.coalesce("user_id", F.lit(-1)))
 
     predictions = of("view").select(F.col("event_id").alias("prediction_id"), "user_id", "ts")
     feed = of("purchase").select(F.col("event_id").alias("label_id"), "user_id", F.col("ts").alias("label_ts"))

@@ -48,7 +48,7 @@ def value_stats(events: DataFrame, value: str, quantile: float, width: str = "5
     out = counts.groupBy("w").agg(
         F.coalesce(F.sum(known), F.lit(0)).alias("n"),
         (F.sum(F.col("v") * F.col("k")) / F.sum(known)).alias("mean"),
-        F.percentile("v", quantile, "k").alias("q"),
+        F.percentile("v", quantile, F.col("k")).alias("q"),
     )
     return started(out, "n", "mean", "q")
 
