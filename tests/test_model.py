@@ -122,7 +122,7 @@ def test_grown_trees_against_plain_recursion(seed):
     bins = rng.integers(0, 6, (80, 4)).astype(np.uint8)
     g, h = rng.normal(size=80), rng.random(80) * 0.25
     p = {"reg_alpha": [0.0, 0.5][seed % 2], "reg_lambda": 1.0, "gamma": [0.0, 0.2][seed % 3 == 0], "min_child_samples": 3, "min_child_weight": 0.3, "max_depth": 3, "learning_rate": 0.1}
-    tree = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, p)
+    tree = B.grow(bins, g, h, np.arange(80), np.arange(4), [6] * 4, p)
 
     def same(node, want):
         if isinstance(want, tuple):
@@ -134,9 +134,9 @@ def test_grown_trees_against_plain_recursion(seed):
 
     same(0, plain_tree(bins, g, h, p, 6))
     # leaf by leaf with leaves to spare, the same tree; with few, the largest gains first
-    whole = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, {**p, "num_leaves": 100})
+    whole = B.grow(bins, g, h, np.arange(80), np.arange(4), [6] * 4, {**p, "num_leaves": 100})
     assert sorted(whole.value[whole.left < 0]) == pytest.approx(sorted(tree.value[tree.left < 0]))
-    few = B.grow(bins, g, h, np.arange(80), np.arange(4), 6, {**p, "num_leaves": 3})
+    few = B.grow(bins, g, h, np.arange(80), np.arange(4), [6] * 4, {**p, "num_leaves": 3})
     assert (few.left < 0).sum() == min(3, (tree.left < 0).sum())
 
 
