@@ -2,38 +2,45 @@ import random
 from difflib import SequenceMatcher
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from creditspark.llm import line_dedup as D
 
 
 def brute(rows, min_words):
-    """Removed ranges by plain loops: rows are (doc_id, text)."""
-    docs = sorted({((1 << 63) - 1 if i is None else i, t or "") for i, t in rows}, key=lambda x: (x[0], x[1]))
-    held = {d: [(k, p, x.strip(D._BLANK), len(x.encode().split())) for k, (p, x) in enumerate((p, x) for p, x in enumerate(d[1].split("\n")) if x.strip(D._BLANK))] for d in docs}
-    first, pairs = {}, {d: set() for d in docs}
-    for d in docs:
-        lines = held[d]
-        texts = [x[2] for x in lines]
-        for key in [*((t,) for t in texts), *zip(texts, texts[1:])]:
-            first.setdefault(key, d)
-        words = 0
-        run = []
-        for x in [*lines, None]:
-            if x is not None and first[(x[2],)] != d:
-                run.append(x)
-                continue
-            if sum(r[3] for r in run) >= min_words:
-                pairs[d] |= {first[(r[2],)] for r in run}
-            run = []
-        pairs[d] |= {first[k] for k in zip(texts, texts[1:]) if first[k] != d}
+    """Places removed of each document, all pairs compared by plain loops; rows are (doc_id, text).
+
+    Of every run of lines that follow each other, blank ones aside, in a document and in an earlier one, with
+    ``min_words`` words or more, all lines go from the first to the last.
+    """
+
+    def order(doc):
+        return doc[0], xxhash.xxh64_intdigest(doc[1].encode(), 42) if doc[1] is not None else 42
+
+    signed = lambda h: h - (1 << 64) if h >= 1 << 63 else h
+    docs = sorted({((1 << 63) - 1 if i is None else i, t) for i, t in rows}, key=lambda d: (order(d)[0], signed(order(d)[1])))
+    held = [[(p, x.strip(D._BLANK), len(x.encode().split())) for p, x in enumerate((t or "").split("\n")) if x.strip(D._BLANK)] for _, t in docs]
+    places = []
+    for lines in held:
+        at = {}
+        for j, (_, x, _) in enumerate(lines):
+            at.setdefault(x, []).append(j)
+        places.append(at)
     out = {}
-    for d in docs:
-        gone = set()
-        for f in pairs[d]:
-            for start, end in D.common_blocks(held[d], held[f], min_words):
-                gone |= set(range(start, end))
-        out[d] = gone
+    for k, doc in enumerate(docs):
+        lines, gone = held[k], set()
+        words = [0]
+        for x in lines:
+            words.append(words[-1] + x[2])
+        for earlier in places[:k]:
+            runs = {}
+            for i in range(len(lines) - 1, -1, -1):  # runs[j]: lines from i on that stand from j on
+                runs = {j: runs.get(j + 1, 0) + 1 for j in earlier.get(lines[i][1], ())}
+                n = max(runs.values(), default=0)
+                if n and words[i + n] - words[i] >= min_words:
+                    gone |= set(range(lines[i][0], lines[i + n - 1][0] + 1))
+        out[doc[0], doc[1] or ""] = gone
     return out
 
 
