@@ -7,7 +7,7 @@ words has its own estimate if it occurs ``MIN_COUNT`` times, and else backs off;
 the target is one of all rows, so the target's clause is the same. The tables thus grow with the
 corpus, and stay in Spark.
 
-The ``COMMON`` most frequent words are sent to the tasks, where they have numbers. Documents are
+The ``COMMON`` most frequent words are sent to the tasks, where they have numbers by their rank. Documents are
 taken in blocks of about ``BLOCK`` words; a block's pairs of numbered words are dealt into parts by
 the pair, as one packed row a part. A part counts its pairs; what follows a word is summed over the
 parts; then each part gives every document of a block the sum of the losses of its pairs. A pair
@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditspark.llm.common import cut, small
+from creditspark.session import stored
 
 MIN_COUNT = 2
-COMMON = 1 << 20
+COMMON = 1 << 21
 DISCOUNT = 0.75
-BLOCK = 1_000_000  # words of a block of documents
-PART_WORDS = 6_000_000  # words of all documents for each part
+BLOCK = 500_000  # words of a block of documents
+PART_WORDS = 3_000_000  # words of all documents for each part
 WANTED_ROWS = 1_000_000  # ids of the target up to which they are sent to the tasks
 
 #: What str.split() takes as blank.
@@ -113,15 +114,29 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
         return (x ^ (x >> np.uint64(32))) >> np.uint64(8)
 
 
-def _numbers(sent: np.ndarray, words: np.ndarray, every: bool) -> np.ndarray:
-    """Numbers of words: 2 and up for those sent, 0 outside the vocabulary, -1 if that is open."""
-    if not len(sent):
-        return np.where(words == _START, _START, 0 if every else -1)
-    at = np.minimum(np.searchsorted(sent, words), len(sent) - 1)
-    return np.where(sent[at] == words, at + 2, 0 if every else -1)
+class _Sent:
+    """The words sent, as hashes in order, and their numbers: 2 for the most frequent and so on."""
 
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        self.words = words
+        self.number = np.empty(len(words), np.int32)
+        self.number[np.argsort(-counts, kind="stable")] = np.arange(2, len(words) + 2)
 
-def _block_rows(block: int, docs: list, marks: np.ndarray, words: np.ndarray, sizes: np.ndarray, sent: np.ndarray, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
+    def numbers(self, words: np.ndarray, every: bool) -> np.ndarray:
+        """Numbers of words, 0 for those outside the vocabulary and -1 if that is open."""
+        if not len(self.words):
+            return np.full(len(words), 0 if every else -1, np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.number[at].astype(np.int64), 0 if every else -1)
+
+    def hashes(self) -> np.ndarray:
+        """The hash of each number; those that stand for no word are themselves."""
+        out = np.array([_OTHER, _START, *[0] * len(self.words)], np.int64)
+        out[self.number] = self.words
+        return out
+
+
+def _block_rows(block: int, docs: list, marks: np.ndarray, words: np.ndarray, sizes: np.ndarray, sent: _Sent, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
     """Rows of one block of documents: heads, pairs of numbered words packed by part, other pairs."""
     n = len(docs)
     yield _rows(n, kind=_HEAD, part=block % parts, block=block, ord=np.arange(n), doc=pa.array(docs, pa.int64()), n=sizes)
@@ -129,7 +144,7 @@ def _block_rows(block: int, docs: list, marks: np.ndarray, words: np.ndarray, si
         return
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
     row = np.repeat(np.arange(n), sizes)
-    after = _numbers(sent, words, every)
+    after = sent.numbers(words, every)
     before = np.r_[_START, after[:-1]]
     before[first] = _START
     dense = (before >= 0) & (after >= 0)
@@ -163,13 +178,23 @@ def _block_rows(block: int, docs: list, marks: np.ndarray, words: np.ndarray, si
         some = list(zip(edges[lo : lo + 64], edges[lo + 1 : lo + 65]))
         a, b, c = [], [], []
         for i, j in some:
-            ords, entries = np.unique(row[i:j], return_counts=True)
-            a.append(_packed(code[i:j]))
+            ords, first_of, entries = np.unique(row[i:j], return_index=True, return_counts=True)
+            steps = np.diff(np.r_[0, code[i:j]])  # rising within a document
+            steps[first_of] = code[i:j][first_of]
+            a.append(_packed(steps))
             b.append(_packed(np.r_[np.diff(np.r_[0, ords]) * 2 + marks[ords], entries]))
             c.append(_packed(counts[i:j]))
         yield _rows(len(some), kind=_TOKENS, part=part[[i for i, _ in some]], block=block, a=a, b=b, c=c)
 
 
+def _codes(a: bytes, entries: np.ndarray) -> np.ndarray:
+    """The codes of a packed row, whose documents have so many entries each."""
+    sums = np.cumsum(_unpacked(a))
+    first = np.cumsum(entries) - entries
+    before = np.r_[0, sums[first[1:] - 1]]
+    return sums - np.repeat(before, entries)
+
+
 def _documents(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places in the block, target?, entries) of the documents of a packed row."""
     both = _unpacked(b)
@@ -177,7 +202,7 @@ def _documents(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(steps >> 1), (steps & 1).astype(bool), entries
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], sent: np.ndarray, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], sent: _Sent, every: bool, parts: int) -> Iterator[pa.RecordBatch]:
     base = TaskContext.get().partitionId() << 32
     held: list[tuple] = []
     size = number = 0
@@ -213,7 +238,7 @@ def _counted(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.R
             for a, b, c in zip(*(own.column(x).to_pylist() for x in "abc")):
                 n = _unpacked(c)
                 _, marks, entries = _documents(b)
-                codes.append(_unpacked(a))
+                codes.append(_codes(a, entries))
                 weights.append(n)
                 targets.append(n * np.repeat(marks, entries))
     if codes:
@@ -235,9 +260,9 @@ def _taken4(n: np.ndarray) -> np.ndarray:
     return np.maximum(4 * n - int(4 * DISCOUNT), 0)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], sent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
     """(v, n_target, taken4_target, n_all, taken4_all) of what the parts say of words as hashes."""
-    names = np.r_[_OTHER, _START, sent]
+    names = sent.hashes()
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             v = _unpacked(a)
@@ -251,14 +276,13 @@ class _Losses:
         self.context = np.maximum(np.maximum(unigrams, followed), 1)
         self.base = (unigrams + 1) / (np.array(totals, float)[:, None] + size + 1)
         self.free = 1 - taken / self.context
-        self.log_base, self.log_free = -np.log(self.base), -np.log(self.free)
 
     def kept(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v, w = codes >> _SHIFT, codes & ((1 << _SHIFT) - 1)
         return -np.log(np.maximum(counts - DISCOUNT, 0) / self.context[:, v] + self.free[:, v] * self.base[:, w])
 
     def backed_off(self, codes: np.ndarray) -> np.ndarray:
-        return self.log_free[:, codes >> _SHIFT] + self.log_base[:, codes & ((1 << _SHIFT) - 1)]
+        return -np.log(self.free[:, codes >> _SHIFT] * self.base[:, codes & ((1 << _SHIFT) - 1)])
 
 
 def _resolved(batches: Iterator[pa.RecordBatch], losses: _Losses) -> Iterator[pa.RecordBatch]:
@@ -270,8 +294,8 @@ def _resolved(batches: Iterator[pa.RecordBatch], losses: _Losses) -> Iterator[pa
                 known = np.cumsum(_unpacked(a))
                 whole = losses.kept(known, np.stack([_unpacked(c), _unpacked(b)]))
                 continue
-            codes = _unpacked(a)
             ords, _, entries = _documents(b)
+            codes = _codes(a, entries)
             each = losses.backed_off(codes)
             if len(known):
                 at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
@@ -386,9 +410,8 @@ def cross_entropy_difference(
     marked = chosen.join(wanted, F.col("doc_id") == F.col("wanted"), "left").select(
         "doc_id", F.col("wanted").isNotNull().alias("target"), _hashes(F.col("text")).alias("words")
     )
-    counts = cut(
-        marked.select("words", "target").mapInArrow(_word_counts, "w long, n_all long, n_target long").groupBy("w").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-    )
+    counted_words = marked.select("words", "target").mapInArrow(_word_counts, "w long, n_all long, n_target long")
+    counts = stored(counted_words.groupBy("w").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), "words")
     known = counts.where(F.col("n_all") >= min_count)
     totals = [x or 0 for x in counts.agg(F.sum("n_target"), F.sum("n_all")).first()]
     in_vocabulary = known.agg(F.sum("n_target"), F.sum("n_all"), F.count("*")).first()
@@ -402,7 +425,7 @@ def cross_entropy_difference(
         return words.where(F.col("n_all") >= int(frequent.min()) if len(frequent) else F.lit(False))
 
     top = is_top(known).toArrow().sort_by("w")
-    sent, every = top.column("w").to_numpy(), top.num_rows == size
+    sent, every = _Sent(top.column("w").to_numpy(), top.column("n_all").to_numpy()), top.num_rows == size
     shared = spark.sparkContext.broadcast(sent)
     parts = max(1, -(-totals[1] // PART_WORDS))
 
@@ -423,11 +446,11 @@ def cross_entropy_difference(
         few = is_top(known).select(F.col("w").alias("sw"))
         contexts = contexts.join(few, F.col("v") == F.col("sw"), "left").where(f"sw is not null or v in ({_OTHER}, {_START})").drop("sw")
     context = contexts.toArrow()
-    unigrams, followed, taken = (np.zeros((2, len(sent) + 2)) for _ in range(3))
+    unigrams, followed, taken = (np.zeros((2, top.num_rows + 2)) for _ in range(3))
     unigrams[:, 0] = other
-    unigrams[:, 2:] = np.stack([top.column(c).to_numpy() for c in ("n_target", "n_all")])
+    unigrams[:, sent.number] = np.stack([top.column(c).to_numpy() for c in ("n_target", "n_all")])
     v = context.column("v").to_numpy()
-    place = np.where((v == _OTHER) | (v == _START), v, np.searchsorted(sent, v) + 2)
+    place = np.where((v == _OTHER) | (v == _START), v, sent.numbers(v, False))
     for k, m in enumerate(("target", "all")):
         followed[k, place] = context.column(f"n_{m}").to_numpy()
         taken[k, place] = context.column(f"t_{m}").to_numpy() / 4
