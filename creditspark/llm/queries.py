@@ -115,7 +115,44 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
-@_query("op12_prefix_trie")
+@_query(
+    "op12_prefix_trie",
+    """
+    WITH t AS (
+      SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), bytes AS (
+      SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS b FROM t
+    ), convs AS (
+      SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: list_reduce(
+               list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 6 AS h
+      FROM bytes
+    ), rebuilt AS (
+      SELECT convs.c, 0 AS own, k, m, length(text) AS size FROM convs JOIN t ON t.c = convs.c - convs.c % 100 AND k <= h
+      UNION ALL SELECT convs.c, 1, k, m, length(text) FROM convs JOIN t ON t.c = convs.c AND k > h
+    ), members AS (
+      SELECT c, row_number() OVER w AS d, string_agg(m, '') OVER w AS p, size FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY own, k ROWS UNBOUNDED PRECEDING)
+      UNION ALL SELECT c, 0, '', 0 FROM convs
+    ), ending AS (
+      SELECT c, max(d) AS d FROM members GROUP BY c
+    ), nodes AS (
+      SELECT p, d, min(c) AS conv_id, count(*) AS n, max(size) AS size, string_agg(CAST(CASE WHEN d = e THEN c END AS VARCHAR), ',' ORDER BY c) AS ends
+      FROM (SELECT members.*, ending.d AS e FROM members JOIN ending USING (c)) GROUP BY p, d
+    ), children AS (
+      SELECT substr(p, 1, 32 * (d - 1)) AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+    ), above AS (
+      SELECT nodes.*, unnest(range(d + 1)) AS up FROM nodes
+    ), below AS (
+      SELECT substr(a.p, 1, 32 * a.up) AS p, count(*) FILTER (WHERE c.n IS NULL) AS leaves, sum((a.n - 1) * a.size) AS saved
+      FROM above a LEFT JOIN children c ON c.p = a.p GROUP BY 1
+    )
+    SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+           CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+    FROM nodes n JOIN below b ON b.p = n.p LEFT JOIN children c ON c.p = n.p LEFT JOIN nodes u ON n.d > 0 AND u.p = substr(n.p, 1, 32 * (n.d - 1))
+    """,
+)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
 
