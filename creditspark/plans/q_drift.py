@@ -182,7 +182,7 @@ def _(spark, sf):
     return _r(D.drift_report(drift_cols(spark, sf)), "share_of_drifted_columns")
 
 
-_Q = [c for c in NUM if c != "loan_term_months"]
+_Q = NUM
 QUAL = (
     "qlong AS ("
     + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM dirty_loans" for c in _Q)

@@ -47,11 +47,10 @@ def _(spark, sf):
     "coalesce_update",
     LOGS + """SELECT p.loan_id, p.actual_default AS old_label, CAST(l.loan_default AS INTEGER) AS new_label,
     coalesce(CAST(l.loan_default AS INTEGER), p.actual_default) AS actual_default
-    FROM prediction_log p LEFT JOIN (SELECT * FROM labels_feed WHERE label_ts < TIMESTAMP '2000-01-01') l USING (loan_id)""",
+    FROM prediction_log p LEFT JOIN labels_feed l USING (loan_id)""",
 )
 def _(spark, sf):
-    early = labels_feed(spark, sf).filter(F.col("label_ts") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    fresh = PR.label_rows(early).withColumnRenamed("actual_default", "new_label")
+    fresh = PR.label_rows(labels_feed(spark, sf)).withColumnRenamed("actual_default", "new_label")
     log = prediction_log(spark, sf).select("loan_id", F.col("actual_default").alias("old_label"))
     return log.join(fresh, "loan_id", "left").withColumn("actual_default", F.coalesce("new_label", "old_label"))
 
@@ -59,11 +58,10 @@ def _(spark, sf):
 @query(
     "label_match_count",
     LOGS + """SELECT count(*) AS n_label_rows, count(DISTINCT loan_id) AS n_ids FROM labels_feed
-    WHERE loan_id IN (SELECT loan_id FROM prediction_log WHERE model_version <> 'v1')""",
+    WHERE loan_id IN (SELECT loan_id FROM prediction_log)""",
 )
 def _(spark, sf):
-    log = prediction_log(spark, sf).filter(F.col("model_version") != "v1")
-    return PR.matched_labels(log, labels_feed(spark, sf))
+    return PR.matched_labels(prediction_log(spark, sf), labels_feed(spark, sf))
 
 
 @query(

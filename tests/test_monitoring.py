@@ -113,3 +113,50 @@ def test_gate():
     RU.require_gate(0.80)
     with pytest.raises(PromotionError):
         RU.require_gate(0.7999)
+
+
+def test_bucketed_join_equals_the_plain_one_for_hot_ids(spark):
+    from creditspark.operators import predictions as PR
+
+    log = spark.range(600).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id = 7 THEN NULL ELSE concat('L', id % 50) END AS loan_id", "id AS k",
+        "CASE WHEN id % 41 <> 0 THEN timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id AS INT)) END AS ts",
+    )
+    labels = spark.range(90).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 'hot' WHEN id = 5 THEN NULL ELSE concat('L', id) END AS loan_id", "id % 2 AS loan_default",
+        "CASE WHEN id % 17 <> 0 THEN timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id * 9 AS INT)) END AS label_ts",
+    )
+    want = PR.delayed_label_join(log, labels)
+    for days in (1, 15, 400):
+        got = PR.bucketed_label_join(log, labels, bucket_days=days)
+        assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert want.where("label is not null and loan_id = 'hot'").count() > 300
+    # the hot id's rows lie under many keys
+    assert log.where("loan_id = 'hot' and ts is not null").select((F.unix_seconds(F.col("ts").cast("timestamp")) / (15 * 86_400)).cast("long")).distinct().count() > 30
+
+
+def test_backfill_replaces_only_the_days_it_touches(spark):
+    from pathlib import Path
+
+    from creditspark.operators import predictions as PR
+    from creditspark.session import fresh_dir
+    from creditspark.sources.tables import append_predictions, backfill_log, read_predictions
+
+    log = spark.range(40).selectExpr(
+        "concat('L', id) AS loan_id", "0.5D AS default_probability", "'v1' AS model_version", "concat('r', id) AS request_id",
+        "timestamp'2024-01-01' + make_dt_interval(CAST(id % 8 AS INT)) AS ts", "CASE WHEN id % 5 = 0 THEN 1 END AS actual_default",
+    )
+    path = fresh_dir(spark, "log")
+    append_predictions(log, path)
+    files = lambda: {f.parent.name: f.name for f in Path(path.removeprefix("file:")).glob("dt=*/*.parquet")}
+    before = files()
+    labels = spark.createDataFrame([("L1", 0), ("L9", 1), ("L2", 1), ("L5", 1), ("L99", 1), (None, 1), ("L3", None)], "loan_id string, actual_default int")
+    want = PR.backfill(read_predictions(spark, path), labels.where("loan_id is not null")).collect()
+    days = backfill_log(spark, path, labels)
+    assert sorted(str(r.dt) for r in days.collect()) == ["2024-01-02", "2024-01-03"]  # L5 already had that label
+    after = files()
+    changed = {d for d in before if before[d] != after[d]}
+    assert set(after) == set(before) and changed == {"dt=2024-01-02", "dt=2024-01-03"}
+    assert sorted(map(repr, read_predictions(spark, path).collect())) == sorted(map(repr, want))
+    backfill_log(spark, path, labels)  # once more changes nothing
+    assert files() == after

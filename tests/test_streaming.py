@@ -8,8 +8,8 @@ from pyspark.sql import Window, functions as F
 from creditspark.operators import alerts as AL
 from creditspark.plans.fixtures import metric_events, table
 from creditspark.session import fresh_dir
-from creditspark.streaming import alarm as SA, labels as SL, monitor as SM
-from creditspark.streaming.run import append_available, run_available
+from creditspark.streaming import alarm as SA, drift as SD, labels as SL, monitor as SM, score as SS, sink as SK
+from creditspark.streaming.run import append_available, play, run_available, run_batches, timed_files
 
 
 @pytest.fixture
@@ -64,8 +64,6 @@ def test_a_silent_metric_returns_to_ok(spark):
 
 
 def test_played_back_streams_give_all_buckets(spark, sf):
-    from creditspark.streaming.run import play, timed_files
-
     events = table(spark, sf, "events")
     stream = SM.error_rate(metric_events(play(spark, timed_files(events, "ts", "events"), events.schema)))
     batch = SM.error_rate(metric_events(events))
@@ -115,3 +113,119 @@ def test_shared_dir_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake())
+
+
+def test_played_stretches_keep_rows_without_a_time(spark, sf):
+    """Every row of the table is played once, null times with the first stretch, in batches of one stretch."""
+    events = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    played = timed_files(events.repartition(3), "ts", "events", parts=4, files=3)
+    seen = []
+    run_batches(play(spark, played, events.schema), lambda batch, n: seen.append((n, batch.count(), batch.agg(F.min("ts"), F.max("ts")).first())), "seen")
+    assert len(seen) == 5 and sum(n for _, n, _ in seen) == events.count() + 1
+    assert all(a[2][1] <= b[2][0] for a, b in zip(seen, seen[1:])) and seen[-1][1] == 1
+
+
+def test_stretches_with_few_rows_are_filled_up(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (3, 100)], "k int, day int").selectExpr("k", "timestamp_seconds(day * 86400) AS ts")
+    played = timed_files(rows, "ts", "few", parts=3, files=4)
+    seen = []
+    run_batches(play(spark, played, rows.schema), lambda batch, n: seen.append(sorted(r.k or 0 for r in batch.collect())), "seen")
+    assert seen == [[1, 2], [], [3], [0]]
+
+
+def test_hourly_psi_in_batch_and_stream(spark, pieces, sf):
+    import math
+
+    features = ["latency_ms", "probability", "empty", "constant"]
+
+    def rows(ev):
+        return metric_events(ev).withColumn("empty", F.lit(None).cast("double")).withColumn("constant", F.lit(3.0))
+
+    batch_rows = rows(table(spark, sf, "events"))
+    path = fresh_dir(spark, "histogram")
+    SD.save_histogram(SD.reference_histogram(batch_rows.where("user_id % 2 = 0"), features, 5), path)
+    histogram = SD.load_histogram(spark, path)
+    assert {r.feature: sum(r.counts) for r in histogram.collect()} == {f: batch_rows.where("user_id % 2 = 0").count() for f in ("latency_ms", "probability", "constant")}
+    batch = SD.psi_by_time(batch_rows, histogram, features)
+    stream = run_available(SD.psi_by_time(rows(pieces), histogram, features), "psi")
+    last = batch.agg(F.max("window_start")).first()[0]
+    want = {(r.window_start, r.feature): (r.n, r.psi) for r in batch.collect()}
+    got = {(r.window_start, r.feature): (r.n, r.psi) for r in stream.collect()}
+    assert got and all(want[k] == pytest.approx(v) for k, v in got.items())
+    assert all(k in got for k in want if (last - k[0]).total_seconds() > 2 * 3600)
+    # one hour by hand
+    h = {r.feature: r for r in histogram.collect()}["latency_ms"]
+    hour = next(w for w, f in want if f == "latency_ms")
+    values = [r.latency_ms for r in batch_rows.where(F.date_trunc("hour", "ts") == F.lit(hour)).collect()]
+    current = [0] * 5
+    for v in values:
+        current[min(max(math.floor((v - h.low) / h.step), 0), 4)] += 1
+    psi = 0.0
+    for r, c in zip(h.counts, current):
+        r, c = (r + 1e-4) / (sum(h.counts) + 5e-4), (c + 1e-4) / (len(values) + 5e-4)
+        psi += (c - r) * math.log(c / r)
+    assert want[hour, "latency_ms"] == (len(values), pytest.approx(psi))
+    assert all(v[1] < 1e-3 for (_, f), v in want.items() if f == "constant")  # the smoothing term only
+
+
+def test_live_auc_store_does_not_grow_with_age(spark, sf):
+    rows = metric_events(table(spark, sf, "events")).select(F.lit("a").alias("g"), "event_id", "probability", F.col("is_error").cast("int").alias("y"))
+    folder = fresh_dir(spark, "rows")
+    for k in range(6):
+        rows.where(F.col("event_id") % 6 == k).coalesce(1).write.mode("append").parquet(folder)
+    store, out = fresh_dir(spark, "counts"), fresh_dir(spark, "auc")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    SL.live_auc_stream(stream, ["g"], "probability", "y", store, out)
+    versions = SL.group_folders(spark, store)["g=a"]
+    assert sorted(versions) == [4, 5]  # the newest, and the one before for a repeated batch
+    from creditspark.operators.curve import rank_metrics
+
+    want = rank_metrics(rows, "probability", "y", ["g"]).first()
+    got = SL.current_auc(spark, out, ["g"]).first()
+    assert (got.live_auc, got.n_labeled) == (pytest.approx(want.auc_roc), want.n_samples)
+
+
+def test_metric_table_is_the_same_after_a_repeated_batch(spark, sf):
+    events = metric_events(table(spark, sf, "events"))
+    path = fresh_dir(spark, "metrics")
+    histogram = SD.reference_histogram(events, ["probability"])
+    rows = SK.batch_metrics(events, histogram, ["probability"], "is_error")
+    for batch_id in (0, 1, 1):
+        SK.write_metrics(rows.where(F.col("metric") != "PSI") if batch_id == 0 else rows, path, batch_id)
+    stored = SK.read_metrics(spark, path)
+    per_batch = {(r.batch, r.metric): r.n for r in stored.groupBy("batch", "metric").agg(F.count("*").alias("n")).collect()}
+    hours = events.select(F.date_trunc("hour", "ts")).distinct().count()
+    assert per_batch[1, "PSI"] == hours and per_batch[1, "LiveAUC"] == 1 and (0, "PSI") not in per_batch
+    assert all(per_batch[b, m] == events.count() for b in (0, 1) for m in ("PredictionCount", "PredictionLatency", "DefaultProbability"))
+
+
+def test_champion_changes_between_micro_batches(spark):
+    from creditspark.operators import model as MO, split as SP
+    from creditspark.sources import generate as G
+
+    loans = SP.hash_split(G.generate_loans(spark.range(1, 801), "id")).cache()
+    models = {v: MO.train(loans, {"n_estimators": n, "max_depth": 2}) for v, n in (("one", 2), ("two", 5))}
+    registry, folder, out = (fresh_dir(spark, n) for n in ("registry", "arriving", "scored"))
+    for v, m in models.items():
+        MO.save_model(*m, f"{registry}-{v}")
+    SS.publish(spark, registry, 1, "one", f"{registry}-one")
+    for k in range(2):
+        loans.where(F.col("num_open_accounts") % 2 == k).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(loans.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    step = SS.score_stream
+
+    def scored_then_published(batch, features, model, version, *rest):
+        SS.publish(spark, registry, 2, "two", f"{registry}-two")  # a new champion while a batch is scored
+        return step(batch, features, model, version, *rest)
+
+    SS.score_stream = scored_then_published
+    try:
+        SS.score_by_champion(stream, registry, out)
+    finally:
+        SS.score_stream = step
+    got = spark.read.parquet(out)
+    assert [r.model_version for r in got.groupBy("batch", "model_version").count().orderBy("batch").collect()] == ["one", "two"]
+    for k, v in enumerate(models):
+        want = step(loans.where(F.col("num_open_accounts") % 2 == k), *models[v], v)
+        assert got.where(F.col("batch") == k).select(*want.columns).exceptAll(want).isEmpty()
+    assert got.count() == 800
