@@ -226,18 +226,31 @@ def categorical_drift(reference: DataFrame, current: DataFrame, features: list[s
 
 
 def column_kinds(df: DataFrame, target: str = S.TARGET_COLUMN, id_col: str = S.ID_COLUMN) -> tuple[list[str], list[str]]:
-    """Numeric and categorical columns to test; text columns and the target are categorical."""
+    """Numeric and categorical columns to test; dates and times count as numbers, text, booleans and the target as categories.
+
+    Columns of other types (arrays, maps, structs, binaries) are not tested.
+    """
     numeric, categorical = [], []
     for f in df.schema.fields:
         if f.name == id_col:
             continue
-        if f.name == target or isinstance(f.dataType, T.StringType):
+        if f.name == target or isinstance(f.dataType, (T.StringType, T.BooleanType)):
             categorical.append(f.name)
-        elif isinstance(f.dataType, T.NumericType):
+        elif isinstance(f.dataType, (T.NumericType, *_TIMES)):
             numeric.append(f.name)
     return numeric, categorical
 
 
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """``df`` with dates and times as seconds and booleans as text, as the tests take them."""
+    seconds = {f.name: F.unix_micros(F.col(f.name).cast("timestamp")) / 1e6 for f in df.schema if isinstance(f.dataType, _TIMES)}
+    words = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.BooleanType)}
+    return df.withColumns({**seconds, **words}) if seconds or words else df
+
+
 def drift_columns(
     reference: DataFrame,
     current: DataFrame,
@@ -248,6 +261,7 @@ def drift_columns(
 ) -> DataFrame:
     """(column_name, kind, test, score, drifted) for every column of both tables."""
     numeric, categorical = column_kinds(reference)
+    reference, current = comparable(reference), comparable(current)
     numeric = shared_columns(reference, current, numeric)
     categorical = shared_columns(reference, current, categorical)
     parts = []

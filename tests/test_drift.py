@@ -118,3 +118,16 @@ def test_erfc(spark):
     zs = [0.0, 1e-9, 0.3, 0.999, 1.0, 1.7, 4.0, 12.0, 26.0]
     got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(D.erfc(F.col("z"))).collect()]
     assert got == pytest.approx([math.erfc(z) for z in zs], rel=1e-10)
+
+
+def test_booleans_dates_and_times_are_tested(spark):
+    ref = spark.range(200).selectExpr(
+        "concat('L', id) AS loan_id", "id % 2 = 0 AS flag", "id % 2 = 0 AS same", "date_add(DATE'2024-01-01', CAST(id % 30 AS INT)) AS day",
+        "timestamp_seconds(id * 60) AS at", "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id % 24 AS INT)) AS hour", "array(id) AS skipped",
+    )
+    cur = ref.selectExpr("loan_id", "flag OR true AS flag", "same", "date_add(day, 300) AS day", "at", "hour", "skipped")
+    got = {r.column_name: (r.kind, r.drifted) for r in D.drift_columns(ref, cur).collect()}
+    assert got == {"flag": ("cat", True), "same": ("cat", False), "day": ("num", True), "at": ("num", False), "hour": ("num", False)}
+    assert {r.column_name: r.drifted for r in D.drift_columns(ref, cur, "ks", "chi_square").collect()} == {k: v[1] for k, v in got.items()}
+    report = D.drift_report(D.drift_columns(ref, cur)).first()
+    assert (report.n_features_tested, report.drifted_columns) == (5, 2)
