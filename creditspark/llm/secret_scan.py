@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import sha256
 from re import _constants as C
 from re import _parser
 
