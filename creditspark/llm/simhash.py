@@ -9,6 +9,10 @@ by pair: its members are dealt again by the same argument, over eight blocks of
 however large the corpus is, and no link is lost.
 
 Groups give spanning stars rather than all pairs; components follow from the stars.
+
+``keep_similar`` goes by the similarity of word shingles instead: two fingerprints of a text's
+set of words, which near copies share but for a few bits, name candidates by the same blocks,
+and a candidate counts only if the texts' shingles really are that similar.
 """
 
 from __future__ import annotations
@@ -28,6 +32,11 @@ SEED = 42
 MAX_BITS = 3
 BUCKET_ROWS = 4096
 _CHUNK = 1 << 15
+SHINGLE = 5
+SIMILARITY = 0.8
+SET_BITS = 4
+SET_PARTS = 6
+_FINER = 8  # parts of the open bits, for crowded keys
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -245,3 +254,226 @@ def _with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts, marks in rows_of(batches):
         values = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(values)], ["d", "m", "fp"])
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Another hash of 64-bit hashes."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    words = (text or "").encode().lower().split()
+    return np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+
+
+def shingle_set(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """The different runs of ``width`` words as sorted hashes; fewer words: one run of them all; none: none."""
+    if not len(words):
+        return words
+    count = min(width, len(words))
+    runs = np.full(len(words) - count + 1, count, np.uint64)
+    for i in range(count):
+        runs = _mix(runs * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(runs)])
+    return np.unique(runs)
+
+
+def _set_fingerprint(hashes: np.ndarray) -> int:
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        octets = hashes[at : at + _CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def _set_marks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(d, m, s, f0, f1): a hash of the text's shingle set (0: no words) and two fingerprints of its set of words."""
+    for ids, texts, marks in rows_of(batches):
+        found = []
+        for text in texts:
+            words = _word_hashes(text)
+            runs, different = shingle_set(words, width), np.unique(words)
+            s = int(_mix(np.bitwise_xor.reduce(_mix(runs)) + runs[:1])[0]) | 1 if len(runs) else 0
+            found.append((s, _set_fingerprint(different), _set_fingerprint(_mix(different))))
+        values = np.array(found, dtype=np.uint64).reshape(-1, 3).view(np.int64)
+        columns = [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), *[pa.array(values[:, i].copy()) for i in range(3)]]
+        yield pa.RecordBatch.from_arrays(columns, ["d", "m", "s", "f0", "f1"])
+
+
+def _tree(s: np.ndarray, fp: np.ndarray, other: np.ndarray, max_bits: int, wide: int) -> list[tuple[int, int]]:
+    """Links (a, b) that span those of at most ``max_bits`` bits in a group, the closest by both fingerprints first.
+
+    A group of more than ``wide`` members is flooded instead: each member reached is linked to the one that
+    reached it and compared no more, so that memory stays linear and dense groups take few rounds.
+    """
+    apart = lambda f, i: np.bitwise_count((f ^ f[i]).view(np.uint64)).astype(np.int32)
+    edges, far = [], np.int32(1 << 20)
+    if len(s) > wide:
+        left = np.arange(len(s))
+        while len(left):
+            frontier, left = [left[0]], left[1:]
+            while frontier and len(left):
+                at = frontier.pop(0)
+                near = np.bitwise_count((fp[left] ^ fp[at]).view(np.uint64)) <= max_bits
+                edges += [(int(s[at]), int(s[x])) for x in left[near]]
+                frontier.extend(left[near])
+                left = left[~near]
+        return edges
+    gap, by, todo, at = np.full(len(s), far), np.zeros(len(s), np.int64), np.ones(len(s), bool), 0
+    for _ in range(len(s) - 1):
+        todo[at] = False
+        own = apart(fp, at)
+        both = own + apart(other, at)
+        better = todo & (own <= max_bits) & (both < gap)
+        gap[better], by[better] = both[better], at
+        at = int(np.argmin(np.where(todo, gap, far + 1)))
+        if gap[at] < far:
+            edges.append((int(s[by[at]]), int(s[at])))
+    return edges
+
+
+_MEMBER = ["part", "key", "s", "fp", "other"]
+
+
+def _trees(batches: Iterator[pa.RecordBatch], bucket_rows: int, max_bits: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """``_tree`` of runs of equal (part, key), as rows (null, null, a, b, null); rows come sorted.
+
+    Unless this is the ``last`` dealing, members of runs of more than ``bucket_rows`` come out as they are.
+    """
+    types = [pa.int32(), *[pa.int64()] * 4]
+
+    def edges_out(edges):
+        a, b = (list(x) for x in zip(*edges))
+        none = [None] * len(a)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, a, b, none), types)], _MEMBER)
+
+    held = [np.empty(0, np.int32), *[np.empty(0, np.int64)] * 4]
+    passing = None  # the crowded run whose members are being handed on
+    for batch in chain(batches, [None]):  # None: the end
+        if batch is not None:
+            held = [np.r_[h, c.to_numpy(zero_copy_only=False)] for h, c in zip(held, batch.columns)]
+        part, key, s, fp, other = held
+        if not len(s):
+            continue
+        starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (key[1:] != key[:-1])])
+        ends = np.r_[starts[1:], len(s)]
+        edges, keep = [], len(s)
+        for i in np.flatnonzero((ends - starts > 1) | (np.arange(len(starts)) == len(starts) - 1) | (np.arange(len(starts)) == 0)):
+            run, name = slice(starts[i], ends[i]), (part[starts[i]], key[starts[i]])
+            is_open = batch is not None and i == len(starts) - 1
+            if not last and (passing == name or ends[i] - starts[i] > bucket_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(h[run], t) for h, t in zip(held, types)], _MEMBER)
+                passing = name if is_open else None
+            elif is_open:
+                keep = starts[i]
+            elif ends[i] - starts[i] > 1:
+                edges += _tree(s[run], fp[run], other[run], max_bits, bucket_rows)
+        if edges:
+            yield edges_out(edges)
+        held = [h[keep:] for h in held]
+
+
+def candidates(nodes: DataFrame, max_bits: int = SET_BITS, parts: int = SET_PARTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(a, b), each pair once: links spanning the ``nodes`` (s, f0, f1) within ``max_bits`` bits by either fingerprint."""
+    masks = _masks(list(range(64)), parts, max_bits)
+    n, first = len(masks), ["f0", "f1"]
+    keys = F.array(
+        *[
+            F.struct(F.lit(k * n + i).alias("part"), F.col(f).bitwiseAND(F.lit(m)).alias("key"), F.col(f).alias("fp"), F.col(g).alias("other"))
+            for k, (f, g) in enumerate([first, first[::-1]])
+            for i, m in enumerate(masks)
+        ]
+    )
+
+    def dealt(keyed, last):
+        rows = keyed.select(*_MEMBER).repartition("part", "key").sortWithinPartitions("part", "key", "s")
+        return rows.mapInArrow(lambda b: _trees(b, bucket_rows, max_bits, last), "part int, key long, s long, fp long, other long")
+
+    found = cut(dealt(nodes.select("s", F.explode(keys).alias("k")).select("k.*", "s"), False))
+    finer = [[m | x for x in _masks([b for b in range(64) if not (m >> b) & 1], _FINER, max_bits)] for m in masks]
+    again = F.array(*[F.array(*map(F.lit, x)) for x in finer])
+    crowded = (
+        found.where("part is not null")
+        .select("*", F.posexplode(F.get(again, F.col("part") % n)).alias("j", "mask"))
+        .select(
+            (2 * n + F.col("part") * len(finer[0]) + F.col("j")).cast("int").alias("part"),
+            F.col("mask").bitwiseAND(F.col("fp")).alias("key"),
+            *_MEMBER[2:],
+        )
+    )
+    links = found.unionByName(dealt(crowded, True)).where("part is null")
+    return links.select(F.least("s", "fp").alias("a"), F.greatest("s", "fp").alias("b")).distinct()
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for nodes, texts in rows_of(batches, 64):
+        sets = [shingle_set(_word_hashes(t), width).tobytes() for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["s", "runs"])
+
+
+def _alike(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for a, b, left, right in rows_of(batches, 64):
+        kept = []
+        for x, y, p, q in zip(a, b, left, right):
+            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            if min(len(p), len(q)) >= similarity * max(len(p), len(q)):
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                if both >= similarity * (len(p) + len(q) - both) - 1e-9:
+                    kept.append((x, y))
+        columns = [[x for x, _ in kept], [y for _, y in kept]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+
+def keep_similar(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    max_bits: int = SET_BITS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """One row of ``docs`` for each group of texts that chains of similar ones connect: the least id, nulls last.
+
+    Texts are similar if their sets of ``width``-word shingles (A-Z lower-cased; fewer words: the
+    whole sequence) have a Jaccard similarity of ``similarity`` or more. Equal sets always meet;
+    others where one of two 64-bit fingerprints of the set of words differs in at most
+    ``max_bits`` bits, and no pair goes unverified. Null, empty and wordless texts are one
+    group. Of rows that share the least id, the one whose text hashes least; of rows equal in
+    both, any one. No rows give no rows.
+    """
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(F.col(text_col)).alias("m")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(F.col(text_col).alias("text"), *key, row)
+    marked = whole.select("d", "text", "m").mapInArrow(
+        lambda b: _set_marks(b, width), "d long, m long, s long, f0 long, f1 long"
+    )
+    nodes = cut(marked.groupBy("s").agg(F.min(F.struct("d", "m")).alias("first"), F.min("f0").alias("f0"), F.min("f1").alias("f1")))
+    pairs = cut(candidates(nodes.where("s != 0"), max_bits, bucket_rows=bucket_rows))
+    met = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct().join(nodes.select("s", "first"), "s")
+    texts = whole.select("d", "m", "text").join(
+        met.select("s", F.col("first.d").alias("d"), F.col("first.m").alias("m")), ["d", "m"]
+    )
+    sets = texts.select("s", "text").mapInArrow(lambda b: _sets(b, width), "s long, runs binary").dropDuplicates(["s"])
+    left = sets.select(F.col("s").alias("a"), F.col("runs").alias("left"))
+    right = sets.select(F.col("s").alias("b"), F.col("runs").alias("right"))
+    similar = (
+        pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(lambda b: _alike(b, similarity), "a long, b long")
+    )
+    roots = stars(cut(similar))
+    chosen = (
+        nodes.join(roots, nodes["s"] == roots["node"], "left")
+        .groupBy(F.coalesce("root", "s").alias("root"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.d").alias("cd"), F.col("first.m").alias("cm"))
+    )
+    one = Window.partitionBy("d", "m").orderBy("d")
+    return (
+        whole.join(chosen, (F.col("d") == F.col("cd")) & (F.col("m") == F.col("cm")))
+        .withColumn("n", F.row_number().over(one))
+        .where("n = 1")
+        .select("row.*")
+    )

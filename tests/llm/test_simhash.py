@@ -78,3 +78,74 @@ def test_large_buckets_lose_no_link(spark, bucket_rows):
     for f, c in zip(fps, brute_components(fps, fps)):
         want.setdefault(c, set()).add(f)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def similar_pairs(texts, width=5, similarity=0.8):
+    """Pairs of texts by the exact Jaccard similarity of their shingle sets, by plain sets."""
+    sets, holders = [], {}
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else {()})
+    pairs = set()
+    for i, s in enumerate(sets):
+        for g in s:
+            for j in holders.setdefault(g, []):
+                pairs.add((j, i))
+            holders[g].append(i)
+    return [(j, i) for j, i in pairs if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9]
+
+
+def check_similar(before, after, recall=0.9):
+    """Rows of ``after`` against groups by all pairs: no group goes whole or loses its least id, few keep a second row."""
+    ids, texts = zip(*before)
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for j, i in similar_pairs(texts):
+        root[find(i)] = find(j)
+    groups = {}
+    for i in range(len(ids)):
+        groups.setdefault(find(i), []).append(ids[i])
+    kept = [d for d, _ in after]
+    assert len(set(kept)) == len(kept) and {min(g) for g in groups.values()} <= set(kept)
+    spare = len(ids) - len(groups)
+    assert len(kept) - len(groups) <= (1 - recall) * spare, (len(kept), len(groups), len(ids))
+    return spare, len(ids) - len(kept)
+
+
+def test_similar_texts_by_all_pairs(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    before = [tuple(r) for r in docs.collect()]
+    check_similar(before, [tuple(r) for r in simhash.keep_similar(docs).collect()])
+
+
+@pytest.mark.parametrize("bucket_rows", [3, 4096])
+def test_near_copies_of_all_sizes_of_group(spark, bucket_rows):
+    rng = np.random.default_rng(9)
+    rows = []
+    for size in [2, 2, 3, 5, 9, 60]:
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        for _ in range(size):
+            text = list(base)
+            for at in rng.integers(0, 300, 3):
+                text[at] = f"n{rng.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(text)))
+        rows.append((len(rows), " ".join(base[:150] + [f"z{x}" for x in rng.integers(0, 5000, 150)])))  # half alike: stays
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in simhash.keep_similar(df, bucket_rows=bucket_rows).collect()]
+    spare, gone = check_similar(rows, got)
+    assert spare > 60 and gone >= 0.95 * spare
+
+
+def test_similar_hard_rows(spark):
+    long = " ".join(f"w{i % 977}" for i in range(40_000))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "One"), (5, "one"), (6, "one two"), (7, long), (8, long + " end"), (None, "one"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("s", F.lit(1)).withColumn("row", F.lit("x"))
+    out = simhash.keep_similar(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id for r in out.collect()), key=repr) == [1, 4, 6, 7, None]
+    assert simhash.keep_similar(df.limit(0)).count() == 0
