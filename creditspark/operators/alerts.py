@@ -157,21 +157,36 @@ def alarm_transitions(intervals: DataFrame) -> DataFrame:
     return intervals.select("metric", F.explode(steps).alias("s")).select("metric", "s.at", "s.state").where("at is not null")
 
 
+def check_forget(cooldown_hours: int, forget_hours: int | None) -> None:
+    if forget_hours is not None and forget_hours < cooldown_hours:
+        raise ValueError("forget_hours must not be less than the cool-down")
+
+
 def retrain_signals(
     hourly: DataFrame,
     min_rows: int = S.MIN_ROWS_FOR_RETRAIN,
     cooldown_hours: int = S.RETRAIN_COOLDOWN_HOURS,
+    forget_hours: int | None = None,
 ) -> DataFrame:
     """(model, signal_at): retrain signals with a row minimum and a cool-down.
 
     ``hourly`` holds one row per model and hour: (model, hour, n_rows, critical). A
     signal needs ``min_rows`` rows seen so far and ``cooldown_hours`` since the previous
     signal of that model. The hours of a model are folded in order; their number is
-    bounded by the calendar, not by the data.
+    bounded by the calendar, not by the data. With ``forget_hours`` (at least the
+    cool-down) a model starts anew after a longer silence.
     """
-    upto = Window.partitionBy("model").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
+    check_forget(cooldown_hours, forget_hours)
+    order = Window.partitionBy("model").orderBy("hour")
+    spell = F.lit(0)
+    if forget_hours is not None:
+        silent = F.col("hour") > F.lag("hour").over(order) + F.make_dt_interval(hours=F.lit(forget_hours))
+        hourly = hourly.withColumn("silent", F.coalesce(silent, F.lit(False)).cast("int"))
+        spell = F.sum("silent").over(order)
+    upto = Window.partitionBy("model", "spell").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
     due = (
-        hourly.withColumn("seen", F.sum("n_rows").over(upto))
+        hourly.withColumn("spell", spell)
+        .withColumn("seen", F.sum("n_rows").over(upto))
         .filter(F.col("critical") & (F.col("seen") >= min_rows))
         .groupBy("model")
         .agg(F.array_sort(F.collect_list("hour")).alias("hours"))

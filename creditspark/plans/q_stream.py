@@ -148,7 +148,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = alarm_rows(played_raw(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp"))
     buckets = follow(SA.bucket_values(rows, ALARM), "buckets")
-    return run_available(SA.alarm_stream(buckets, ALARM), "alarms")
+    return run_available(SA.alarm_stream(buckets, ALARM), "alarms", keyed=True)
 
 
 @query(
@@ -166,7 +166,7 @@ def _(spark, sf):
         F.col("event_type").alias("model"), F.col("ts").cast("timestamp").alias("ts"), "value"
     )
     hourly = follow(SA.hourly_activity(rows, 200.0), "hours")
-    return run_available(SA.retrain_stream(hourly), "retrain")
+    return run_available(SA.retrain_stream(hourly), "retrain", keyed=True)
 
 
 @query(
@@ -235,7 +235,7 @@ def _(spark, sf):
     rows = hours.select(
         F.concat(F.lit("psi:"), F.col("feature")).alias("metric"), F.col("window_start").cast("timestamp").alias("period"), F.col("psi").alias("value")
     ).repartition("metric")
-    return run_available(SA.alarm_stream(follow(rows, "psi-hours"), AL.PSI_ALARM), "psi-alarms")
+    return run_available(SA.alarm_stream(follow(rows, "psi-hours"), AL.PSI_ALARM), "psi-alarms", keyed=True)
 
 
 @query(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -65,11 +66,28 @@ def play(spark: SparkSession, played: Played, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", played.files).parquet(played.path)
 
 
-def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within use the state store that typed state and timers need."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
+def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, keyed: bool = False) -> str:
     """Run the stream over the data at hand; the folder it appended to."""
     path = fresh_dir(stream.sparkSession, name)
     checkpoint = fresh_dir(stream.sparkSession, f"{name}-state")
-    file_sink(stream, path, checkpoint, partition_by).trigger(availableNow=True).start().awaitTermination()
+    with keyed_state(stream.sparkSession) if keyed else nullcontext():
+        query = file_sink(stream, path, checkpoint, partition_by).trigger(availableNow=True).start()
+    query.awaitTermination()
     return path
 
 
@@ -86,9 +104,9 @@ def file_sink(stream: DataFrame, path: str, checkpoint: str, partition_by: list[
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def run_available(stream: DataFrame, name: str) -> DataFrame:
+def run_available(stream: DataFrame, name: str, keyed: bool = False) -> DataFrame:
     """Run the stream over the data at hand and return what it appended, as a table."""
-    return stream.sparkSession.read.schema(stream.schema).parquet(append_available(stream, name))
+    return stream.sparkSession.read.schema(stream.schema).parquet(append_available(stream, name, keyed=keyed))
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], name: str) -> None:

@@ -9,7 +9,7 @@ from creditspark.operators import alerts as AL
 from creditspark.plans.fixtures import metric_events, table
 from creditspark.session import fresh_dir
 from creditspark.streaming import alarm as SA, drift as SD, labels as SL, monitor as SM, score as SS, sink as SK
-from creditspark.streaming.run import append_available, play, run_available, run_batches, timed_files
+from creditspark.streaming.run import append_available, file_sink, keyed_state, play, run_available, run_batches, timed_files
 
 
 @pytest.fixture
@@ -40,7 +40,7 @@ def test_alarms_across_batches(spark, sf, pieces):
     schema = "metric string, period timestamp, value double"
     buckets = spark.readStream.schema(schema).parquet(path)
     stored = spark.read.schema(schema).parquet(path)
-    stream = run_available(SA.alarm_stream(buckets, rule), "alarms")
+    stream = run_available(SA.alarm_stream(buckets, rule), "alarms", keyed=True)
     batch = AL.alarm_transitions(AL.alarm_intervals(stored.withColumn("period", F.col("period").cast("timestamp_ntz")), rule))
     assert stream.count() > 0
     assert stream.exceptAll(batch).isEmpty() and batch.exceptAll(stream).isEmpty()
@@ -56,13 +56,40 @@ def test_a_silent_metric_returns_to_ok(spark):
         part = spark.createDataFrame(rows, "metric string, h int, value double")
         part.selectExpr("metric", "make_timestamp(2024, 1, 1, h, 0, 0) AS period", "value").coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    got = sorted((r.metric, r.at.hour, r.state) for r in run_available(SA.alarm_stream(stream, rule), "alarms").collect())
+    got = sorted((r.metric, r.at.hour, r.state) for r in run_available(SA.alarm_stream(stream, rule), "alarms", keyed=True).collect())
     assert got == [("a", 2, "ALARM"), ("a", 3, "OK"), ("b", 5, "ALARM")]
     stored = spark.read.schema(schema).parquet(folder).withColumn("period", F.col("period").cast("timestamp_ntz"))
     batch = AL.alarm_transitions(AL.alarm_intervals(stored, rule)).collect()
     assert sorted((r.metric, r.at.hour, r.state) for r in batch) == got
 
 
+def test_a_silent_model_leaves_no_state_and_starts_anew(spark):
+    """Model a falls silent for longer than the cool-down and returns; b shows that time goes on."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/hours"
+    batches = [[("a", 0, 60, True), ("a", 1, 60, True), ("b", 0, 1, False)], [("b", 5, 1, False)], [("b", 12, 1, False)]]
+    batches += [[("a", 13, 60, True), ("b", 13, 1, False)], [("a", 14, 60, True)], [("b", 40, 1, False)], [("b", 41, 1, False)]]
+    schema = "model string, hour timestamp, n_rows long, critical boolean"
+    for rows in batches:
+        part = spark.createDataFrame(rows, "model string, h int, n_rows long, critical boolean")
+        hour = "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, h) AS hour"
+        part.selectExpr("model", hour, "n_rows", "critical").coalesce(1).write.mode("append").parquet(folder)
+    hours = spark.read.schema(schema).parquet(folder).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    for forget, want in [(None, [1, 13]), (6, [1, 14])]:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        out, state = fresh_dir(spark, "signals"), fresh_dir(spark, "signals-state")
+        with keyed_state(spark):
+            query = file_sink(SA.retrain_stream(stream, 100, 4, forget), out, state).trigger(availableNow=True).start()
+        query.awaitTermination()
+        got = spark.read.parquet(out)
+        assert sorted((r.model, r.signal_at.hour) for r in got.collect()) == [("a", h) for h in want]
+        batch = AL.retrain_signals(hours, 100, 4, forget)
+        assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+        left = spark.read.format("statestore").option("path", state).option("stateVarName", "value").load()
+        assert {r.key[0] for r in left.select("key").collect()} == ({"a", "b"} if forget is None else {"b"})
+    with pytest.raises(ValueError):
+        AL.retrain_signals(hours, 100, 4, 3)
+
+
 def test_played_back_streams_give_all_buckets(spark, sf):
     events = table(spark, sf, "events")
     stream = SM.error_rate(metric_events(play(spark, timed_files(events, "ts", "events"), events.schema)))
