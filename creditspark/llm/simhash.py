@@ -10,14 +10,21 @@ however large the corpus is, and no link is lost.
 
 Groups give spanning stars rather than all pairs; components follow from the stars.
 
-``keep_similar`` goes by the similarity of word shingles instead: two fingerprints of a text's
-set of words, which near copies share but for a few bits, name candidates by the same blocks,
-and a candidate counts only if the texts' shingles really are that similar.
+``keep_similar`` goes by the similarity of word shingles instead, and loses no similar pair. Sets
+of similarity t share k of their first n - t * n + k shingles in any common order: shingles
+frequent in a sample come last, the others by hash. Texts that share fewer with all others (k: a
+twentieth) are out, and of the shingles shared, all but the k - 1 most frequent must still meet.
+Of the rest, two fingerprints of the set of words first name spanning links of large groups by
+the same blocks; then every pair that meets and is not connected yet is taken, unless its sizes
+or the parities of 512 bins of shingles rule it out. A candidate counts only if the texts'
+shingles really are that similar.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, combinations
 
 import numpy as np
@@ -25,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import cut, rows_of
+from creditspark.llm.common import cut, rows_of, small
 from creditspark.llm.components import stars
 
 SEED = 42
@@ -37,6 +44,10 @@ SIMILARITY = 0.8
 SET_BITS = 4
 SET_PARTS = 6
 _FINER = 8  # parts of the open bits, for crowded keys
+_BINS = 512  # of shingles, whose parities bound the difference of two sets
+SAMPLED = 16  # one text of so many shows which shingles are frequent
+FREQUENT = 1 << 14  # shingles that come last, at most
+SHARE = 20  # similar sets have one of so many shingles, and one more, in common among their first
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -289,18 +300,112 @@ def _set_fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def _set_marks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """(d, m, s, f0, f1): a hash of the text's shingle set (0: no words) and two fingerprints of its set of words."""
+def _least_overlap(count: int, similarity: float) -> int:
+    """What a set of ``count`` has in common with any set that is similar to it, at least."""
+    return max(1, math.ceil(similarity * count - 1e-9))
+
+
+def _first(runs: np.ndarray, last: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set, in order of hash, but with those of ``last`` by rank at the end.
+
+    A similar set has ``_shared`` of them among its own first ones, or more.
+    """
+    at = np.minimum(np.searchsorted(last, runs), max(len(last) - 1, 0))
+    late = last[at] == runs if len(last) else np.zeros(len(runs), bool)
+    ordered = np.r_[runs[~late], runs[late][np.argsort(rank[at[late]])]] if late.any() else runs
+    return ordered[: len(runs) - _least_overlap(len(runs), similarity) + 1 + len(runs) // SHARE] if len(runs) else runs
+
+
+def _shared(count: int, similarity: float) -> int:
+    """How many of its first shingles a set of ``count`` shares with any similar set, which has ``_least_overlap`` or more."""
+    return 1 + _least_overlap(count, similarity) // SHARE
+
+
+def _parities(runs: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each of ``_BINS`` bins is odd; sets differ by as many shingles as these, or more."""
+    odd = np.bincount((runs % np.uint64(_BINS)).astype(np.int64), minlength=_BINS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([a.view(np.int64) for a in arrays])))
+
+
+_MARKS = "d long, m long, s long, f0 long, f1 long, n long, shared long, odd array<long>, first array<long>"
+
+
+def _set_marks(
+    batches: Iterator[pa.RecordBatch], width: int, similarity: float, last: np.ndarray, rank: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """A hash s of the text's shingle set (0: no words), two fingerprints of its set of words, the set's size, parities and first shingles."""
     for ids, texts, marks in rows_of(batches):
-        found = []
+        found, odd, first = [], [], []
         for text in texts:
             words = _word_hashes(text)
             runs, different = shingle_set(words, width), np.unique(words)
             s = int(_mix(np.bitwise_xor.reduce(_mix(runs)) + runs[:1])[0]) | 1 if len(runs) else 0
-            found.append((s, _set_fingerprint(different), _set_fingerprint(_mix(different))))
-        values = np.array(found, dtype=np.uint64).reshape(-1, 3).view(np.int64)
-        columns = [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), *[pa.array(values[:, i].copy()) for i in range(3)]]
-        yield pa.RecordBatch.from_arrays(columns, ["d", "m", "s", "f0", "f1"])
+            found.append((s, _set_fingerprint(different), _set_fingerprint(_mix(different)), len(runs), _shared(len(runs), similarity)))
+            odd.append(_parities(runs))
+            first.append(_first(runs, last, rank, similarity))
+        values = np.array(found, dtype=np.uint64).reshape(-1, 5).view(np.int64)
+        columns = [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), *[pa.array(values[:, i].copy()) for i in range(5)]]
+        yield pa.RecordBatch.from_arrays([*columns, _lists(odd), _lists(first)], ["d", "m", "s", "f0", "f1", "n", "shared", "odd", "first"])
+
+
+def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found more than once in a sample of the different texts (m, text), sorted, and their ranks, most frequent last.
+
+    They only decide the order in which shingles are looked at: any order gives the same pairs, this one fewer candidates.
+    """
+    sample = texts.where(f"pmod(m, {SAMPLED}) = 0").dropDuplicates(["m"]).select("m", "text")
+    runs = sample.mapInArrow(lambda b: _runs(b, width), "t long").groupBy("t").count().where("count > 1")
+    rows = runs.orderBy(F.desc("count"), "t").limit(FREQUENT).collect()
+    found = np.array([r.t for r in rows], np.int64).view(np.uint64)
+    at = np.argsort(found)
+    return found[at], (len(rows) - np.arange(len(rows)))[at]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for _, texts in rows_of(batches):
+        runs = np.concatenate([shingle_set(_word_hashes(t), width) for t in texts])
+        yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64))], ["t"])
+
+
+def _met(marked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(t, s): shingles at which every two similar sets meet."""
+    at = Window.partitionBy("t")
+    each = marked.select(F.explode("first").alias("t"), "s")
+    ends = each.select("t", "s", *[f("s").over(at).alias(c) for f, c in ((F.min, "least"), (F.max, "most"), (F.count, "times"))])
+    hits = ends.where("least <> most").select("t", "s", "times").distinct()
+    # Two similar sets share that many, so one at least that is not among the last of either.
+    rare = Window.partitionBy("s")
+    places = hits.join(nodes.select("s", "shared"), "s").select(
+        "*", F.row_number().over(rare.orderBy("times", "t")).alias("place"), F.count("*").over(rare).alias("hits")
+    )
+    return _open(cut(places.where("place <= hits - shared + 1").select("t", "s")), "s")
+
+
+def _open(met: DataFrame, mark: str) -> DataFrame:
+    """The rows of ``met`` whose t more than one ``mark`` has."""
+    ends = met.groupBy("t").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    return met.join(ends.where("least <> most").select("t"), "t")
+
+
+def _unconnected(met: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), each pair once: sets with a first shingle in common and different roots, unless sizes or parities rule it out."""
+    rooted = met.join(roots.withColumnRenamed("node", "s"), "s", "left").select("t", "s", F.coalesce("root", "s").alias("root"))
+    # Shingles whose sets are all connected are out before the pairs are made.
+    named = _open(rooted, "root").join(nodes.select("s", "n", "odd"), "s")
+    near = cut(named.select("t", "s", "root", "n", *[F.col("odd")[i].alias(f"o{i}") for i in range(_BINS // 64)]))
+    a, b = near.alias("a"), near.alias("b")
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a.o{i}").bitwiseXOR(F.col(f"b.o{i}"))) for i in range(_BINS // 64)])
+    sizes = F.col("a.n") + F.col("b.n")
+    fits = (F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9) & (
+        apart * (1 + similarity) <= (1 - similarity) * sizes + 1e-6
+    )
+    met_at = (F.col("a.t") == F.col("b.t")) & (F.col("a.s") < F.col("b.s")) & (F.col("a.root") != F.col("b.root"))
+    return a.join(b, met_at & fits).select(F.col("a.s").alias("a"), F.col("b.s").alias("b")).distinct()
 
 
 def _tree(s: np.ndarray, fp: np.ndarray, other: np.ndarray, max_bits: int, wide: int) -> list[tuple[int, int]]:
@@ -439,31 +544,37 @@ def keep_similar(
     """One row of ``docs`` for each group of texts that chains of similar ones connect: the least id, nulls last.
 
     Texts are similar if their sets of ``width``-word shingles (A-Z lower-cased; fewer words: the
-    whole sequence) have a Jaccard similarity of ``similarity`` or more. Equal sets always meet;
-    others where one of two 64-bit fingerprints of the set of words differs in at most
-    ``max_bits`` bits, and no pair goes unverified. Null, empty and wordless texts are one
-    group. Of rows that share the least id, the one whose text hashes least; of rows equal in
-    both, any one. No rows give no rows.
+    whole sequence) have a Jaccard similarity of ``similarity`` or more. No such pair is lost and
+    none goes unverified; ``max_bits`` and ``bucket_rows`` only decide how many are connected
+    before all others are compared. Null, empty and wordless texts are one group. Of rows that
+    share the least id, the one whose text hashes least; of rows equal in both, any one. No rows
+    give no rows.
     """
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(F.col(text_col)).alias("m")]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     whole = docs.select(F.col(text_col).alias("text"), *key, row)
-    marked = whole.select("d", "text", "m").mapInArrow(
-        lambda b: _set_marks(b, width), "d long, m long, s long, f0 long, f1 long"
+    last, rank = _frequent(whole.select("m", "text"), width)
+    marked = cut(whole.select("d", "text", "m").mapInArrow(lambda b: _set_marks(b, width, similarity, last, rank), _MARKS))
+    firsts = marked.groupBy("s").agg(
+        F.min(F.struct("d", "m")).alias("first"), *[F.min(c).alias(c) for c in ("f0", "f1", "n", "shared", "odd")]
     )
-    nodes = cut(marked.groupBy("s").agg(F.min(F.struct("d", "m")).alias("first"), F.min("f0").alias("f0"), F.min("f1").alias("f1")))
-    pairs = cut(candidates(nodes.where("s != 0"), max_bits, bucket_rows=bucket_rows))
-    met = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct().join(nodes.select("s", "first"), "s")
+    nodes = cut(firsts)
+    met = cut(_met(marked, nodes))
+    near = cut(met.select("s").distinct().join(nodes, "s"))
     texts = whole.select("d", "m", "text").join(
-        met.select("s", F.col("first.d").alias("d"), F.col("first.m").alias("m")), ["d", "m"]
+        small(near.select("s", F.col("first.d").alias("d"), F.col("first.m").alias("m"))), ["d", "m"]
     )
-    sets = texts.select("s", "text").mapInArrow(lambda b: _sets(b, width), "s long, runs binary").dropDuplicates(["s"])
+    sets = cut(texts.select("s", "text").mapInArrow(lambda b: _sets(b, width), "s long, runs binary").dropDuplicates(["s"]))
     left = sets.select(F.col("s").alias("a"), F.col("runs").alias("left"))
     right = sets.select(F.col("s").alias("b"), F.col("runs").alias("right"))
-    similar = (
-        pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(lambda b: _alike(b, similarity), "a long, b long")
-    )
-    roots = stars(cut(similar))
+
+    def verified(pairs):
+        both = small(cut(pairs)).join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return cut(both.mapInArrow(lambda b: _alike(b, similarity), "a long, b long"))
+
+    similar = verified(candidates(near, max_bits, bucket_rows=bucket_rows))
+    more = verified(_unconnected(met, near, stars(similar), similarity))
+    roots = stars(similar.unionByName(more))
     chosen = (
         nodes.join(roots, nodes["s"] == roots["node"], "left")
         .groupBy(F.coalesce("root", "s").alias("root"))

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 import xxhash
@@ -149,3 +151,46 @@ def test_similar_hard_rows(spark):
     assert out.columns == df.columns
     assert sorted((r.doc_id for r in out.collect()), key=repr) == [1, 4, 6, 7, None]
     assert simhash.keep_similar(df.limit(0)).count() == 0
+
+
+def test_no_similar_pair_is_lost(spark):
+    """Short texts whose shingles are as similar as they must be, though most of their words' fingerprints differ."""
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(12)]  # a frequent one, in all sorts of texts
+    rows = []
+    for size in rng.integers(6, 90, 150).tolist():
+        base = [f"w{x}" for x in rng.integers(0, 10**6, size)] + (passage if size % 3 == 0 else [])
+        rows.append((len(rows), " ".join(base)))
+        least = math.ceil(0.8 * (len(base) - 4))
+        rows.append((len(rows), " ".join(base[: least + 4])))  # at the threshold, or the next step above it
+        rows.append((len(rows), " ".join(base[: least + 3])))  # below it for the whole text, near the one before
+        rows.append((len(rows), " ".join(base + [f"z{x}" for x in rng.integers(0, 10**6, (len(base) - 4) // 4)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(r) for r in simhash.keep_similar(df).collect()]
+    spare, gone = check_similar(rows, got, recall=1.0)
+    assert spare == gone > 400
+
+
+def test_similar_texts_with_every_pair(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    before = [tuple(r) for r in docs.collect()]
+    for bits in (0, 4):  # whatever the fingerprints name
+        check_similar(before, [tuple(r) for r in simhash.keep_similar(docs, max_bits=bits).collect()], recall=1.0)
+
+
+def test_first_shingles_and_parities():
+    """Similar sets share enough of their first shingles in any order, and differ in no more parities than shingles."""
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        size, similarity = int(rng.integers(1, 300)), float(rng.choice([0.5, 0.8, 0.95]))
+        pool = rng.integers(0, 1 << 63, 2 * size + 400).astype(np.uint64)
+        one = np.unique(pool[:size])
+        other = np.unique(np.r_[rng.permutation(one)[: max(1, math.ceil(similarity * len(one)) + int(rng.integers(0, 3)))], pool[size : size + int(rng.integers(0, 9))]])
+        last = np.unique(rng.choice(pool, 40))
+        rank = rng.permutation(len(last))
+        both = len(np.intersect1d(one, other))
+        apart = np.bitwise_count((simhash._parities(one) ^ simhash._parities(other)).view(np.uint64)).sum()
+        assert apart <= len(one) + len(other) - 2 * both
+        if both >= similarity * (len(one) + len(other) - both) - 1e-9:
+            met = np.intersect1d(simhash._first(one, last, rank, similarity), simhash._first(other, last, rank, similarity))
+            assert len(met) >= max(simhash._shared(len(x), similarity) for x in (one, other))
