@@ -278,3 +278,46 @@ def test_queries_fit_with_the_declared_values(spark, sf, monkeypatch, name):
         assert params in MO.draw_trials(q_model.TRIALS, 42)
     else:
         assert {**MO.MODEL_DEFAULTS, **params} == MO.MODEL_DEFAULTS
+
+
+def test_a_fit_of_many_rows_exchanges_nothing(spark):
+    """Spark's barrier takes a second for an exchange, and a round has several: rows that one task can hold stay in one."""
+    from pyspark.ml.functions import array_to_vector
+
+    k = F.col("id")
+    rows = spark.range(120_000).select(
+        array_to_vector(F.array((k % 97).cast("double"), (k % 2).cast("double"))).alias("features"),
+        (k * 7919 % 97 < 40).cast("double").alias("label"),
+        F.lit(1.0).alias("weight"),
+        (k % 8 == 0).alias("is_val"),
+    )
+    data = B.Binned(rows)
+    assert data.tasks == 1 and B.Binned(rows, rows_per_task=50_000).tasks == min(3, spark.sparkContext.defaultParallelism)
+    model = B.fit(data, MO.full_params({"n_estimators": 3, "max_depth": 3, "subsample": 1.0}))
+    assert [t.cover[0] for t in model.trees] == [105_000] * model.num_trees  # every row of train
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_grouped_columns_count_as_each_alone(seed):
+    rng = np.random.default_rng(seed)
+    kind, value = rng.integers(0, 4, 300), rng.integers(0, 6, 300)
+    bins = np.column_stack([kind == 0, value, kind == 1, rng.integers(0, 6, 300), kind == 2, value, (value + (rng.random(300) < 0.2)).clip(0, 5)]).astype(np.uint8)
+    widths = np.array([2, 6, 2, 6, 2, 6, 6])
+    codes = B._Codes(bins, widths)
+    assert len(codes.groups) < 7 and sorted(f for group in codes.groups for f in group.members) == list(range(7))
+    for group in codes.groups:
+        assert (group.bins[group.codes] == bins[:, group.members]).all()
+    g, h = rng.normal(size=300), rng.random(300) + 0.1
+    p = {"reg_alpha": 0.0, "reg_lambda": 1.0, "gamma": 0.0, "min_child_samples": [1, 3][seed % 2], "min_child_weight": 0.5, "max_depth": 3, "learning_rate": 0.1}
+    columns = np.array([[0, 1, 2, 3, 4, 5, 6], [0, 2, 3, 4, 6]][seed % 2])
+    grower = B._Grower(codes, g, h, np.arange(0, 300, 2), columns, p, lambda x: x)
+    grower.rows |= {1: np.arange(0, 200), 2: np.arange(200, 203)}
+    sums, sizes = grower._counted([1, 2])
+    for at, rows in enumerate((np.arange(200), np.arange(200, 203))):
+        for c, f in enumerate(columns):
+            own = slice(grower.first[c], grower.first[c] + widths[f])
+            for plane, v in enumerate((g, h, np.ones(300))[: grower.planes]):
+                assert sums[plane, at, own] == pytest.approx([v[rows][bins[rows, f] == b].sum() for b in range(widths[f])])
+    assert sizes.tolist() == [200, 3]
+    tree = grower.grown()[0]
+    assert tree.cover[0] == 150 and tree.cover[tree.left < 0].sum() == 150
