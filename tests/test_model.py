@@ -321,3 +321,34 @@ def test_grouped_columns_count_as_each_alone(seed):
     assert sizes.tolist() == [200, 3]
     tree = grower.grown()[0]
     assert tree.cover[0] == 150 and tree.cover[tree.left < 0].sum() == 150
+
+
+@pytest.mark.parametrize("deep", [False, True])
+def test_tables_of_ways_give_the_same_contributions(monkeypatch, deep):
+    """Rows look their contributions up by the conditions they meet; row by row the same comes out."""
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 8, (900, 6)).astype(np.uint8)
+    g, h = rng.normal(size=900), rng.random(900) + 0.1
+    params = MO.full_params({"max_depth": 9 if deep else 4, "min_child_weight": 0.2, "learning_rate": 0.3})
+    trees = [B.grow(bins, g + k, h, np.arange(900), np.arange(6), [8] * 6, params) for k in range(2)]
+    model = B.BoostedTrees(trees, [np.arange(7) + 0.5] * 6, 0.1, [0.0, 0.0])
+    x = bins.astype(float)
+    x[0, 0] = np.nan  # goes right, as in the model
+    want = np.zeros_like(x)
+    for value, path in E.leaf_paths(model):
+        features, (low, high, shares) = [q[0] for q in path], np.array([q[1:] for q in path]).T
+        # of a missing value x <= low never holds, so it lies above every cut
+        own = np.where(np.isnan(x), 1e9, x)[:, features]
+        want[:, features] += value * E.leaf_shapley(((own > low) & (own <= high)).astype(float), shares)
+    counted = []
+    monkeypatch.setattr(E, "leaf_shapley", lambda met, shares, f=E.leaf_shapley: counted.append(len(met)) or f(met, shares))
+    for ways, rows in ((1 << 10, 900), (1 << 10, 40), (2, 900)):
+        monkeypatch.setattr(E, "MOST_WAYS", ways)
+        counted.clear()
+        phi = np.zeros((6, rows))
+        for group in E.leaf_groups(model):
+            group.add(model.codes(x[:rows]), phi)
+        assert phi.T == pytest.approx(want[:rows], abs=1e-12)
+        assert max(counted) <= (64 if ways > 2 else rows)  # six features: 64 ways at most, however many rows
+    base = model.base + sum(v * np.prod([q[3] for q in path]) for v, path in E.leaf_paths(model))
+    assert base + want.sum(axis=1) == pytest.approx(model.margins(x))
