@@ -352,3 +352,32 @@ def test_tables_of_ways_give_the_same_contributions(monkeypatch, deep):
         assert max(counted) <= (64 if ways > 2 else rows)  # six features: 64 ways at most, however many rows
     base = model.base + sum(v * np.prod([q[3] for q in path]) for v, path in E.leaf_paths(model))
     assert base + want.sum(axis=1) == pytest.approx(model.margins(x))
+
+
+MANY_ROWS = ["score_batch_gbt"]
+
+
+@pytest.mark.parametrize("name", MANY_ROWS)
+def test_queries_fit_many_rows_without_exchanges(spark, monkeypatch, name):
+    """Over two tasks these fits took a second for each of some eight exchanges a round."""
+    from creditspark.plans import q_model, q_pipeline, q_stream
+    from creditspark.plans.registry import QUERIES
+
+    class Fitted(Exception):
+        pass
+
+    def fit(data, params, *rest):
+        raise Fitted(data.tasks, data.table.count(), {k: params[k] for k in q_model.DECLARED})
+
+    def many(spark, sf=None):
+        return G.generate_loans(spark.range(1, 150_001), "id")
+
+    monkeypatch.setattr(B, "fit", fit)
+    for module in (q_model, q_stream):
+        monkeypatch.setattr(module, "split_loans", lambda spark, sf: SP.hash_split(many(spark)))
+    monkeypatch.setattr(q_pipeline, "raw_card", many)
+    monkeypatch.setattr(q_pipeline, "canonicalize", lambda rows: rows)
+    with pytest.raises(Fitted) as seen:
+        QUERIES[name](spark, "no tables")
+    tasks, rows, params = seen.value.args
+    assert tasks == 1 and rows > 100_000 and params == q_model.DECLARED
