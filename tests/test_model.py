@@ -354,6 +354,27 @@ def test_tables_of_ways_give_the_same_contributions(monkeypatch, deep):
     assert base + want.sum(axis=1) == pytest.approx(model.margins(x))
 
 
+def test_search_waits_for_no_other_trial_and_keeps_no_trees(loans, monkeypatch):
+    """A trial goes on to its end by itself, and its trees go when it is scored."""
+    held, seen = [], []
+
+    def turn(data, params, trees, losses, upto, *rest, f=B.more_rounds):
+        seen.append((params["learning_rate"], upto))
+        return f(data, params, trees, losses, upto, *rest)
+
+    def score(rows, models, first=0, f=B.predict_all):
+        held.append(len(models))
+        return f(rows, models, first)
+
+    monkeypatch.setattr(B, "more_rounds", turn)
+    monkeypatch.setattr(B, "predict_all", score)
+    trials = [{"n_estimators": n, "learning_rate": rate, "max_depth": 2} for n, rate in ((2, 0.1), (6, 0.2), (4, 0.3))]
+    rows = MO.random_search(loans, trials, parallelism=1, step=2).collect()
+    assert [(r.trial, r.rounds <= t["n_estimators"], r.pruned) for r, t in zip(rows, trials)] == [(i, True, False) for i in range(3)]
+    assert seen == [(0.2, 2), (0.2, 4), (0.2, 6), (0.3, 2), (0.3, 4), (0.1, 2)]  # the longest first, each to its end
+    assert held == [1, 1, 1]
+
+
 MANY_ROWS = ["score_batch_gbt", "stream_score_gbt", "train_result_row", "training_pipeline"]
 
 
