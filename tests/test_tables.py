@@ -86,6 +86,19 @@ def test_exact_split_keeps_copies_together(spark):
     assert out.count() == 900 and SP.split_overlap(out).isEmpty()
 
 
+def test_intersection_reads_its_rows_once(spark):
+    """Missing and repeated ids, rows without a part and a third part, against two filtered reads."""
+    rows = [("a", "train"), ("a", "train"), ("a", "test"), ("b", "train"), ("b", "val"), ("c", "test"), ("c", "test"), ("c", None)]
+    rows += [(None, "test"), (None, "train"), (None, "train"), ("", "train"), ("", "val"), ("d", None), ("e", "val"), ("e", "test")]
+    df = spark.createDataFrame(rows, "loan_id string, split string")
+    for left, right, want in [("train", "test", [None, "a"]), ("test", "train", [None, "a"]), ("val", "val", ["", "b", "e"]), ("train", "none", [])]:
+        out = SP.split_intersection(df, left, right)
+        assert out.columns == ["loan_id"] and sorted((r.loan_id for r in out.collect()), key=lambda x: (x is not None, x)) == want
+        parts = [df.filter(F.col("split") == s).select("loan_id") for s in (left, right)]
+        assert out.exceptAll(parts[0].intersect(parts[1])).isEmpty()
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_exact_split_breaks_hash_ties_by_id(spark, monkeypatch):
     rows = spark.range(997).selectExpr("concat('L', id) AS loan_id", "CASE WHEN id % 50 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE 0 END AS loan_default")
     same = lambda col, seed: F.length(col.cast("string")).cast("long") * (1 << 50)
