@@ -10,17 +10,21 @@ from creditspark.streaming.monitor import bucket, started, timed
 HISTOGRAM = "feature string, low double, step double, counts array<bigint>"
 
 
+def _value(feature: str) -> Column:
+    """NaN counts as missing."""
+    return F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
+
+
 def _long(rows: DataFrame, features: list[str], *keep: str) -> DataFrame:
-    """(feature, value) for each row and feature; NaN counts as missing."""
-    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), value(c).alias("value")) for c in features])
+    """(feature, value) for each row and feature."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _value(c).alias("value")) for c in features])
     return rows.select(*keep, F.explode(pairs).alias("x")).select(*keep, "x.feature", "x.value")
 
 
-def _bin(last: Column) -> Column:
+def _bin(value: Column, low: Column, step: Column, last: Column) -> Column:
     """The bin of ``value`` by ``low`` and ``step``; values beyond the reference fall into the first or ``last`` bin."""
-    place = F.floor((F.col("value") - F.col("low")) / F.when(F.col("step") > 0, F.col("step")))
-    beside = F.when(F.col("value") > F.col("low"), last).otherwise(F.lit(0))  # of a constant
+    place = F.floor((value - low) / F.when(step > 0, step))
+    beside = F.when(value > low, last).otherwise(F.lit(0))  # of a constant
     return F.least(F.greatest(F.coalesce(place, beside), F.lit(0)), last).cast("int")
 
 
@@ -34,7 +38,7 @@ def reference_histogram(reference: DataFrame, features: list[str], n_bins: int =
     own = ranges.withColumnRenamed("feature", "of")
     counted = (
         long.join(F.broadcast(own), F.col("feature") == F.col("of"))  # a row a feature
-        .groupBy("feature", "low", "step", _bin(F.lit(n_bins - 1)).alias("bin"))
+        .groupBy("feature", "low", "step", _bin(F.col("value"), F.col("low"), F.col("step"), F.lit(n_bins - 1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     at = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
@@ -62,19 +66,50 @@ def psi_of_counts(reference, current):
     return F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, v: a + v), F.lit(0.0))
 
 
-def psi_by_time(rows: DataFrame, histogram: DataFrame, features: list[str], width: str = "1 hour") -> DataFrame:
-    """(window_start, feature, n, psi): each feature's PSI against the stored histogram, per bucket of ``ts``.
-
-    On a stream a bucket is given out once complete: rows are counted by bucket, feature and bin,
-    and the bins of a bucket, a few for each feature, are put together when it closes. A bucket
-    without values of a feature has no row for it.
-    """
+def _table_counts(rows: DataFrame, histogram: DataFrame, features: list[str], width: str) -> DataFrame:
+    """(window_start, feature, n, counts, current): the reference's and the bucket's rows by bin."""
     bins = F.broadcast(histogram.withColumnRenamed("feature", "of"))  # a row a feature
-    long = _long(timed(rows), features, "ts").where("value is not null")
-    binned = long.join(bins, F.col("feature") == F.col("of")).withColumn("bin", _bin(F.size("counts") - 1))
+    long = _long(rows, features, "ts").where("value is not null")
+    place = _bin(F.col("value"), F.col("low"), F.col("step"), F.size("counts") - 1)
+    binned = long.join(bins, F.col("feature") == F.col("of")).withColumn("bin", place)
     counts = binned.groupBy(bucket(width), "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     whole = counts.groupBy("w", "feature").agg(F.sum("n").alias("n"), F.collect_list(F.struct("bin", "n")).alias("pairs"))
     met = started(whole, "feature", "n", "pairs").join(bins, F.col("feature") == F.col("of"))
     at = F.map_from_entries("pairs")
     current = F.transform(F.sequence(F.lit(0), F.size("counts") - 1), lambda b: F.coalesce(F.try_element_at(at, b.cast("int")), F.lit(0).cast("long")))
-    return met.withColumn("current", current).select("window_start", "feature", "n", psi_of_counts(F.col("counts"), F.col("current")).alias("psi"))
+    return met.withColumn("current", current)
+
+
+def _stream_counts(rows: DataFrame, histogram: DataFrame, features: list[str], width: str) -> DataFrame:
+    """The same of a stream, from one state row for each bucket and feature, which has a count for each bin.
+
+    So the histogram, a row a feature, is read when the stream is made, and no micro-batch joins it again.
+    """
+    known = {r.feature: r for r in histogram.collect()}
+    bins = [f"n{b}" for b in range(max((len(r.counts) for r in known.values()), default=0))]
+
+    def place(c: str) -> Column:
+        r = known[c]
+        return F.when(_value(c).isNotNull(), _bin(_value(c), F.lit(r.low), F.lit(r.step), F.lit(len(r.counts) - 1)))
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), place(c).alias("bin")) for c in features if c in known])
+    long = timed(rows).select(bucket(width), F.explode(pairs.cast("array<struct<feature:string,bin:int>>")).alias("x"))
+    binned = long.select("w", "x.feature", "x.bin").where("bin is not null")
+    counts = [F.count_if(F.col("bin") == b).alias(n) for b, n in enumerate(bins)]
+    whole = started(binned.groupBy("w", "feature").agg(F.count(F.lit(1)).alias("n"), *counts), "feature", "n", *bins)
+    references = F.map_from_arrays(
+        F.lit([*known]).cast("array<string>"), F.array(*[F.lit(r.counts) for r in known.values()]).cast("array<array<bigint>>")
+    )
+    met = whole.withColumn("counts", references[F.col("feature")])
+    return met.withColumn("current", F.slice(F.array(*bins).cast("array<bigint>"), F.lit(1), F.size("counts")))
+
+
+def psi_by_time(rows: DataFrame, histogram: DataFrame, features: list[str], width: str = "1 hour") -> DataFrame:
+    """(window_start, feature, n, psi): each feature's PSI against the stored histogram, per bucket of ``ts``.
+
+    On a stream a bucket is given out once complete. On a table rows are counted by bucket, feature
+    and bin, and the bins of a bucket, a few for each feature, are put together. A bucket without
+    values of a feature has no row for it.
+    """
+    counted = (_stream_counts if rows.isStreaming else _table_counts)(rows, histogram, features, width)
+    return counted.select("window_start", "feature", "n", psi_of_counts(F.col("counts"), F.col("current")).alias("psi"))

@@ -70,22 +70,34 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 @contextmanager
-def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started within use the state store that typed state and timers need."""
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)
+def keyed_state(spark: SparkSession, keys: int | None = None) -> Iterator[None]:
+    """Streams started within use the state store that typed state and timers need.
+
+    Where at most ``keys`` keys can occur, they have no more state partitions than that: each one
+    starts a Python worker and a store of its own in every micro-batch, with or without a key.
+    """
+    wanted = {STATE_STORE: ROCKSDB}
+    if keys is not None:
+        wanted[PARTITIONS] = str(max(1, min(keys, int(spark.conf.get(PARTITIONS)))))
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, keyed: bool = False) -> str:
+def append_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, keyed: bool = False, keys: int | None = None) -> str:
     """Run the stream over the data at hand; the folder it appended to."""
     path = fresh_dir(stream.sparkSession, name)
     checkpoint = fresh_dir(stream.sparkSession, f"{name}-state")
-    with keyed_state(stream.sparkSession) if keyed else nullcontext():
+    with keyed_state(stream.sparkSession, keys) if keyed else nullcontext():
         query = file_sink(stream, path, checkpoint, partition_by).trigger(availableNow=True).start()
     query.awaitTermination()
     return path
@@ -104,9 +116,9 @@ def file_sink(stream: DataFrame, path: str, checkpoint: str, partition_by: list[
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def run_available(stream: DataFrame, name: str, keyed: bool = False) -> DataFrame:
+def run_available(stream: DataFrame, name: str, keyed: bool = False, keys: int | None = None) -> DataFrame:
     """Run the stream over the data at hand and return what it appended, as a table."""
-    return stream.sparkSession.read.schema(stream.schema).parquet(append_available(stream, name, keyed=keyed))
+    return stream.sparkSession.read.schema(stream.schema).parquet(append_available(stream, name, keyed=keyed, keys=keys))
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], name: str) -> None:

@@ -195,6 +195,54 @@ def test_hourly_psi_in_batch_and_stream(spark, pieces, sf):
     assert all(v[1] < 1e-3 for (_, f), v in want.items() if f == "constant")  # the smoothing term only
 
 
+def test_hourly_psi_has_one_state_row_a_bucket_and_feature(spark, sf):
+    """Missing, NaN and far values, rows without a time, features of different bins and of none, against the batch."""
+    features = ["latency_ms", "probability", "constant", "unknown"]
+
+    def rows(ev):
+        n = F.col("event_id")
+        odd = F.when(n % 7 == 0, None).when(n % 11 == 0, float("nan")).when(n % 13 == 0, 1e9).when(n % 17 == 0, -5.0)
+        odd = F.when((n % 7 == 0) | (n % 11 == 0) | (n % 13 == 0) | (n % 17 == 0), odd).otherwise(F.col("latency_ms"))
+        return metric_events(ev).withColumns({"latency_ms": odd, "constant": F.lit(3.0), "unknown": F.lit(1.0)})
+
+    events = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    plain = metric_events(events).withColumn("constant", F.lit(3.0))
+    histogram = SD.reference_histogram(plain, ["latency_ms", "constant"], 4).unionByName(SD.reference_histogram(plain, ["probability"], 7)).localCheckpoint()
+    played = timed_files(events, "ts", "events")
+    for known in (histogram, histogram.limit(0)):
+        stream = SD.psi_by_time(rows(play(spark, played, events.schema)), known, features)
+        path, state = fresh_dir(spark, "psi"), fresh_dir(spark, "psi-state")
+        query = file_sink(stream, path, state).trigger(availableNow=True).start()
+        query.awaitTermination()
+        want = {(r.window_start, r.feature): (r.n, r.psi) for r in SD.psi_by_time(rows(events), known, features).collect()}
+        got = {(r.window_start, r.feature): (r.n, r.psi) for r in spark.read.schema(stream.schema).parquet(path).collect()}
+        # the closing row, a day behind the others, has a constant too, but its bucket stays open
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
+        assert len(got) > 0 or known is not histogram
+        assert {len(p.stateOperators) for p in query.recentProgress} == {1}
+
+
+def test_few_keys_take_few_state_partitions(spark):
+    """An alarm over two metrics has two state partitions, not as many as the session's, and the same transitions."""
+    rule = AL.AlarmRule("max", "above", 10.0, 1, 3600)
+    folder = fresh_dir(spark, "buckets")
+    spark.createDataFrame([(m, h, 50.0 * (h % 3)) for m in "ab" for h in range(9)], "metric string, h int, value double").selectExpr(
+        "metric", "make_timestamp(2024, 1, 1, h, 0, 0) AS period", "value"
+    ).write.parquet(folder)
+    schema, before = "metric string, period timestamp, value double", spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for keys in (None, 2, 1000):
+        stream = SA.alarm_stream(spark.readStream.schema(schema).parquet(folder), rule)
+        path, state = fresh_dir(spark, "alarms"), fresh_dir(spark, "alarms-state")
+        with keyed_state(spark, keys):
+            query = file_sink(stream, path, state).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert {o.numShufflePartitions for p in query.recentProgress for o in p.stateOperators} == {min(keys or int(before), int(before))}
+        found.append(sorted(map(tuple, spark.read.parquet(path).collect())))
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_live_auc_store_does_not_grow_with_age(spark, sf):
     rows = metric_events(table(spark, sf, "events")).select(F.lit("a").alias("g"), "event_id", "probability", F.col("is_error").cast("int").alias("y"))
     folder = fresh_dir(spark, "rows")
