@@ -37,20 +37,23 @@ def value_stats(events: DataFrame, value: str, quantile: float, width: str = "5
     The quantile is exact and interpolated. On a table it comes from the score-curve
     machinery, so that a bucket holding much of the data is still shared among tasks. A
     stream first counts by bucket and value, so that such a bucket is counted in many tasks;
-    its quantile is taken from those counts when the bucket closes.
+    its quantile is taken from those counts when the bucket closes. There, a bucket is named by
+    its last instant: each value's row in the state and the shuffle holds one time, not two and a
+    struct around them.
     """
     if not events.isStreaming:
         keyed = events.select(F.window("ts", width)["start"].alias("_start"), value)
         out = quantiles(keyed, value, {"q": quantile}, ["_start"])
         return out.select(F.col("_start").cast("timestamp_ntz").alias("window_start"), "n", "mean", "q")
-    counts = timed(events).groupBy(bucket(width), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    placed = timed(events).select(bucket(width), F.col(value).alias("v")).select(F.window_time("w").alias("at"), "v")
+    counts = placed.groupBy("at", "v").agg(F.count(F.lit(1)).alias("k"))
     known = F.when(F.col("v").isNotNull(), F.col("k"))
-    out = counts.groupBy("w").agg(
+    out = counts.groupBy("at").agg(
         F.coalesce(F.sum(known), F.lit(0)).alias("n"),
         (F.sum(F.col("v") * F.col("k")) / F.sum(known)).alias("mean"),
         F.percentile("v", quantile, F.col("k")).alias("q"),
     )
-    return started(out, "n", "mean", "q")
+    return started(out.select(bucket(width, "at"), "n", "mean", "q"), "n", "mean", "q")
 
 
 def latency(events: DataFrame, width: str = "5 minutes") -> DataFrame:

@@ -99,6 +99,23 @@ def test_played_back_streams_give_all_buckets(spark, sf):
     assert timed_files(events.limit(0), "ts", "none")
 
 
+def test_stream_quantile_state_names_a_bucket_by_one_time(spark, sf):
+    """Missing and equal values, buckets of none and rows without a time; those with values against the batch."""
+    events = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    events = events.withColumn("value", F.when((F.col("event_id") % 3 != 0) & (F.hour("ts") != 5), F.round("value")))
+    stream = SM.latency(metric_events(play(spark, timed_files(events, "ts", "events"), events.schema)))
+    path, state = fresh_dir(spark, "latency"), fresh_dir(spark, "latency-state")
+    query = file_sink(stream, path, state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {r.window_start: (r.n, r.avg_latency, r.p99_latency) for r in spark.read.schema(stream.schema).parquet(path).collect()}
+    want = {r.window_start: (r.n, r.avg_latency, r.p99_latency) for r in SM.latency(metric_events(events)).collect()}
+    assert want and {k: v for k, v in got.items() if v[0]} == {k: (n, pytest.approx(mean), pytest.approx(q)) for k, (n, mean, q) in want.items()}
+    empty = events.where("ts is not null").groupBy(F.window("ts", "5 minutes")["start"].alias("w")).agg(F.count("value").alias("n")).where("n = 0")
+    assert {k: v for k, v in got.items() if not v[0]} == {r.w: (0, None, None) for r in empty.collect()} != {}
+    keys = [spark.read.format("statestore").option("path", state).option("operatorId", k).load().schema["key"].dataType for k in (0, 1)]
+    assert sorted([f.dataType.simpleString() for f in key.fields] for key in keys) == [["timestamp"], ["timestamp", "double"]]
+
+
 def test_join_over_batches(spark, sf, pieces):
     def sides(ev):
         ev = metric_events(ev)
